@@ -95,10 +95,6 @@ class Rule:
             )
 
 
-def _trim(c: str) -> Column:
-    return F.trim(F.col(c))
-
-
 def rules_frame(documents: DataFrame) -> DataFrame:
     """One row per rule, document order kept as ``(source, rule_pos)``.
 
@@ -295,5 +291,5 @@ class RuleCatalog:
     def lookup_values(self) -> DataFrame:
         """The lookup entry (first ``when`` element) of every lookup rule."""
         return self.frame.filter(F.col("process_key").isin(*LOOKUP_KEYS)).select(
-            "source", "rule_pos", "id", "process_key", F.col("when")[0]["lookup_value"].alias("lookup_value")
+            "source", "rule_pos", "id", "process_key", F.get(F.col("when"), 0)["lookup_value"].alias("lookup_value")
         )

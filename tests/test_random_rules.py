@@ -1,0 +1,78 @@
+"""Randomised chains: the Column path against an independent pandas evaluation.
+
+Rules with random conditions, AND/OR connectors and goto links are generated;
+the expected rows are computed in pandas by evaluating each condition and
+combining the flat list with Python's own precedence (``&`` before ``|``),
+which is SQL's.
+"""
+
+import pandas as pd
+import pytest
+from conftest import AS_OF, catalog_of, cond, rule
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from ruleloom import apply_rule
+
+CONDS = [
+    ("o_totalprice", ">=", ["100000", "250000", "400000"]),
+    ("o_totalprice", "<", ["50000", "200000"]),
+    ("o_orderstatus", "=", ["F", "O", "P"]),
+    ("o_orderstatus", "!=", ["F", "O"]),
+    ("o_orderpriority", "LIKE", ["1", "2-", "5-LOW"]),
+    ("o_orderpriority", "NOT LIKE", ["3", "4"]),
+    ("o_custkey", "<=", ["300", "700"]),
+    ("o_orderkey", "LIKE", ["1", "2"]),
+]
+
+
+def pandas_mask(pdf, field, op, value):
+    col = pdf[field]
+    if op == ">=":
+        return col >= float(value)
+    if op == "<":
+        return col < float(value)
+    if op == "<=":
+        return col <= float(value)
+    if op == "=":
+        return col == value
+    if op == "!=":
+        return col != value
+    text = col.astype(str)
+    starts = text.str.startswith(value)
+    return starts if op == "LIKE" else ~starts
+
+
+condition = st.tuples(st.sampled_from(range(len(CONDS))), st.integers(0, 2), st.sampled_from(["AND", "OR"]))
+chain = st.lists(st.lists(condition, min_size=1, max_size=3), min_size=1, max_size=3)
+
+
+@pytest.fixture(scope="module")
+def orders_pdf(orders_small):
+    return orders_small.toPandas()
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(chain=chain, last_join=st.sampled_from(["AND", "OR"]))
+def test_random_chain(spark, orders_small, orders_pdf, chain, last_join):
+    rules, flat = [], []
+    for n, conds in enumerate(chain):
+        when = []
+        for m, (ci, vi, join) in enumerate(conds):
+            field, op, vals = CONDS[ci]
+            value = vals[vi % len(vals)]
+            is_last_cond = m == len(conds) - 1
+            is_last_rule = n == len(chain) - 1
+            j = "" if (is_last_cond and is_last_rule) else (last_join if is_last_cond else join)
+            when.append(cond(field, op, value, j))
+            flat.append((pandas_mask(orders_pdf, field, op, value), j or None))
+        then = ("goto", f"r{n + 1}") if n < len(chain) - 1 else ("", "")
+        rules.append(rule(f"r{n}", when, then))
+    cat = catalog_of(spark, rules)
+    got = apply_rule(orders_small, cat, "r0", as_of=AS_OF).count()
+
+    # expected: evaluate "m0 c0 m1 c1 ..." with Python precedence (& binds tighter than |)
+    env = {f"m{i}": m for i, (m, _) in enumerate(flat)}
+    expr = " ".join(f"m{i}" + ({"AND": " &", "OR": " |"}[c] if c else "") for i, (_, c) in enumerate(flat))
+    exp = int(pd.eval(expr, local_dict=env, engine="python").sum())
+    assert got == exp, expr

@@ -1,0 +1,80 @@
+"""Golden counts on the transaction sample (own rows, rules in the documented shape)."""
+
+from conftest import AS_OF, LATE
+
+from ruleloom import apply_rule, apply_stages, evaluate, generate
+from ruleloom.sources.readers import register
+
+
+def ids(df):
+    return sorted((r["session_id"], r["id"]) for r in df.select("session_id", "id").collect())
+
+
+def test_filtration_lookup_query(sample, sample_catalog):
+    res = evaluate(sample_catalog, "filtration", "query_lookup", "s_filter", "true", df=sample, apply=True, as_of=AS_OF)
+    assert res.ok and res.params_ok and res.rule_ok
+    assert res.df.count() == 6
+    assert res.text.startswith("where transaction_status_code")
+
+
+def test_builder_on_all_and_after_filter(sample, sample_catalog):
+    assert apply_rule(sample, sample_catalog, "s_total", as_of=AS_OF).count() == 5
+    assert apply_stages(sample, sample_catalog, ["s_filter", "s_total"], as_of=AS_OF).count() == 4
+    assert apply_rule(sample, sample_catalog, "s_net", as_of=AS_OF).count() == 3
+    out = apply_stages(sample, sample_catalog, ["s_filter", "s_net"], as_of=AS_OF)
+    assert ids(out) == [(2, 12), (2, 16)]
+
+
+def test_conditional_ignores_lookup_by_default(sample, sample_catalog):
+    filtered = apply_rule(sample, sample_catalog, "s_filter", as_of=AS_OF)
+    res = evaluate(sample_catalog, "identification", "conditional", "s_cond", "true", df=filtered, apply=True, as_of=AS_OF)
+    assert res.ok and res.chain == ["s_cond", "s_net"]
+    assert ids(res.df) == [(2, 12), (2, 16)]
+    assert res.text == "(transaction_total_amount - cheque_amount) >= 10000"
+
+
+def test_conditional_guard(sample, sample_catalog):
+    filtered = apply_rule(sample, sample_catalog, "s_filter", as_of=AS_OF)
+    res = evaluate(sample_catalog, "identification", "conditional", "s_cond", "true", df=filtered, apply=True,
+                   as_of=AS_OF, guard=True)
+    assert res.ok and res.df.count() == 0  # rule wants "no", the data says "yes"
+
+
+def test_value_lookups(sample_catalog):
+    one = evaluate(sample_catalog, "identification", "value_lookup", "s_vals", "true", value_key="check_cheque_transaction", as_of=AS_OF)
+    assert one.ok and one.value == "yes"
+    num = evaluate(sample_catalog, "identification", "value_lookup", "s_vals", "true", value_key="limit", as_of=AS_OF)
+    assert num.value == 10000  # JSON types are kept
+    allv = evaluate(sample_catalog, "identification", "value_lookup", "s_vals", "true", as_of=AS_OF)
+    assert allv.value == [("check_cheque_transaction", "yes"), ("flag", "pass"), ("limit", 10000)]
+
+
+def test_rules_out_of_window_later(sample, sample_catalog):
+    for rid, key, lk in [("s_total", "query_builder", "false"), ("s_net", "query_builder", "false"),
+                         ("s_cond", "conditional", "true")]:
+        res = evaluate(sample_catalog, "identification", key, rid, lk, df=sample, apply=True, as_of=LATE)
+        assert res.status.value == "out_of_window"
+        assert res.params_ok and not res.rule_ok and res.df is None
+
+
+def test_generate_tuple_with_named_tables(spark, sample, sample_catalog):
+    register(sample, "sample_txn")
+    ok, valid, msg, text, df = generate(spark, sample_catalog, "filtration", "query_lookup", "s_filter", "true",
+                                        table_name="sample_txn", apply_query=True, as_of=AS_OF)
+    assert ok and valid and df.count() == 6
+    register(df, "sample_filtered")
+    ok, valid, msg, text, df = generate(spark, sample_catalog, "identification", "query_builder", "s_net", "false",
+                                        table_name="sample_filtered", apply_query=True, as_of=AS_OF)
+    assert ok and valid and df.count() == 2
+    # no table: text only, nothing applied
+    ok, valid, msg, text, df = generate(spark, sample_catalog, "identification", "query_builder", "s_net", "false",
+                                        table_name="  ", apply_query=True, as_of=AS_OF)
+    assert ok and valid and df is None and "cheque_amount" in text
+    ok, valid, msg, value, df = generate(spark, sample_catalog, "identification", "value_lookup", "s_vals", "true",
+                                         value_key="flag", as_of=AS_OF)
+    assert (ok, valid, value, df) == (True, True, "pass", None)
+
+
+def test_event_time_is_date_plus_time(sample):
+    row = sample.filter("session_id = 2 and id = 12").select("event_time").first()
+    assert str(row[0]) == "2022-02-03 15:10:00"
