@@ -41,8 +41,16 @@ class RulePlan:
     action: tuple[str | None, str | None] = (None, None)  # then.field_name / field_value of the last rule
 
     # -- binding ---------------------------------------------------------
-    def predicate(self, df: DataFrame) -> Column:
-        """The plan's filter as one Column over ``df``'s columns."""
+    def fields(self) -> list[str]:
+        """Left-side expressions the predicate needs typed."""
+        return [t.condition.field_name for t in self.terms] + [g[0] for g in self.guards]
+
+    def predicate(self, df: DataFrame, types: dict | None = None) -> Column:
+        """The plan's filter as one Column over ``df``'s columns.
+
+        ``types`` (field expression → data type) may be resolved once for
+        many plans; otherwise it is resolved here in one analysis pass.
+        """
         if self.kind == "query":
             cond = where_condition(self.tail)
             if cond is None:
@@ -50,8 +58,8 @@ class RulePlan:
             return F.expr(cond)
         if self.kind != "predicate":
             raise RuleError(Status.NOT_APPLICABLE, f"rule {self.rule_id}: a {self.kind} rule has no predicate")
-        fields = [t.condition.field_name for t in self.terms] + [g[0] for g in self.guards]
-        types = field_types(df, fields)
+        if types is None or any(f not in types for f in self.fields()):
+            types = field_types(df, self.fields())
         cols = [
             compile_condition(t.condition.field_name, parse_operator(t.condition.operator, t.rule_id),
                               t.condition.field_value, types[t.condition.field_name], t.rule_id).column

@@ -31,12 +31,12 @@ RULES_PATH = os.path.join(os.path.dirname(__file__), "resources", "tpch_rules.js
 TAG_RULES = ["ord_large", "ord_f", "ord_or_goto", "ord_c1", "ord_digits"]
 HIT_RULES = ["ord_filter", "ord_large", "ord_and", "ord_or", "ord_or_goto", "ord_c1", "ord_digits", "ord_cond"]
 
-_CATALOGS: dict[tuple[int, str], RuleCatalog] = {}
+_CATALOGS: dict[tuple[int, str, str], RuleCatalog] = {}
 
 
 def catalog(spark: SparkSession, path: str = RULES_PATH) -> RuleCatalog:
     """The fixture catalog, loaded once per session."""
-    key = (id(spark), path)
+    key = (id(spark), spark.sparkContext.applicationId, path)
     if key not in _CATALOGS:
         _CATALOGS[key] = RuleCatalog.load(spark, path)
     return _CATALOGS[key]
