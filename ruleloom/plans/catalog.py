@@ -95,16 +95,21 @@ class Rule:
             )
 
 
-def rules_frame(documents: DataFrame) -> DataFrame:
+def rules_frame(documents: DataFrame, keep_empty: bool = False) -> DataFrame:
     """One row per rule, document order kept as ``(source, rule_pos)``.
 
     ``when`` stays an array on its rule (so duplicate ids never mix their
-    conditions); each element gets its position ``cond_pos``.
+    conditions); each element gets its position ``cond_pos``. With
+    ``keep_empty`` a document without a ``rules`` array (malformed) still
+    yields one row, with a null ``rule_pos``.
     """
+    explode = F.posexplode_outer if keep_empty else F.posexplode
     exploded = documents.select(
-        F.input_file_name().alias("source"), F.posexplode("rules").alias("rule_pos", "r")
+        F.input_file_name().alias("source"), F.col("rules").isNull().alias("malformed"),
+        explode("rules").alias("rule_pos", "r"),
     )
     return exploded.select(
+        *(["malformed"] if keep_empty else []),
         "source",
         "rule_pos",
         F.trim("r.id").alias("id"),
@@ -185,10 +190,11 @@ class RuleCatalog:
         if self._loaded:
             return
         self._loaded = True
-        bad = self.documents.filter(F.col("rules").isNull()).limit(1).count()
-        if bad:
+        # one job: the rules (up to the local limit) and any malformed document
+        head = rules_frame(self.documents, keep_empty=True).limit(self.max_local_rules + 1).collect()
+        if any(r["malformed"] for r in head):
             raise ValueError("a rule document is malformed or has no 'rules' array")
-        head = self.frame.limit(self.max_local_rules + 1).collect()
+        head = [r for r in head if r["rule_pos"] is not None]
         if len(head) <= self.max_local_rules:
             self._add(head)
             self._complete = True

@@ -100,3 +100,9 @@ def test_large_documents_fetch_by_id(spark, orders_small):
 def test_reads_from_file_path(spark):
     cat = RuleCatalog.load(spark, os.path.join(FIXTURES, "sample_rules.json"))
     assert cat.all_ids() == ["s_filter", "s_vals", "s_total", "s_net", "s_cond"]
+
+
+def test_empty_document_is_an_empty_catalog(spark):
+    cat = RuleCatalog.from_json(spark, '{"rules": []}')
+    assert cat.all_ids() == []
+    assert evaluate(cat, "identification", "query_builder", "x", "false", as_of=AS_OF).status is Status.NOT_CONFIGURED
