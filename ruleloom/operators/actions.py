@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import field_types
 from ..plans.chain import RulePlan, transform_column
-from ..plans.status import RuleError, Status
+from ..plans.status import RuleError, RuleResult, Status
 from .apply import rule_plan
 
 
@@ -33,9 +33,31 @@ def keep_codegen_jit_friendly(spark) -> None:
         spark.conf.set(HUGE_METHOD_CONF, HUGE_METHOD_LIMIT)
 
 
-def _plans(catalog, rule_ids, as_of, guard=False) -> list[RulePlan]:
-    catalog.rules_with_ids(rule_ids)  # one fetch for all ids
-    return [rule_plan(catalog, rid, as_of=as_of, guard=guard) for rid in rule_ids]
+def rule_statuses(catalog, rule_ids, as_of=None, guard: bool = False) -> dict[str, RuleResult]:
+    """The status of every rule of a multi-rule call, resolved by id."""
+    catalog.rules_with_ids(rule_ids)
+    out = {}
+    for rid in rule_ids:
+        try:
+            plan = rule_plan(catalog, rid, as_of=as_of, guard=guard)
+            out[rid] = RuleResult(Status.OK, "usable", rid, plan=plan, chain=plan.chain)
+        except RuleError as exc:
+            out[rid] = RuleResult(exc.status, exc.message, rid)
+    return out
+
+
+def _plans(catalog, rule_ids, as_of, guard=False, errors: str = "raise") -> list[RulePlan]:
+    """Plans for ``rule_ids``; unusable rules raise, or are left out with
+    ``errors="skip"`` (see :func:`rule_statuses` for why)."""
+    if errors not in ("raise", "skip"):
+        raise ValueError("errors must be 'raise' or 'skip'")
+    plans = []
+    for rid, res in rule_statuses(catalog, rule_ids, as_of, guard).items():
+        if res.ok:
+            plans.append(res.plan)
+        elif errors == "raise":
+            raise RuleError(res.status, res.message, rid)
+    return plans
 
 
 def _bind(df: DataFrame, plans: list[RulePlan]) -> list[Column]:
@@ -46,9 +68,10 @@ def _bind(df: DataFrame, plans: list[RulePlan]) -> list[Column]:
     return [p.predicate(df, types) for p in plans]
 
 
-def rule_predicates(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = False) -> list[tuple[str, Column]]:
+def rule_predicates(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = False,
+                    errors: str = "raise") -> list[tuple[str, Column]]:
     """``(rule_id, predicate)`` for every rule, all typed against ``df``."""
-    plans = _plans(catalog, rule_ids, as_of, guard)
+    plans = _plans(catalog, rule_ids, as_of, guard, errors)
     return list(zip([p.rule_id for p in plans], _bind(df, plans)))
 
 
@@ -69,13 +92,17 @@ def tag(df: DataFrame, catalog, rule_id: str, as_of=None, column: str | None = N
 
 
 def tag_all(df: DataFrame, catalog, rule_ids, as_of=None, hits_col: str = "hits", set_actions: bool = False,
-            guard: bool = False) -> DataFrame:
+            guard: bool = False, errors: str = "raise") -> DataFrame:
     """T2 × N in one pass: ``hits`` = ids of matching rules, comma separated.
 
     With ``set_actions`` each rule's ``then`` column is also set; when several
     rules set the same column the first rule (in ``rule_ids`` order) wins.
+    ``errors="skip"`` leaves unusable rules (switched off, expired, …) out
+    instead of raising; :func:`rule_statuses` tells which and why.
     """
-    plans = _plans(catalog, rule_ids, as_of, guard)
+    plans = _plans(catalog, rule_ids, as_of, guard, errors)
+    if not plans:
+        return df.withColumn(hits_col, F.lit(""))
     preds = list(zip(plans, _bind(df, plans)))
     out = [F.col(c) for c in df.columns if c != hits_col]
     actions: dict[str, list[tuple[Column, str]]] = {}
@@ -96,13 +123,17 @@ def tag_all(df: DataFrame, catalog, rule_ids, as_of=None, hits_col: str = "hits"
     return df.select(*cols)
 
 
-def rule_hit_counts(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = False) -> DataFrame:
+def rule_hit_counts(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = False,
+                    errors: str = "raise") -> DataFrame:
     """Rows hit per rule, all rules counted in one scan.
 
     One global aggregate (a partial count per task, one tiny final merge)
-    followed by an unpivot to ``(rule_pos, rule_id, n_hits)``.
+    followed by an unpivot to ``(rule_pos, rule_id, n_hits)``. With
+    ``errors="skip"`` unusable rules are left out.
     """
-    preds = rule_predicates(df, catalog, rule_ids, as_of, guard)
+    preds = rule_predicates(df, catalog, rule_ids, as_of, guard, errors)
+    if not preds:
+        return df.sparkSession.createDataFrame([], "rule_pos int, rule_id string, n_hits bigint")
     counts = df.agg(*[F.count_if(pred).alias(f"h{i}") for i, (_, pred) in enumerate(preds)])
     rows = F.array(*[
         F.struct(F.lit(i).alias("rule_pos"), F.lit(rid).alias("rule_id"), F.col(f"h{i}").alias("n_hits"))

@@ -50,7 +50,7 @@ def query_frame(df: DataFrame, tail: str) -> DataFrame:
     streams); anything else runs as ``SELECT * FROM {src} <tail>`` with the
     DataFrame bound as a parameter, never as pasted table text.
     """
-    cond = where_condition(tail)
+    cond = where_condition(tail, df)
     if cond is not None:
         return df.filter(cond)
     safe = tail.replace("{", "{{").replace("}", "}}")

@@ -14,6 +14,7 @@ import re
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.errors import ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +53,7 @@ class RulePlan:
         many plans; otherwise it is resolved here in one analysis pass.
         """
         if self.kind == "query":
-            cond = where_condition(self.tail)
+            cond = where_condition(self.tail, df)
             if cond is None:
                 raise RuleError(Status.BAD_QUERY, f"rule {self.rule_id}: lookup tail is not a plain where clause")
             return F.expr(cond)
@@ -94,14 +95,18 @@ _WHERE = re.compile(r"^\s*where\s+(.*\S)\s*$", re.IGNORECASE | re.DOTALL)
 _GROUP = re.compile(r"^\s*group\s+by\s+(.*\S)\s*$", re.IGNORECASE | re.DOTALL)
 
 
-def where_condition(tail: str | None) -> str | None:
-    """``" where a = 1 and …"`` → ``"a = 1 and …"`` when it parses as a predicate."""
+def where_condition(tail: str | None, df: DataFrame) -> str | None:
+    """``" where a = 1 and …"`` → ``"a = 1 and …"`` when it is a predicate on ``df``.
+
+    ``None`` when more than a predicate follows (``ORDER BY``, ``LIMIT`` …);
+    ``df.filter(text)`` parses eagerly, nothing is executed.
+    """
     m = _WHERE.match(tail or "")
     if not m:
         return None
     try:
-        F.expr(m.group(1))
-    except Exception:  # ParseException: ORDER BY, LIMIT … follow the where
+        df.filter(m.group(1))
+    except ParseException:
         return None
     return m.group(1)
 

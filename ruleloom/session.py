@@ -6,7 +6,6 @@ On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -55,16 +54,3 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         tail = f"{tail}-{uuid.uuid4().hex[:12]}" if tail else uuid.uuid4().hex[:12]
     return f"{base}/{tail}" if tail else base
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def strip_scheme(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(strip_scheme(path)) or ".", exist_ok=True)

@@ -90,3 +90,49 @@ def test_lookup_only_returns_text_without_table(cat):
     assert r.ok and r.df is None and r.text == "where city = 'perth'"
     r = evaluate(cat, "identification", "query_builder", "big", "false", as_of=AS_OF)
     assert r.ok and r.predicate is None and r.text == "(transaction_total_amount) >= 10000"
+
+
+def test_multi_rule_calls_can_skip_unusable_rules(spark, sample):
+    from ruleloom import rule_statuses
+
+    cat = catalog_of(spark, [rule("ok", [cond("city", "=", "hobart")]),
+                             rule("off", [cond("city", "=", "perth")], valid="false"),
+                             rule("dang", [cond("city", "=", "perth")], ("goto", "none"))])
+    with pytest.raises(RuleError):
+        tag_all(sample, cat, ["ok", "off"], as_of=AS_OF)
+    out = tag_all(sample, cat, ["ok", "off", "dang", "missing"], as_of=AS_OF, errors="skip")
+    assert sorted(r["hits"] for r in out.collect()) == [""] * 7 + ["ok"] * 2
+    st = {k: v.status.value for k, v in rule_statuses(cat, ["ok", "off", "dang", "missing"], as_of=AS_OF).items()}
+    assert st == {"ok": "ok", "off": "off", "dang": "goto_unknown", "missing": "not_configured"}
+    counts = rule_hit_counts(sample, cat, ["off", "ok"], as_of=AS_OF, errors="skip").collect()
+    assert [(r["rule_id"], r["n_hits"]) for r in counts] == [("ok", 2)]
+    assert tag_all(sample, cat, ["off"], as_of=AS_OF, errors="skip").filter("hits = ''").count() == 9
+
+
+def test_transformation_through_evaluate(spark, sample, cat):
+    from ruleloom import evaluate
+
+    res = evaluate(cat, "identification", "transformation", "net", "false", df=sample, apply=True, as_of=AS_OF)
+    assert res.ok and "net_amount" in res.df.columns
+    assert res.df.filter("net_amount = transaction_total_amount - cheque_amount").count() == 9
+
+
+def test_query_tails_beyond_where(spark, orders_small):
+    from ruleloom import apply_rule
+
+    cat = catalog_of(spark, [
+        rule("top", [lookup(" where o_orderstatus = 'F' order by o_totalprice desc, o_orderkey limit 5")],
+             key="query_lookup", lookup="true", process="filtration"),
+        rule("brace", [lookup(" where o_orderpriority != '{x}'")], key="query_lookup", lookup="true",
+             process="filtration"),
+        rule("sub", [lookup(" where o_custkey in (select o_custkey from orders_v where o_totalprice > 450000)")],
+             key="query_lookup", lookup="true", process="filtration"),
+    ])
+    top = apply_rule(orders_small, cat, "top", as_of=AS_OF).collect()
+    exp = orders_small.filter("o_orderstatus = 'F'").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(5).collect()
+    assert [r["o_orderkey"] for r in top] == [r["o_orderkey"] for r in exp]
+    assert apply_rule(orders_small, cat, "brace", as_of=AS_OF).count() == orders_small.count()
+    orders_small.createOrReplaceTempView("orders_v")
+    n = apply_rule(orders_small, cat, "sub", as_of=AS_OF).count()
+    assert n == orders_small.join(orders_small.filter("o_totalprice > 450000").select("o_custkey").distinct(),
+                                  "o_custkey").count()
