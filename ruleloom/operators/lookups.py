@@ -8,6 +8,7 @@ column of the facts: rows whose object holds every pair of the rule.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -50,21 +51,37 @@ def lookup_pairs(catalog: RuleCatalog, rule_id: str, as_of=None) -> list[tuple[s
             for k, v in res.value]
 
 
+# Text that needs no JSON escape. Such a key / value, when present in an
+# object whose raw text has no backslash (no escapes at all), appears in the
+# raw text verbatim, so a substring test is a safe pre-check for those rows.
+_PLAIN = re.compile(r"[A-Za-z0-9 _.:@+-]+")
+
+
 def match_lookup(df: DataFrame, catalog: RuleCatalog, rule_id: str, json_col: str, as_of=None,
                  extract: bool = True) -> DataFrame:
     """Rows whose JSON object column holds every pair of the lookup rule.
 
     With ``extract`` each looked-up key is also returned as its own column.
-    The test is a built-in ``get_json_object`` per key (no UDF, no shuffle).
+    Each key is extracted once with the built-in ``get_json_object`` and then
+    compared (no UDF, no shuffle). A cheap substring test on the raw text runs
+    first, so rows that cannot match are never parsed. It is a necessary
+    condition, so the result stays exact: it only tests plain keys / values,
+    and rows holding any escape (a backslash) are always parsed.
     """
     pairs = lookup_pairs(catalog, rule_id, as_of=as_of)
     if not pairs:
         raise RuleError(Status.NO_LOOKUP_VALUE, f"lookup rule {rule_id} holds no pairs", rule_id)
-    tests = [json_value(json_col, k) == F.lit(v) for k, v in pairs]
-    out = df.filter(reduce(lambda a, b: a & b, tests))
-    if extract:
-        out = out.select("*", *[json_value(json_col, k).alias(k) for k, _ in pairs])
-    return out
+    raw = F.col(json_col)
+    pre = [raw.contains(t) for k, v in pairs for t in (k, v) if _PLAIN.fullmatch(t)]
+    out = df.filter(reduce(lambda a, b: a & b, pre) | raw.contains("\\")) if pre else df
+    tmp = [f"__lookup_{i}" for i in range(len(pairs))]
+    out = out.select("*", *[json_value(json_col, k).alias(t) for (k, _), t in zip(pairs, tmp)])
+    out = out.filter(reduce(lambda a, b: a & b, [F.col(t) == F.lit(v) for (_, v), t in zip(pairs, tmp)]))
+    if not extract:
+        return out.drop(*tmp)
+    keys = [k for k, _ in pairs]
+    kept = [F.col(c) for c in df.columns if c not in keys]
+    return out.select(*kept, *[F.col(t).alias(k) for k, t in zip(keys, tmp)])
 
 
 def guard_pairs(catalog: RuleCatalog, rule_id: str, as_of=None) -> list[tuple[str, str]]:

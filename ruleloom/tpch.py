@@ -42,8 +42,17 @@ def catalog(spark: SparkSession, path: str = RULES_PATH) -> RuleCatalog:
     return _CATALOGS[key]
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, resolved once per session (file listing and footers
+    are read once, like a catalog table; the data is not cached)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES or _TABLES[key].sparkSession is not spark:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _apply(name: str, rule_id: str, guard: bool = False):

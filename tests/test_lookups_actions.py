@@ -136,3 +136,12 @@ def test_query_tails_beyond_where(spark, orders_small):
     n = apply_rule(orders_small, cat, "sub", as_of=AS_OF).count()
     assert n == orders_small.join(orders_small.filter("o_totalprice > 450000").select("o_custkey").distinct(),
                                   "o_custkey").count()
+
+
+def test_match_lookup_with_escaped_json(spark):
+    df = spark.createDataFrame([(1, '{"\\u006b": 9}'), (2, '{"k": 9}'), (3, '{"k": "9"}'), (4, '{"k": 19}'),
+                                (5, '{"x": 9, "k": 1}')], "id int, j string")
+    cat = catalog_of(spark, [rule("kv", [lookup({"k": 9})], key="value_lookup", lookup="true")])
+    got = sorted(r["id"] for r in match_lookup(df, cat, "kv", "j", as_of=AS_OF).collect())
+    exp = sorted(r["id"] for r in df.filter(F.get_json_object("j", "$.k") == "9").collect())
+    assert got == exp == [1, 2, 3]
