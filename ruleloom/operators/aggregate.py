@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.chain import group_keys
 from ..plans.status import RuleError, Status
@@ -43,13 +44,32 @@ def _is_name(k: str) -> bool:
     return k.replace("_", "").isalnum()
 
 
-def minutes_between(start: Column, end: Column) -> Column:
-    """Minutes from ``start`` to ``end`` as a double (microsecond precision).
+def epoch_micros(col: Column, dtype: T.DataType) -> Column:
+    """Microseconds since 1970-01-01 00:00, independent of the session zone.
 
-    Computed on the values themselves, so wall-clock (NTZ) timestamps do not
-    pick up the session time zone's daylight-saving jumps.
+    For wall-clock values (``timestamp_ntz``) this is calendar arithmetic on
+    the values themselves (day number and time of day), so no time zone and
+    no daylight-saving jump is involved. Instants (``timestamp``) use
+    ``unix_micros``.
     """
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(60_000_000.0)
+    if isinstance(dtype, T.TimestampNTZType):
+        days = F.datediff(F.to_date(col), F.lit("1970-01-01").cast("date")).cast("long")
+        of_day = (
+            F.hour(col).cast("long") * 3_600_000_000
+            + F.minute(col).cast("long") * 60_000_000
+            + (F.date_part(F.lit("SECOND"), col) * 1_000_000).cast("long")
+        )
+        return days * 86_400_000_000 + of_day
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(col)
+    if isinstance(dtype, T.DateType):
+        return F.unix_micros(F.to_timestamp(col))
+    raise TypeError(f"not a time column: {dtype.simpleString()}")
+
+
+def minutes_between(start: Column, end: Column, dtype: T.DataType) -> Column:
+    """Minutes from ``start`` to ``end`` as a double (microsecond precision)."""
+    return (epoch_micros(end, dtype) - epoch_micros(start, dtype)) / F.lit(60_000_000.0)
 
 
 def time_span(
@@ -80,7 +100,7 @@ def time_span(
             F.min(time_col).alias("min_time"),
             F.max(time_col).alias("max_time"),
         )
-        .withColumn("minutes", minutes_between(F.col("min_time"), F.col("max_time")))
+        .withColumn("minutes", minutes_between(F.col("min_time"), F.col("max_time"), df.schema[time_col].dataType))
         .filter((F.col("n_events") >= min_events) & (F.col("minutes") <= F.lit(float(max_minutes))))
     )
     return order_by(out, keys + (["day"] if per_day else [])) if order else out

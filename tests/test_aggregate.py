@@ -61,3 +61,25 @@ def test_time_span_without_day(events):
     # every (user, type) group with 2+ events spans less than 40 days of January
     exp = events.groupBy("user_id", "event_type").count().filter("count >= 2").count()
     assert out.count() == exp
+
+
+def test_time_span_ignores_session_zone_for_wall_clock_times(spark):
+    import datetime as dt
+
+    from pyspark.sql import types as T
+
+    rows = [(1, dt.datetime(2024, 3, 10, 1, 50), 1.0), (1, dt.datetime(2024, 3, 10, 3, 10), 2.0),
+            (2, dt.datetime(2024, 3, 10, 1, 0, 0, 250000), 1.0), (2, dt.datetime(2024, 3, 10, 1, 20), 1.5)]
+    schema = T.StructType([T.StructField("u", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+                           T.StructField("v", T.DoubleType())])
+    df = spark.createDataFrame(rows, schema)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ["UTC", "America/New_York"]:
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = {r["u"]: r["minutes"] for r in time_span(df, ["u"], "ts", "v", 1000).collect()}
+            assert got[1] == 80.0  # wall clock: 01:50 -> 03:10, whatever the zone's DST jump
+            assert got[2] == pytest.approx(19.995833333333334)
+            assert [r["u"] for r in time_span(df, ["u"], "ts", "v", 30).collect()] == [2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
