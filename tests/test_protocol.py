@@ -155,3 +155,32 @@ def test_never_match_all(cat, orders_small):
                          ("goto_lookup", "query_builder", "false")]:
         r = ev(cat, rid, key=key, lookup=lk, df=orders_small, apply=True)
         assert not r.ok and r.df is None
+
+
+def test_none_means_blank_and_lookups_never_execute(spark, cat, orders_small):  # D16, D17
+    from ruleloom import generate
+
+    ok, valid, msg, text, df = generate(spark, cat, "identification", "query_builder", "b", "false",
+                                        table_name=None, apply_query=True, as_of=AS_OF)
+    assert ok and valid and df is None and text == "(o_totalprice) >= 400000"
+    ok, valid, msg, value, df = generate(spark, cat, "identification", "value_lookup", "v", "true", value_key="a",
+                                         table_name=orders_small, apply_query=True, as_of=AS_OF)
+    assert (ok, valid, value, df) == (True, True, "yes", None)
+
+
+def test_first_lookup_entry_wins(spark):  # D21
+    c = catalog_of(spark, [rule("two", [lookup({"a": "first"}), lookup({"a": "second"})], key="value_lookup",
+                                lookup="true")])
+    assert evaluate(c, "identification", "value_lookup", "two", "true", value_key="a", as_of=AS_OF).value == "first"
+
+
+def test_nulls_follow_sql_logic(spark):  # D23
+    df = spark.createDataFrame([(1, None, None), (2, "ECONOMY", 5), (3, "STANDARD", None)], "k int, t string, n int")
+    c = catalog_of(spark, [rule("nl", [cond("t", "NOT LIKE", "ECON")]), rule("lt", [cond("n", "<", "10")]),
+                           rule("ns", [cond("t", "<=>", "STANDARD")]), rule("ne", [cond("t", "!=", "ECONOMY")])])
+    from ruleloom import apply_rule
+
+    assert [r["k"] for r in apply_rule(df, c, "nl", as_of=AS_OF).collect()] == [3]
+    assert [r["k"] for r in apply_rule(df, c, "lt", as_of=AS_OF).collect()] == [2]
+    assert [r["k"] for r in apply_rule(df, c, "ns", as_of=AS_OF).collect()] == [3]
+    assert [r["k"] for r in apply_rule(df, c, "ne", as_of=AS_OF).collect()] == [3]
