@@ -37,11 +37,7 @@ def group_lookup(df: DataFrame, catalog, rule_id: str, aggs: list[Column] | dict
     if not aggs:
         raise RuleError(Status.NOT_APPLICABLE, f"group rule {rule_id} needs at least one aggregate")
     keys = group_keys(plan.tail)
-    return df.groupBy(*[F.expr(k).alias(k) if _is_name(k) else F.expr(k) for k in keys]).agg(*aggs)
-
-
-def _is_name(k: str) -> bool:
-    return k.replace("_", "").isalnum()
+    return df.groupBy(*[F.expr(k) for k in keys]).agg(*aggs)
 
 
 def epoch_micros(col: Column, dtype: T.DataType) -> Column:

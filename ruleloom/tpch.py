@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .functions.lookups import explode_pairs
 from .operators.actions import rule_hit_counts, tag, tag_all, transform
 from .operators.aggregate import exact_sum, group_lookup, time_span
-from .operators.apply import apply_rule, apply_stages, evaluate, rule_plan
+from .operators.apply import apply_rule, apply_stages, evaluate
 from .operators.lookups import match_lookup
 from .plans.catalog import RuleCatalog
 from .session import shared_path
