@@ -131,9 +131,22 @@ def apply_stages(df: DataFrame, catalog: RuleCatalog, rule_ids, as_of=None, guar
     return out
 
 
+_LOADED: dict[tuple[str, str], RuleCatalog] = {}
+
+
+def catalog_for(spark: SparkSession, catalog: RuleCatalog | str) -> RuleCatalog:
+    """A catalog as given, or loaded once per session from a document path."""
+    if isinstance(catalog, RuleCatalog):
+        return catalog
+    key = (spark.sparkContext.applicationId, str(catalog))
+    if key not in _LOADED or _LOADED[key].spark is not spark:
+        _LOADED[key] = RuleCatalog.load(spark, str(catalog))
+    return _LOADED[key]
+
+
 def generate(
     spark: SparkSession,
-    catalog: RuleCatalog,
+    catalog: RuleCatalog | str,
     process: str,
     process_key: str,
     rule_id: str,
@@ -146,9 +159,12 @@ def generate(
 ):
     """The 5-tuple call shape ``(params_ok, rule_ok, message, text_or_value, df)``.
 
-    ``table_name`` may be a registered table / view name (S4) or a DataFrame;
-    blank or None means "no table": only the text is returned.
+    ``catalog`` is a :class:`RuleCatalog` or the path of a rule document
+    (loaded once per session). ``table_name`` may be a registered table /
+    view name (S4) or a DataFrame; blank or None means "no table": only the
+    text is returned.
     """
+    catalog = catalog_for(spark, catalog)
     df = None
     if isinstance(table_name, DataFrame) or (table_name is not None and str(table_name).strip()):
         df = read_table(spark, table_name)

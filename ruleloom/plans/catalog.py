@@ -299,3 +299,9 @@ class RuleCatalog:
         return self.frame.filter(F.col("process_key").isin(*LOOKUP_KEYS)).select(
             "source", "rule_pos", "id", "process_key", F.get(F.col("when"), 0)["lookup_value"].alias("lookup_value")
         )
+
+
+def split_rules(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """R1–R3 in one call: ``(headers, conditions)`` of rule documents."""
+    cat = RuleCatalog(documents)
+    return cat.headers(), cat.conditions()

@@ -78,3 +78,19 @@ def test_generate_tuple_with_named_tables(spark, sample, sample_catalog):
 def test_event_time_is_date_plus_time(sample):
     row = sample.filter("session_id = 2 and id = 12").select("event_time").first()
     assert str(row[0]) == "2022-02-03 15:10:00"
+
+
+def test_generate_with_document_path(spark, sample):
+    import os
+
+    from conftest import FIXTURES
+
+    from ruleloom import split_rules
+    from ruleloom.sources.readers import read_rule_document
+
+    path = os.path.join(FIXTURES, "sample_rules.json")
+    ok, valid, msg, text, df = generate(spark, path, "filtration", "query_lookup", "s_filter", "true",
+                                        table_name=sample, apply_query=True, as_of=AS_OF)
+    assert ok and valid and df.count() == 6
+    headers, conditions = split_rules(read_rule_document(spark, path))
+    assert headers.count() == 5 and conditions.count() == 5
