@@ -26,7 +26,7 @@ def exact_sum(col: str | Column, scale: int = 2) -> Column:
 def group_lookup(df: DataFrame, catalog, rule_id: str, aggs: list[Column] | dict[str, Column], as_of=None) -> DataFrame:
     """A1: the rule's ``group by <keys>`` with the aggregates given here.
 
-    The rule only names the keys (the reference names no aggregates), so the
+    The rule only names the keys (rule documents carry no aggregates), so the
     caller supplies them, e.g. ``{"n_rows": F.count("*")}``.
     """
     plan = rule_plan(catalog, rule_id, as_of=as_of)
