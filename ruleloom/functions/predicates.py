@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -150,10 +149,12 @@ def compile_condition(
 
     if isinstance(dtype, _NUMERIC):
         v = value.strip()
-        if _DIGITS.fullmatch(v):
+        if _DIGITS.fullmatch(v) and int(v) <= _LONG_MAX:
             lit = int(v)
+        elif _NUMBER.fullmatch(v) and "e" not in v.lower():
+            lit = Decimal(v)  # exact: 10.5 on an int column, -5, huge integers
         elif _NUMBER.fullmatch(v):
-            lit = Decimal(v)
+            lit = float(v)  # exponent form
         else:
             raise RuleError(
                 Status.BAD_VALUE, f"rule {rule_id}: {value!r} is not a number but {field_name!r} is numeric", rule_id
@@ -211,8 +212,19 @@ def fold_terms(items: list, connectors: list[str | None]):
     if isinstance(items[0], str):
         ands = ["(" + " AND ".join(g) + ")" if len(g) > 1 else g[0] for g in groups]
         return " OR ".join(ands) if len(ands) == 1 else "(" + " OR ".join(ands) + ")"
-    ands = [reduce(lambda a, b: a & b, g) for g in groups]
-    return reduce(lambda a, b: a | b, ands)
+    return balanced([balanced(g, lambda a, b: a & b) for g in groups], lambda a, b: a | b)
+
+
+def balanced(items: list, combine):
+    """Combine with an associative operator as a balanced tree (depth log n),
+    so long chains do not become deeply nested expressions."""
+    level = list(items)
+    while len(level) > 1:
+        nxt = [combine(level[i], level[i + 1]) for i in range(0, len(level) - 1, 2)]
+        if len(level) % 2:
+            nxt.append(level[-1])
+        level = nxt
+    return level[0]
 
 
 def field_types(df, expressions: list[str]) -> dict[str, T.DataType]:

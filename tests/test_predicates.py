@@ -126,3 +126,19 @@ def test_double_column_literals(spark, orders_small, value, expected):
     cat = catalog_of(spark, [rule("r", [cond("o_totalprice", ">=", value)])])
     n = apply_rule(orders_small, cat, "r", as_of=AS_OF).count()
     assert n == orders_small.filter(f"o_totalprice >= {value}").count()
+
+
+def test_long_goto_chain_is_one_balanced_predicate(spark, orders_small):
+    n = 300
+    rules = [rule(f"c{i}", [cond("o_totalprice", ">=", str(i))], ("goto", f"c{i + 1}") if i < n - 1 else ("", ""))
+             for i in range(n)]
+    cat = catalog_of(spark, rules)
+    res = evaluate(cat, "identification", "query_builder", "c0", "false", df=orders_small, apply=True, as_of=AS_OF)
+    assert res.ok and len(res.chain) == n
+    assert res.df.count() == orders_small.filter(f"o_totalprice >= {n - 1}").count()
+
+
+def test_number_forms_on_numeric_columns(spark, sample):
+    assert count(spark, sample, [cond("cash_amount", ">=", "1.1e4")]) == 2
+    assert count(spark, sample, [cond("cash_amount", "<", "99999999999999999999999")]) == 9
+    assert count(spark, sample, [cond("cash_amount", ">", " 10000 ")]) == 2
