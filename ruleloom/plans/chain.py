@@ -87,7 +87,8 @@ class RulePlan:
         ]
         text = fold_terms(texts, [t.connector for t in self.terms])
         for name, value in self.guards:
-            text = f"({name}) = {json.dumps(value)} AND {text}"
+            guard = compile_condition(name, parse_operator("=", self.rule_id), value, None, self.rule_id).sql
+            text = f"{guard} AND {text}"
         return text
 
 

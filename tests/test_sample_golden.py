@@ -94,3 +94,8 @@ def test_generate_with_document_path(spark, sample):
     assert ok and valid and df.count() == 6
     headers, conditions = split_rules(read_rule_document(spark, path))
     assert headers.count() == 5 and conditions.count() == 5
+
+
+def test_guard_text(sample_catalog):
+    res = evaluate(sample_catalog, "identification", "conditional", "s_cond", "true", as_of=AS_OF, guard=True)
+    assert res.text == "(check_cheque_transaction) = 'no' AND (transaction_total_amount - cheque_amount) >= 10000"
