@@ -86,6 +86,12 @@ def value_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_pairs(table(spark, sf_dir, "events"), "props", ["event_id"])
 
 
+def transform_conditional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    out = transform(li, catalog(spark), "net_r", as_of=AS_OF)
+    return out.select("l_orderkey", "l_linenumber", "l_returnflag", "net_returned")
+
+
 def tag_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return tag(orders, catalog(spark), "ord_large", as_of=AS_OF)
@@ -178,6 +184,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "not_like_prefix": _apply("part", "part_not_like"),
     "like_digits": _apply("orders", "ord_digits"),
     "cmp_timestamp": _apply("events", "ev_errors"),
+    "text_digits_numeric": _apply("supplier", "sup_num"),
+    "goto_through_conditional": _apply("orders", "ord_via_cond"),
+    "cmp_not_equal_negative": _apply("customer", "cust_neg"),
+    "ilike_pattern": _apply("part", "brand_ilike"),
+    "rlike_pattern": _apply("part", "part_rlike"),
+    "cmp_date": _apply("orders", "ord_early"),
+    "cmp_decimal_literal": _apply("part", "part_size"),
+    "transform_conditional": transform_conditional,
     "conditional_entry": conditional_entry,
     "conditional_guard": _apply("orders", "ord_cond", guard=True),
     "value_in_props": value_in_props,
@@ -226,6 +240,16 @@ ORACLE_SQL: dict[str, str] = {
     "not_like_prefix": "SELECT * FROM part WHERE p_type NOT LIKE 'ECON%'",
     "like_digits": f"SELECT * FROM orders WHERE {_PRED['ord_digits']}",
     "cmp_timestamp": "SELECT * FROM events WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-15 00:00:00'",
+    "text_digits_numeric": "SELECT * FROM supplier WHERE TRY_CAST(substr(s_name, 10) AS BIGINT) < 50",
+    "goto_through_conditional": f"SELECT * FROM orders WHERE o_orderstatus = 'O' AND {_ORD}",
+    "cmp_not_equal_negative": "SELECT * FROM customer WHERE c_mktsegment <> 'HOUSEHOLD' AND c_acctbal < -500.5",
+    "ilike_pattern": "SELECT * FROM part WHERE p_brand ILIKE 'brand#1%'",
+    "rlike_pattern": "SELECT * FROM part WHERE regexp_matches(p_name, '^(small|red) ')",
+    "cmp_date": "SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) < DATE '1996-01-01'",
+    "cmp_decimal_literal": "SELECT * FROM part WHERE p_size >= 10.5 AND p_retailprice <= 1000",
+    "transform_conditional": "SELECT l_orderkey, l_linenumber, l_returnflag, "
+                             "CASE WHEN l_returnflag = 'R' THEN l_extendedprice - l_quantity END AS net_returned "
+                             "FROM lineitem",
     "conditional_entry": f"SELECT * FROM orders WHERE {_ORD}",
     "conditional_guard": f"SELECT * FROM orders WHERE o_orderstatus = 'O' AND {_ORD}",
     "value_in_props": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events "
