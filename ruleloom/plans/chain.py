@@ -40,6 +40,7 @@ class RulePlan:
     tail: str | None = None  # query / group-by tail
     value: Any = None
     action: tuple[str | None, str | None] = (None, None)  # then.field_name / field_value of the last rule
+    bound_types: dict | None = None  # left-side types of the last DataFrame bound
 
     # -- binding ---------------------------------------------------------
     def fields(self) -> list[str]:
@@ -61,6 +62,7 @@ class RulePlan:
             raise RuleError(Status.NOT_APPLICABLE, f"rule {self.rule_id}: a {self.kind} rule has no predicate")
         if types is None or any(f not in types for f in self.fields()):
             types = field_types(df, self.fields())
+        self.bound_types = types
         cols = [
             compile_condition(t.condition.field_name, parse_operator(t.condition.operator, t.rule_id),
                               t.condition.field_value, types[t.condition.field_name], t.rule_id).column
@@ -72,22 +74,28 @@ class RulePlan:
             pred = guard.column & pred
         return pred
 
-    def sql(self) -> str:
-        """SQL text of the plan (audit / display; never executed as text)."""
+    def sql(self, types: dict | None = None) -> str:
+        """SQL text of the plan (audit / display).
+
+        With ``types`` (as resolved for a bound DataFrame) literals are
+        rendered with the same typing as the Column, so ``df.filter(text)``
+        selects the same rows; without, digits render as integers.
+        """
         if self.kind in ("query", "group"):
             return self.tail or ""
         if self.kind == "value":
             return json.dumps(self.value) if not isinstance(self.value, str) else self.value
         if self.kind == "transform":
             return f"{self.action[1]} AS {self.action[0]}"
+        types = types or {}
         texts = [
             compile_condition(t.condition.field_name, parse_operator(t.condition.operator, t.rule_id),
-                              t.condition.field_value, None, t.rule_id).sql
+                              t.condition.field_value, types.get(t.condition.field_name), t.rule_id).sql
             for t in self.terms
         ]
         text = fold_terms(texts, [t.connector for t in self.terms])
         for name, value in self.guards:
-            guard = compile_condition(name, parse_operator("=", self.rule_id), value, None, self.rule_id).sql
+            guard = compile_condition(name, parse_operator("=", self.rule_id), value, types.get(name), self.rule_id).sql
             text = f"{guard} AND {text}"
         return text
 

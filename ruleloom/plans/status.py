@@ -78,7 +78,7 @@ class RuleResult:
         """Predicate / query tail as SQL text ("" when there is none)."""
         if self.plan is None:
             return ""
-        return self.plan.sql()
+        return self.plan.sql(self.plan.bound_types)
 
     def as_tuple(self):
         """``(params_ok, rule_ok, message, text_or_value, df)``."""

@@ -142,3 +142,15 @@ def test_number_forms_on_numeric_columns(spark, sample):
     assert count(spark, sample, [cond("cash_amount", ">=", "1.1e4")]) == 2
     assert count(spark, sample, [cond("cash_amount", "<", "99999999999999999999999")]) == 9
     assert count(spark, sample, [cond("cash_amount", ">", " 10000 ")]) == 2
+
+
+def test_bound_text_is_typed_sql(spark, sample):
+    cat = catalog_of(spark, [rule("r", [cond("transaction_global_currency_code", "=", "036", "OR"),
+                                        cond("cash_transaction", "=", "TRUE", "AND"),
+                                        cond("cash_amount", ">=", "11000.5")])])
+    res = evaluate(cat, "identification", "query_builder", "r", "false", df=sample, as_of=AS_OF)
+    assert res.text == ("(TRY_CAST((transaction_global_currency_code) AS BIGINT) = 36 OR "
+                        "((cash_transaction) = true AND (cash_amount) >= 11000.5))")
+    assert sample.filter(res.text).count() == sample.filter(res.predicate).count() == 2
+    unbound = evaluate(cat, "identification", "query_builder", "r", "false", as_of=AS_OF)
+    assert unbound.text.startswith("((transaction_global_currency_code) = 036 OR")

@@ -12,7 +12,7 @@ from conftest import AS_OF, catalog_of, cond, rule
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from ruleloom import apply_rule
+from ruleloom import apply_rule, evaluate
 
 CONDS = [
     ("o_totalprice", ">=", ["100000", "250000", "400000"]),
@@ -70,6 +70,9 @@ def test_random_chain(spark, orders_small, orders_pdf, chain, last_join):
         rules.append(rule(f"r{n}", when, then))
     cat = catalog_of(spark, rules)
     got = apply_rule(orders_small, cat, "r0", as_of=AS_OF).count()
+    # the typed SQL text of the same call selects the same rows
+    res = evaluate(cat, "identification", "query_builder", "r0", "false", df=orders_small, as_of=AS_OF)
+    assert orders_small.filter(res.text).count() == got, res.text
 
     # expected: evaluate "m0 c0 m1 c1 ..." with Python precedence (& binds tighter than |)
     env = {f"m{i}": m for i, (m, _) in enumerate(flat)}
