@@ -154,7 +154,7 @@ def rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = {}
     for rid in HIT_RULES:
         r = cat.rules_with_id(rid)[0]
-        results[rid] = evaluate(cat, r.process, r.process_key, rid, r.is_lookup, as_of=AS_OF)
+        results[rid] = evaluate(cat, r.process, r.process_key, rid, r.is_lookup, df=orders, as_of=AS_OF)
     run_id = new_run_id()
     path = shared_path(spark, "rule-audit", unique=False)
     append_audit(hits_audit_frame(hits, results, run_id), path)
