@@ -67,12 +67,25 @@ def hits_audit_frame(hits: DataFrame, results: dict[str, RuleResult], run_id: st
     )
 
 
-def append_audit(df: DataFrame, path: str) -> str:
-    """Append audit rows to the parquet log at ``path`` (created on first use)."""
-    df.select(*[F.col(f.name).cast(f.dataType) for f in AUDIT_SCHEMA.fields]).write.mode("append").parquet(path)
+def append_audit(df: DataFrame, path: str, run_id: str | None = None) -> str:
+    """Add one run's audit rows to the parquet log at ``path``.
+
+    Each run is written to its own ``run_id=<id>`` folder: runs never share a
+    job's temporary output (concurrent runs do not clash), a failed run
+    leaves no partial rows in other runs, and reading one run prunes to its
+    folder. ``run_id`` defaults to the single run id found in ``df``.
+    """
+    if run_id is None:
+        ids = [r[0] for r in df.select("run_id").distinct().limit(2).collect()]
+        if len(ids) != 1:
+            raise ValueError("audit rows must belong to exactly one run; pass run_id=")
+        run_id = ids[0]
+    cols = [F.col(f.name).cast(f.dataType) for f in AUDIT_SCHEMA.fields if f.name != "run_id"]
+    df.select(*cols).write.mode("errorifexists").parquet(f"{path.rstrip('/')}/run_id={run_id}")
     return path
 
 
 def read_audit(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    """The audit log (all runs, or one run read from its own folder only)."""
     out = spark.read.schema(AUDIT_SCHEMA).parquet(path)
     return out.filter(F.col("run_id") == run_id) if run_id else out

@@ -157,7 +157,7 @@ def rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         results[rid] = evaluate(cat, r.process, r.process_key, rid, r.is_lookup, df=orders, as_of=AS_OF)
     run_id = new_run_id()
     path = shared_path(spark, "rule-audit", unique=False)
-    append_audit(hits_audit_frame(hits, results, run_id), path)
+    append_audit(hits_audit_frame(hits, results, run_id), path, run_id)
     return read_audit(spark, path, run_id).select("rule_id", "status", "n_hits")
 
 

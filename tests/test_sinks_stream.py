@@ -68,3 +68,18 @@ def test_stream_resumes_from_checkpoint_exactly_once(spark):
     exp = events.filter("event_type = 'error'")
     assert 0 < first < got.count() == exp.count()
     assert got.groupBy("event_id").count().filter(F.col("count") > 1).count() == 0
+
+
+def test_audit_runs_in_own_folders(spark):
+    import os
+
+    cat = catalog_of(spark, [rule("a", [cond("o_totalprice", ">=", "1")])])
+    res = [evaluate(cat, "identification", "query_builder", "a", "false", as_of=AS_OF)]
+    path = shared_path(spark, "t-audit-runs")
+    for run in ("r1", "r2", "r3"):
+        append_audit(audit_frame(spark, res, run), path)
+    assert sorted(d for d in os.listdir(path.replace("file:", "")) if d.startswith("run_id=")) == \
+        ["run_id=r1", "run_id=r2", "run_id=r3"]
+    one = read_audit(spark, path, "r2")
+    assert one.count() == 1 and one.first()["run_id"] == "r2"
+    assert "PartitionFilters: [isnotnull(run_id" in one._jdf.queryExecution().executedPlan().toString()
