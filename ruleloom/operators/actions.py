@@ -6,6 +6,8 @@ Evaluating N rules costs one scan and one projection: every rule becomes a
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from ..plans.chain import RulePlan, transform_column
 from ..plans.status import RuleError, RuleResult, Status
 from .apply import rule_plan
 
+_log = logging.getLogger(__name__)
 
 # Spark abandons whole-stage codegen for a stage whose generated method is
 # larger than this many bytes of bytecode. The JVM does not JIT-compile
@@ -31,6 +34,7 @@ def keep_codegen_jit_friendly(spark) -> None:
     """Lower ``hugeMethodLimit`` to the JIT's limit unless the user set it."""
     if spark.conf.get(HUGE_METHOD_CONF, "65535") == "65535":
         spark.conf.set(HUGE_METHOD_CONF, HUGE_METHOD_LIMIT)
+        _log.info("many rules in one projection: set %s=%s for this session", HUGE_METHOD_CONF, HUGE_METHOD_LIMIT)
 
 
 def rule_statuses(catalog, rule_ids, as_of=None, guard: bool = False) -> dict[str, RuleResult]:

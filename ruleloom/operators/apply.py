@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.catalog import RuleCatalog
-from ..plans.chain import RulePlan, resolve, transform_column, where_condition
+from ..plans.chain import RulePlan, resolve, transform_column, where_filter
 from ..plans.status import RuleError, RuleResult, Status
 from ..sources.readers import read_table
 
@@ -50,9 +50,9 @@ def query_frame(df: DataFrame, tail: str) -> DataFrame:
     streams); anything else runs as ``SELECT * FROM {src} <tail>`` with the
     DataFrame bound as a parameter, never as pasted table text.
     """
-    cond = where_condition(tail, df)
-    if cond is not None:
-        return df.filter(cond)
+    found = where_filter(tail, df)
+    if found is not None:
+        return found[1]
     safe = tail.replace("{", "{{").replace("}", "}}")
     return df.sparkSession.sql("SELECT * FROM {src} " + safe, src=df)
 

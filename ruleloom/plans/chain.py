@@ -104,20 +104,24 @@ _WHERE = re.compile(r"^\s*where\s+(.*\S)\s*$", re.IGNORECASE | re.DOTALL)
 _GROUP = re.compile(r"^\s*group\s+by\s+(.*\S)\s*$", re.IGNORECASE | re.DOTALL)
 
 
-def where_condition(tail: str | None, df: DataFrame) -> str | None:
-    """``" where a = 1 and …"`` → ``"a = 1 and …"`` when it is a predicate on ``df``.
-
-    ``None`` when more than a predicate follows (``ORDER BY``, ``LIMIT`` …);
-    ``df.filter(text)`` parses eagerly, nothing is executed.
+def where_filter(tail: str | None, df: DataFrame) -> tuple[str, DataFrame] | None:
+    """``" where a = 1 and …"`` → ``("a = 1 and …", df.filter(...))`` when the
+    tail is a plain predicate on ``df``; ``None`` when more follows (``ORDER
+    BY``, ``LIMIT`` …). ``df.filter(text)`` parses eagerly, nothing runs.
     """
     m = _WHERE.match(tail or "")
     if not m:
         return None
     try:
-        df.filter(m.group(1))
+        return m.group(1), df.filter(m.group(1))
     except ParseException:
         return None
-    return m.group(1)
+
+
+def where_condition(tail: str | None, df: DataFrame) -> str | None:
+    """The predicate text of a plain ``where`` tail (see :func:`where_filter`)."""
+    found = where_filter(tail, df)
+    return found[0] if found else None
 
 
 def group_keys(tail: str | None) -> list[str]:
