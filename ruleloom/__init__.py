@@ -6,7 +6,7 @@ rules it jumps to) into a plan, binds it to a DataFrame as one Column and
 returns a lazy result with a status.
 """
 
-from .operators.actions import rule_hit_counts, rule_predicates, rule_statuses, tag, tag_all, transform
+from .operators.actions import rule_hit_counts, rule_predicates, rule_statuses, tag, tag_all, transform, validate_rules
 from .operators.aggregate import exact_sum, group_lookup, order_by, time_span
 from .operators.apply import apply_plan, catalog_for, apply_rule, apply_stages, evaluate, generate, query_frame, rule_plan
 from .operators.lookups import match_lookup, rule_values, value, values
@@ -17,7 +17,7 @@ from .plans.status import RuleError, RuleResult, Status
 __all__ = [
     "RuleCatalog", "split_rules", "Rule", "Condition", "RulePlan", "RuleResult", "RuleError", "Status",
     "resolve", "evaluate", "generate", "catalog_for", "rule_plan", "apply_rule", "apply_plan", "apply_stages", "query_frame",
-    "tag", "tag_all", "transform", "rule_hit_counts", "rule_predicates", "rule_statuses",
+    "tag", "tag_all", "transform", "rule_hit_counts", "rule_predicates", "rule_statuses", "validate_rules",
     "value", "values", "rule_values", "match_lookup",
     "group_lookup", "time_span", "order_by", "exact_sum",
 ]

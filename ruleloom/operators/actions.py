@@ -50,6 +50,21 @@ def rule_statuses(catalog, rule_ids, as_of=None, guard: bool = False) -> dict[st
     return out
 
 
+def validate_rules(catalog, as_of=None, guard: bool = False) -> DataFrame:
+    """R9 with chains: every rule of the document resolved as a call would.
+
+    ``(rule_id, status, message, chain)`` per rule id — dangling or cyclic
+    ``goto``, bad connectors, operators or lookups show up here, not only
+    switched-off or expired rules (for those, :meth:`RuleCatalog.status` is
+    a pure DataFrame view). Resolution uses the driver-side rule index, so
+    it is meant for rule documents, not data.
+    """
+    ids = catalog.all_ids()
+    res = rule_statuses(catalog, ids, as_of, guard)
+    rows = [(rid, r.status.value, r.message, " -> ".join(r.chain) or None) for rid, r in res.items()]
+    return catalog.spark.createDataFrame(rows, "rule_id string, status string, message string, chain string")
+
+
 def _plans(catalog, rule_ids, as_of, guard=False, errors: str = "raise") -> list[RulePlan]:
     """Plans for ``rule_ids``; unusable rules raise, or are left out with
     ``errors="skip"`` (see :func:`rule_statuses` for why)."""

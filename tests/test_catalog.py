@@ -106,3 +106,15 @@ def test_empty_document_is_an_empty_catalog(spark):
     cat = RuleCatalog.from_json(spark, '{"rules": []}')
     assert cat.all_ids() == []
     assert evaluate(cat, "identification", "query_builder", "x", "false", as_of=AS_OF).status is Status.NOT_CONFIGURED
+
+
+def test_validate_rules_reports_chain_problems(spark):
+    from ruleloom import tpch, validate_rules
+
+    got = {r["rule_id"]: (r["status"], r["chain"]) for r in validate_rules(tpch.catalog(spark), AS_OF).collect()}
+    assert got["ord_c1"] == ("ok", "ord_c1 -> ord_c2 -> ord_c3")
+    assert got["ord_via_cond"] == ("ok", "ord_via_cond -> ord_cond -> ord_large")
+    assert got["dangling"][0] == "goto_unknown"
+    assert got["loop_a"][0] == "goto_cycle"
+    assert got["off"][0] == "off" and got["expired"][0] == "out_of_window" and got["bad_date"][0] == "bad_date"
+    assert got["vals"][0] == "ok" and got["grp"][0] == "ok" and got["net"][0] == "ok"
