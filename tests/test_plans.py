@@ -48,3 +48,16 @@ def test_group_lookup_aggregates_map_side(spark):
     text = plan_text(out)
     # partial aggregation before the shuffle (skew-safe for algebraic aggregates)
     assert "partial_count" in text and "partial_sum" in text
+
+
+def test_lookup_precheck_is_pushed_and_json_parsed_once(spark):
+    text = plan_text(tpch.value_in_props(spark, SF_SMALL))
+    assert "StringContains(props,k)" in text and "StringContains(props,9)" in text
+    assert "ReadSchema: struct<event_id:bigint,props:string>" in text
+    assert "Exchange" not in text and "BatchEvalPython" not in text
+
+
+def test_time_span_pre_aggregates_before_the_shuffle(spark):
+    text = plan_text(tpch.time_span_query(spark, SF_SMALL))
+    assert "partial_count" in text and "partial_min" in text and "partial_max" in text
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in text
