@@ -169,4 +169,18 @@ def generate(
     if isinstance(table_name, DataFrame) or (table_name is not None and str(table_name).strip()):
         df = read_table(spark, table_name)
     res = evaluate(catalog, process, process_key, rule_id, lookup, value_key, df, apply_query and df is not None, as_of, guard)
-    return res.as_tuple()
+    params_ok, rule_ok, message, payload, out = res.as_tuple()
+    if res.plan is not None and res.plan.kind in ("predicate", "query"):
+        payload = statement_text(res, table_name)
+    return params_ok, rule_ok, message, payload, out
+
+
+def statement_text(res: RuleResult, table_name=None) -> str:
+    """The call's SQL statement: ``SELECT * FROM <table> WHERE …`` for a named
+    table, else the ``WHERE …`` clause (a query tail as written). Literals are
+    typed as in the Column when a table was bound, so running the statement
+    with ``spark.sql`` selects the same rows."""
+    clause = res.text if res.plan.kind == "query" else f"WHERE {res.text}"
+    if isinstance(table_name, str) and table_name.strip():
+        return f"SELECT * FROM {table_name.strip()} {clause}"
+    return clause

@@ -162,7 +162,7 @@ def test_none_means_blank_and_lookups_never_execute(spark, cat, orders_small):
 
     ok, valid, msg, text, df = generate(spark, cat, "identification", "query_builder", "b", "false",
                                         table_name=None, apply_query=True, as_of=AS_OF)
-    assert ok and valid and df is None and text == "(o_totalprice) >= 400000"
+    assert ok and valid and df is None and text == "WHERE (o_totalprice) >= 400000"
     ok, valid, msg, value, df = generate(spark, cat, "identification", "value_lookup", "v", "true", value_key="a",
                                          table_name=orders_small, apply_query=True, as_of=AS_OF)
     assert (ok, valid, value, df) == (True, True, "yes", None)

@@ -69,7 +69,14 @@ def test_generate_tuple_with_named_tables(spark, sample, sample_catalog):
     # no table: text only, nothing applied
     ok, valid, msg, text, df = generate(spark, sample_catalog, "identification", "query_builder", "s_net", "false",
                                         table_name="  ", apply_query=True, as_of=AS_OF)
-    assert ok and valid and df is None and "cheque_amount" in text
+    assert ok and valid and df is None and text == "WHERE (transaction_total_amount - cheque_amount) >= 10000"
+    # not applied: the returned statement runs as SQL and selects the same rows
+    for rid, key, lk, n in [("s_net", "query_builder", "false", 2), ("s_filter", "query_lookup", "true", 6)]:
+        ok, valid, msg, text, df = generate(spark, sample_catalog, "identification" if lk == "false" else "filtration",
+                                            key, rid, lk, table_name="sample_filtered" if n == 2 else "sample_txn",
+                                            apply_query=False, as_of=AS_OF)
+        assert df is None and text.startswith("SELECT * FROM sample_")
+        assert spark.sql(text).count() == n
     ok, valid, msg, value, df = generate(spark, sample_catalog, "identification", "value_lookup", "s_vals", "true",
                                          value_key="flag", as_of=AS_OF)
     assert (ok, valid, value, df) == (True, True, "pass", None)
