@@ -23,10 +23,13 @@ CONDS = [
     ("o_orderpriority", "NOT LIKE", ["3", "4"]),
     ("o_custkey", "<=", ["300", "700"]),
     ("o_orderkey", "LIKE", ["1", "2"]),
+    ("substr(o_orderpriority, 1, 1)", "<=", ["2", "3"]),  # digits against text compare as numbers
 ]
 
 
 def pandas_mask(pdf, field, op, value):
+    if field.startswith("substr("):
+        return pdf["o_orderpriority"].str[0].astype(int) <= int(value)
     col = pdf[field]
     if op == ">=":
         return col >= float(value)
