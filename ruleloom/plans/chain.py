@@ -14,7 +14,7 @@ import re
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.errors import ParseException
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,6 +57,13 @@ class RulePlan:
             cond = where_condition(self.tail, df)
             if cond is None:
                 raise RuleError(Status.BAD_QUERY, f"rule {self.rule_id}: lookup tail is not a plain where clause")
+            try:  # usable as a per-row value (tagging)? checked once, nothing runs
+                df.select(F.expr(cond).alias("_rule"))
+            except AnalysisException as exc:
+                raise RuleError(
+                    Status.BAD_QUERY, f"rule {self.rule_id}: lookup tail cannot be tested per row ({exc.getErrorClass()})",
+                    self.rule_id,
+                ) from exc
             return F.expr(cond)
         if self.kind != "predicate":
             raise RuleError(Status.NOT_APPLICABLE, f"rule {self.rule_id}: a {self.kind} rule has no predicate")

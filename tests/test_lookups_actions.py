@@ -145,3 +145,19 @@ def test_match_lookup_with_escaped_json(spark):
     got = sorted(r["id"] for r in match_lookup(df, cat, "kv", "j", as_of=AS_OF).collect())
     exp = sorted(r["id"] for r in df.filter(F.get_json_object("j", "$.k") == "9").collect())
     assert got == exp == [1, 2, 3]
+
+
+def test_subquery_tail_filters_and_tags(spark, orders_small):
+    """An IN-subquery tail is a filter, and a per-row test when tagging (an existence join)."""
+    from ruleloom import apply_rule
+
+    orders_small.createOrReplaceTempView("orders_v2")
+    cat = catalog_of(spark, [
+        rule("sub", [lookup(" where o_custkey in (select o_custkey from orders_v2 where o_totalprice > 450000)")],
+             key="query_lookup", lookup="true", process="filtration"),
+        rule("big", [cond("o_totalprice", ">=", "400000")]),
+    ])
+    n = apply_rule(orders_small, cat, "sub", as_of=AS_OF).count()
+    out = tag_all(orders_small, cat, ["sub", "big"], as_of=AS_OF)
+    assert n > 0 and out.filter("hits like 'sub%'").count() == n
+    assert out.filter("hits like '%big'").count() == orders_small.filter("o_totalprice >= 400000").count()
