@@ -142,23 +142,47 @@ def tag_all(df: DataFrame, catalog, rule_ids, as_of=None, hits_col: str = "hits"
     return df.select(*cols)
 
 
+# Inputs with more partitions than this merge their per-task counts in two
+# levels (FAN_IN buckets first), so no single task reads one row per input task.
+TREE_MERGE_PARTITIONS = 4096
+FAN_IN = 1024
+
+
+def _num_partitions(df: DataFrame) -> int | None:
+    try:
+        return df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # streaming or remote sessions
+        return None
+
+
 def rule_hit_counts(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = False,
-                    errors: str = "raise") -> DataFrame:
+                    errors: str = "raise", fan_in: int | None = None) -> DataFrame:
     """Rows hit per rule, all rules counted in one scan.
 
-    One global aggregate (a partial count per task, one tiny final merge)
-    followed by an unpivot to ``(rule_pos, rule_id, n_hits)``. With
-    ``errors="skip"`` unusable rules are left out.
+    Each task counts its rows for every rule (a partial aggregate), then the
+    counts are merged and unpivoted to ``(rule_pos, rule_id, n_hits)``. With
+    very many input partitions (or an explicit ``fan_in``) the merge runs in
+    two levels: partial counts are first summed into ``fan_in`` buckets by
+    partition id, so the final merge reads ``fan_in`` rows, not one row per
+    input task. ``errors="skip"`` leaves unusable rules out.
     """
     preds = rule_predicates(df, catalog, rule_ids, as_of, guard, errors)
     if not preds:
         return df.sparkSession.createDataFrame([], "rule_pos int, rule_id string, n_hits bigint")
-    counts = df.agg(*[F.count_if(pred).alias(f"h{i}") for i, (_, pred) in enumerate(preds)])
+    counts = [F.count_if(pred).alias(f"h{i}") for i, (_, pred) in enumerate(preds)]
+    if fan_in is None:
+        n = _num_partitions(df)
+        fan_in = FAN_IN if n is not None and n > TREE_MERGE_PARTITIONS else None
+    if fan_in:
+        buckets = df.groupBy((F.spark_partition_id() % fan_in).alias("_bucket")).agg(*counts)
+        merged = buckets.agg(*[F.sum(f"h{i}").cast("long").alias(f"h{i}") for i in range(len(preds))])
+    else:
+        merged = df.agg(*counts)
     rows = F.array(*[
         F.struct(F.lit(i).alias("rule_pos"), F.lit(rid).alias("rule_id"), F.col(f"h{i}").alias("n_hits"))
         for i, (rid, _) in enumerate(preds)
     ])
-    return counts.select(F.explode(rows).alias("r")).select("r.*")
+    return merged.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def transform(df: DataFrame, catalog, rule_id: str, as_of=None) -> DataFrame:

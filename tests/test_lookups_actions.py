@@ -161,3 +161,15 @@ def test_subquery_tail_filters_and_tags(spark, orders_small):
     out = tag_all(orders_small, cat, ["sub", "big"], as_of=AS_OF)
     assert n > 0 and out.filter("hits like 'sub%'").count() == n
     assert out.filter("hits like '%big'").count() == orders_small.filter("o_totalprice >= 400000").count()
+
+
+def test_hit_counts_two_level_merge_gives_the_same_counts(spark):
+    from ruleloom import tpch
+
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").repartition(12)
+    rules = ["li_net", "li_net60"]
+    direct = {r["rule_id"]: r["n_hits"] for r in rule_hit_counts(li, tpch.catalog(spark), rules, as_of=AS_OF).collect()}
+    tree = {r["rule_id"]: r["n_hits"]
+            for r in rule_hit_counts(li, tpch.catalog(spark), rules, as_of=AS_OF, fan_in=5).collect()}
+    assert direct == tree
+    assert direct["li_net60"] == li.filter("l_extendedprice - l_extendedprice*l_discount >= 60000").count()
