@@ -119,16 +119,21 @@ def compile_condition(
     value: str | None,
     dtype: T.DataType | None,
     rule_id: str | None = None,
+    left: Column | None = None,
 ) -> Compiled:
     """One condition → Column (when ``dtype`` is known) and SQL text.
 
     ``dtype`` is the type of the left side; without it (no table bound) only
-    the text is produced, typed the simple way (digits → integer).
+    the text is produced, typed the simple way (digits → integer). ``left``
+    may pass an already built Column for ``field_name`` (shared across rules).
     """
     if value is None:
         raise RuleError(Status.BAD_VALUE, f"rule {rule_id}: condition on {field_name!r} has no value", rule_id)
     left_sql = f"({field_name})"
-    left = F.expr(field_name) if dtype is not None else None
+    if dtype is None:
+        left = None
+    elif left is None:
+        left = F.expr(field_name)
 
     if op.kind != "cmp":
         pattern = value + "%" if (op.kind == "like" and op.prefix) else value

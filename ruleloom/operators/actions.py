@@ -84,7 +84,8 @@ def _bind(df: DataFrame, plans: list[RulePlan]) -> list[Column]:
     if len(plans) > MANY_RULES:
         keep_codegen_jit_friendly(df.sparkSession)
     types = field_types(df, [f for p in plans if p.kind == "predicate" for f in p.fields()])
-    return [p.predicate(df, types) for p in plans]
+    lefts: dict = {}
+    return [p.predicate(df, types, lefts) if p.kind == "predicate" else p.predicate(df, types) for p in plans]
 
 
 def rule_predicates(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = False,

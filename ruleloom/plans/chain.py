@@ -47,11 +47,12 @@ class RulePlan:
         """Left-side expressions the predicate needs typed."""
         return [t.condition.field_name for t in self.terms] + [g[0] for g in self.guards]
 
-    def predicate(self, df: DataFrame, types: dict | None = None) -> Column:
+    def predicate(self, df: DataFrame, types: dict | None = None, lefts: dict | None = None) -> Column:
         """The plan's filter as one Column over ``df``'s columns.
 
         ``types`` (field expression → data type) may be resolved once for
         many plans; otherwise it is resolved here in one analysis pass.
+        ``lefts`` caches the left-side Column per field across plans.
         """
         if self.kind == "query":
             cond = where_condition(self.tail, df)
@@ -70,14 +71,20 @@ class RulePlan:
         if types is None or any(f not in types for f in self.fields()):
             types = field_types(df, self.fields())
         self.bound_types = types
+        lefts = {} if lefts is None else lefts
+        for f in self.fields():
+            if f not in lefts:
+                lefts[f] = F.expr(f)
         cols = [
             compile_condition(t.condition.field_name, parse_operator(t.condition.operator, t.rule_id),
-                              t.condition.field_value, types[t.condition.field_name], t.rule_id).column
+                              t.condition.field_value, types[t.condition.field_name], t.rule_id,
+                              lefts[t.condition.field_name]).column
             for t in self.terms
         ]
         pred = fold_terms(cols, [t.connector for t in self.terms])
         for name, value in self.guards:
-            guard = compile_condition(name, parse_operator("=", self.rule_id), value, types[name], self.rule_id)
+            guard = compile_condition(name, parse_operator("=", self.rule_id), value, types[name], self.rule_id,
+                                      lefts[name])
             pred = guard.column & pred
         return pred
 
