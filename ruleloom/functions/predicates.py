@@ -232,8 +232,28 @@ def balanced(items: list, combine):
     return level[0]
 
 
+_PLAIN_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
+
+
 def field_types(df, expressions: list[str]) -> dict[str, T.DataType]:
-    """Resolve the type of every left-side expression in one analysis pass."""
+    """Resolve the type of every left-side expression.
+
+    Plain column names are read from the schema; the remaining expressions
+    are typed together in one analysis pass.
+    """
+    out: dict[str, T.DataType] = {}
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    rest = []
+    for e in dict.fromkeys(expressions):
+        name = e.strip()
+        if _PLAIN_NAME.fullmatch(name) and name in fields:
+            out[e] = fields[name]
+        else:
+            rest.append(e)
+    return {**out, **_analysed_types(df, rest)}
+
+
+def _analysed_types(df, expressions: list[str]) -> dict[str, T.DataType]:
     uniq = list(dict.fromkeys(expressions))
     if not uniq:
         return {}
