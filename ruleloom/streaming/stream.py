@@ -67,3 +67,23 @@ def run_to_parquet(stream: DataFrame, out_path: str | None = None, checkpoint: s
     )
     query.awaitTermination()
     return out_path
+
+
+def start_to_parquet(stream: DataFrame, out_path: str | None = None, checkpoint: str | None = None,
+                     name: str = "rules", every: str = "1 minute"):
+    """Run continuously: a micro-batch every ``every``, appended to parquet.
+
+    Returns the ``StreamingQuery`` (stop it with ``.stop()``); the checkpoint
+    lets a restarted query continue where this one stopped.
+    """
+    spark = stream.sparkSession
+    out_path = out_path or shared_path(spark, f"stream-out-{name}")
+    checkpoint = checkpoint or shared_path(spark, f"stream-ckpt-{name}")
+    return (
+        stream.writeStream.format("parquet")
+        .option("path", out_path)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(processingTime=every)
+        .start()
+    )

@@ -83,3 +83,18 @@ def test_audit_runs_in_own_folders(spark):
     one = read_audit(spark, path, "r2")
     assert one.count() == 1 and one.first()["run_id"] == "r2"
     assert "PartitionFilters: [isnotnull(run_id" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_continuous_stream_with_processing_time_trigger(spark):
+    from ruleloom.streaming.stream import start_to_parquet
+
+    cat = catalog_of(spark, [rule("e", [cond("event_type", "=", "purchase")])])
+    src = f"{SF_SMALL}/events.parquet"
+    out, ckpt = shared_path(spark, "t-cont-out"), shared_path(spark, "t-cont-ckpt")
+    query = start_to_parquet(filter_stream(parquet_stream(spark, src), cat, "e", as_of=AS_OF), out, ckpt,
+                             every="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(out).count() == spark.read.parquet(src).filter("event_type = 'purchase'").count()
