@@ -167,19 +167,29 @@ def _to_rule(row) -> Rule:
 class RuleCatalog:
     """Rules loaded once per session; pass the catalog to every call."""
 
-    def __init__(self, documents: DataFrame, max_local_rules: int = DEFAULT_LOCAL_RULES):
+    def __init__(self, documents: DataFrame, max_local_rules: int = DEFAULT_LOCAL_RULES, path: str | None = None):
         self.spark: SparkSession = documents.sparkSession
+        self.path = path
+        self.max_local_rules = max_local_rules
+        self._use(documents)
+
+    def _use(self, documents: DataFrame) -> None:
         self.documents = documents
         self.frame = rules_frame(documents)
-        self.max_local_rules = max_local_rules
         self._by_id: dict[str, list[Rule]] = {}
         self._complete = False
         self._loaded = False
 
+    def refresh(self) -> "RuleCatalog":
+        """Forget the index; a catalog loaded from a path reads it again
+        (edited rules take effect on the next call)."""
+        self._use(read_rule_document(self.spark, self.path) if self.path else self.documents)
+        return self
+
     # -- construction ---------------------------------------------------
     @classmethod
     def load(cls, spark: SparkSession, path: str, **kw) -> "RuleCatalog":
-        return cls(read_rule_document(spark, path), **kw)
+        return cls(read_rule_document(spark, path), path=path, **kw)
 
     @classmethod
     def from_json(cls, spark: SparkSession, text: str | list[str], **kw) -> "RuleCatalog":

@@ -87,3 +87,36 @@ def start_to_parquet(stream: DataFrame, out_path: str | None = None, checkpoint:
         .trigger(processingTime=every)
         .start()
     )
+
+
+def run_with_current_rules(stream: DataFrame, rules_path: str, rule_ids, out_path: str | None = None,
+                           checkpoint: str | None = None, as_of=None, name: str = "rules",
+                           every: str | None = None):
+    """Apply rules that may change while the stream runs.
+
+    Every micro-batch reloads the rule document (one small job) and applies
+    ``rule_ids`` as stages, with the validity window checked on the batch's
+    day when ``as_of`` is None. Each batch is written to its own
+    ``epoch=<id>`` folder with overwrite, so a retried batch replaces its own
+    output: results stay exactly-once. ``every=None`` drains what is
+    available and stops; otherwise the query keeps running (returned).
+    """
+    from ..plans.catalog import RuleCatalog
+
+    spark = stream.sparkSession
+    out_path = out_path or shared_path(spark, f"stream-out-{name}")
+    checkpoint = checkpoint or shared_path(spark, f"stream-ckpt-{name}")
+    ids = [rule_ids] if isinstance(rule_ids, str) else list(rule_ids)
+
+    def batch(df: DataFrame, epoch_id: int) -> None:
+        catalog = RuleCatalog.load(df.sparkSession, rules_path)
+        out = df
+        for rid in ids:
+            out = apply_rule(out, catalog, rid, as_of=as_of)
+        out.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch_id}")
+
+    writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    if every is None:
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return out_path
+    return writer.trigger(processingTime=every).start()

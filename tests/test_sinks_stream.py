@@ -98,3 +98,54 @@ def test_continuous_stream_with_processing_time_trigger(spark):
     finally:
         query.stop()
     assert spark.read.parquet(out).count() == spark.read.parquet(src).filter("event_type = 'purchase'").count()
+
+
+def test_stream_picks_up_edited_rules(spark):
+    import json
+    import os
+
+    from ruleloom.streaming.stream import run_with_current_rules
+
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    base = shared_path(spark, "t-live-rules").replace("file:", "")
+    os.makedirs(base)
+    rules_file = os.path.join(base, "rules.json")
+
+    def write_rules(event_type):
+        with open(rules_file, "w") as f:
+            json.dump({"rules": [rule("live", [cond("event_type", "=", event_type)])]}, f)
+
+    src = shared_path(spark, "t-live-src")
+    out, ckpt = shared_path(spark, "t-live-out"), shared_path(spark, "t-live-ckpt")
+    events.filter("ts < '2024-01-16'").write.parquet(f"{src}/part=a")
+    write_rules("error")
+    stream = spark.readStream.schema(events.schema).parquet(f"{src}/*")
+    run_with_current_rules(stream, rules_file, ["live"], out, ckpt, as_of=AS_OF)
+    events.filter("ts >= '2024-01-16'").write.parquet(f"{src}/part=b")
+    write_rules("click")  # the rule changes while the stream runs
+    stream = spark.readStream.schema(events.schema).parquet(f"{src}/*")
+    run_with_current_rules(stream, rules_file, ["live"], out, ckpt, as_of=AS_OF)
+    got = spark.read.parquet(out)
+    exp_a = events.filter("ts < '2024-01-16' and event_type = 'error'").count()
+    exp_b = events.filter("ts >= '2024-01-16' and event_type = 'click'").count()
+    assert got.count() == exp_a + exp_b
+    assert {r[0] for r in got.select("event_type").distinct().collect()} == {"error", "click"}
+
+
+def test_catalog_refresh_reads_edits(spark):
+    import json
+    import os
+
+    from ruleloom import RuleCatalog, evaluate
+
+    base = shared_path(spark, "t-refresh").replace("file:", "")
+    os.makedirs(base)
+    path = os.path.join(base, "rules.json")
+    with open(path, "w") as f:
+        json.dump({"rules": [rule("r", [cond("o_totalprice", ">=", "1")], valid="false")]}, f)
+    cat = RuleCatalog.load(spark, path)
+    assert evaluate(cat, "identification", "query_builder", "r", "false", as_of=AS_OF).status.value == "off"
+    with open(path, "w") as f:
+        json.dump({"rules": [rule("r", [cond("o_totalprice", ">=", "1")])]}, f)
+    assert evaluate(cat, "identification", "query_builder", "r", "false", as_of=AS_OF).status.value == "off"
+    assert evaluate(cat.refresh(), "identification", "query_builder", "r", "false", as_of=AS_OF).ok
