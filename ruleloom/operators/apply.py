@@ -156,15 +156,19 @@ def generate(
     apply_query: bool = False,
     as_of=None,
     guard: bool = False,
+    fresh: bool = False,
 ):
     """The 5-tuple call shape ``(params_ok, rule_ok, message, text_or_value, df)``.
 
     ``catalog`` is a :class:`RuleCatalog` or the path of a rule document
-    (loaded once per session). ``table_name`` may be a registered table /
+    (loaded once per session; ``fresh=True`` re-reads it for this call, for
+    documents edited between calls). ``table_name`` may be a registered table /
     view name (S4) or a DataFrame; blank or None means "no table": only the
     text is returned.
     """
     catalog = catalog_for(spark, catalog)
+    if fresh:
+        catalog.refresh()
     df = None
     if isinstance(table_name, DataFrame) or (table_name is not None and str(table_name).strip()):
         df = read_table(spark, table_name)
