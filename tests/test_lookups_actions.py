@@ -173,3 +173,12 @@ def test_hit_counts_two_level_merge_gives_the_same_counts(spark):
             for r in rule_hit_counts(li, tpch.catalog(spark), rules, as_of=AS_OF, fan_in=5).collect()}
     assert direct == tree
     assert direct["li_net60"] == li.filter("l_extendedprice - l_extendedprice*l_discount >= 60000").count()
+
+
+def test_tag_keeps_existing_values_on_misses(spark, sample, cat):
+    pre = sample.withColumn("is_big", F.lit("unknown"))
+    out = tag(pre, cat, "big", as_of=AS_OF)
+    vals = sorted(r["is_big"] for r in out.collect())
+    assert vals == ["unknown"] * 4 + ["yes"] * 5
+    out = tag(sample, cat, "big", as_of=AS_OF, column="flag", value="Y")
+    assert out.filter("flag = 'Y'").count() == 5 and out.filter("flag is null").count() == 4
