@@ -6,9 +6,26 @@ rules it jumps to) into a plan, binds it to a DataFrame as one Column and
 returns a lazy result with a status.
 """
 
-from .operators.actions import rule_hit_counts, rule_predicates, rule_statuses, tag, tag_all, transform, validate_rules
+from .operators.actions import (
+    rule_hit_counts,
+    rule_predicates,
+    rule_statuses,
+    tag,
+    tag_all,
+    transform,
+    validate_rules,
+)
 from .operators.aggregate import exact_sum, group_lookup, order_by, time_span
-from .operators.apply import apply_plan, catalog_for, apply_rule, apply_stages, evaluate, generate, query_frame, rule_plan
+from .operators.apply import (
+    apply_plan,
+    apply_rule,
+    apply_stages,
+    catalog_for,
+    evaluate,
+    generate,
+    query_frame,
+    rule_plan,
+)
 from .operators.lookups import match_lookup, rule_values, value, values
 from .plans.catalog import Condition, Rule, RuleCatalog, split_rules
 from .plans.chain import RulePlan, resolve
