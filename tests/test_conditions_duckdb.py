@@ -1,0 +1,55 @@
+"""Single conditions, typed by the library, against hand-written DuckDB SQL (sf0.001)."""
+
+import duckdb
+import pytest
+from conftest import AS_OF, SF_SMALL, catalog_of, cond, rule
+
+from ruleloom import apply_rule
+
+# (table, field, operator, value, DuckDB predicate)
+CASES = [
+    ("orders", "o_totalprice", ">=", "250000", "o_totalprice >= 250000"),
+    ("orders", "o_totalprice", "<", "1000.75", "o_totalprice < 1000.75"),
+    ("orders", "o_totalprice", "<=>", "112946.26", "o_totalprice IS NOT DISTINCT FROM 112946.26"),
+    ("orders", "o_custkey", "<>", "0899", "o_custkey <> 899"),
+    ("orders", "o_custkey", ">", "-1", "o_custkey > -1"),
+    ("orders", "o_orderstatus", "==", "P", "o_orderstatus = 'P'"),
+    ("orders", "o_orderpriority", "LIKE", "5-", "o_orderpriority LIKE '5-%'"),
+    ("orders", "o_orderpriority", "NOT LIKE", "1", "o_orderpriority NOT LIKE '1%'"),
+    ("orders", "o_orderpriority", "like", "5-LOW", "o_orderpriority LIKE '5-LOW'"),
+    ("orders", "o_orderpriority", "ILIKE", "%urgent", "o_orderpriority ILIKE '%urgent'"),
+    ("orders", "o_orderpriority", "NOT ILIKE", "%high", "o_orderpriority NOT ILIKE '%high'"),
+    ("orders", "o_orderpriority", "RLIKE", "^[12]-", "regexp_matches(o_orderpriority, '^[12]-')"),
+    ("orders", "o_orderpriority", "NOT REGEXP", "LOW$", "NOT regexp_matches(o_orderpriority, 'LOW$')"),
+    ("orders", "o_orderkey", "LIKE", "12", "CAST(o_orderkey AS VARCHAR) LIKE '12%'"),
+    ("orders", "o_orderkey", "NOT LIKE", "1", "CAST(o_orderkey AS VARCHAR) NOT LIKE '1%'"),
+    ("orders", "o_orderdate", ">=", "1999-06-01", "o_orderdate >= TIMESTAMP '1999-06-01'"),
+    ("orders", "o_orderdate", "<", "1996-03-15 12:00:00", "o_orderdate < TIMESTAMP '1996-03-15 12:00:00'"),
+    ("orders", "cast(o_orderdate as date)", "=", "1998-10-03", "CAST(o_orderdate AS DATE) = DATE '1998-10-03'"),
+    ("orders", "o_totalprice / 1000", ">", "400", "o_totalprice / 1000 > 400"),
+    ("orders", "substr(o_orderpriority, 1, 1)", ">=", "4", "TRY_CAST(substr(o_orderpriority, 1, 1) AS BIGINT) >= 4"),
+    ("orders", "o_orderpriority", "=", "1", "TRY_CAST(o_orderpriority AS BIGINT) = 1"),
+    ("part", "p_size", ">=", "10.5", "p_size >= 10.5"),
+    ("part", "p_size", "=", "1e1", "p_size = 10"),
+    ("part", "p_retailprice", "<=", "+900.5", "p_retailprice <= 900.5"),
+    ("part", "p_brand", "!=", "Brand#2", "p_brand <> 'Brand#2'"),
+    ("part", "p_name", "LIKE", "red", "p_name LIKE 'red%'"),
+    ("part", "p_name", "=", "it's", "p_name = 'it''s'"),
+]
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in ("orders", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    return con
+
+
+@pytest.mark.parametrize("table,field,op,value,sql", CASES)
+def test_condition_matches_duckdb(spark, duck, table, field, op, value, sql):
+    df = spark.read.parquet(f"{SF_SMALL}/{table}.parquet")
+    cat = catalog_of(spark, [rule("c", [cond(field, op, value)])])
+    got = apply_rule(df, cat, "c", as_of=AS_OF).count()
+    exp = duck.sql(f"SELECT count(*) FROM {table} WHERE {sql}").fetchall()[0][0]
+    assert got == exp
