@@ -118,3 +118,24 @@ def test_validate_rules_reports_chain_problems(spark):
     assert got["loop_a"][0] == "goto_cycle"
     assert got["off"][0] == "off" and got["expired"][0] == "out_of_window" and got["bad_date"][0] == "bad_date"
     assert got["vals"][0] == "ok" and got["grp"][0] == "ok" and got["net"][0] == "ok"
+
+
+def test_folder_of_documents(spark, orders_small):
+    import json as _json
+
+    from ruleloom.session import shared_path
+
+    base = shared_path(spark, "t-docs").replace("file:", "")
+    os.makedirs(base)
+    docs = {
+        "a.json": [rule("x", [cond("o_orderstatus", "=", "F")]), rule("y", [cond("o_totalprice", ">=", "1")])],
+        "b.json": [rule("x", [cond("o_orderstatus", "=", "O")]), rule("z", [cond("o_totalprice", "<", "1000")])],
+    }
+    for name, rules in docs.items():
+        with open(os.path.join(base, name), "w") as f:
+            _json.dump({"rules": rules}, f, indent=2)
+    cat = RuleCatalog.load(spark, base)
+    assert cat.all_ids() == ["x", "y", "z"]
+    assert [r["id"] for r in cat.duplicates().collect()] == ["x"]
+    # the first document (by file name) defines x
+    assert apply_rule(orders_small, cat, "x", as_of=AS_OF).count() == orders_small.filter("o_orderstatus = 'F'").count()
