@@ -1,0 +1,46 @@
+"""Four rule calls on the transaction sample: filtration, a value lookup,
+identification on the filtered rows, and a conditional rule.
+
+    python examples/sample_flow.py [as_of=2022-03-01]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+from ruleloom import RuleCatalog, generate  # noqa: E402
+from ruleloom.session import local_session  # noqa: E402
+from ruleloom.sources.readers import read_sample_facts, register  # noqa: E402
+
+FIXTURES = os.path.join(ROOT, "tests", "fixtures")
+
+
+def main(as_of: dt.date) -> None:
+    spark = local_session(app="ruleloom-sample")
+    spark.sparkContext.setLogLevel("ERROR")
+    register(read_sample_facts(spark, os.path.join(FIXTURES, "sample_facts.csv")), "transactions")
+    rules = RuleCatalog.load(spark, os.path.join(FIXTURES, "sample_rules.json"))
+
+    calls = [
+        ("filtration", "query_lookup", "s_filter", "true", None, "transactions", "filtered"),
+        ("identification", "value_lookup", "s_vals", "true", "check_cheque_transaction", None, None),
+        ("identification", "query_builder", "s_net", "false", None, "filtered", "identified"),
+        ("identification", "conditional", "s_cond", "true", None, "filtered", "identified"),
+    ]
+    for process, key, rule_id, lookup, value_key, table, register_as in calls:
+        ok, valid, message, text, df = generate(spark, rules, process, key, rule_id, lookup, value_key,
+                                                table, apply_query=table is not None, as_of=as_of)
+        print(f"{rule_id:9s} params_ok={ok} rule_ok={valid} | {message}\n          {text}")
+        if df is not None:
+            print(f"          rows: {df.count()}")
+            register(df, register_as)
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main(dt.date.fromisoformat(sys.argv[1]) if len(sys.argv) > 1 else dt.date(2022, 3, 1))
