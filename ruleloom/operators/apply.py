@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.catalog import RuleCatalog
@@ -96,10 +97,14 @@ def evaluate(
         if plan.kind == "value":
             res.value = plan.value
             return res
-        if df is not None and plan.kind == "predicate":
-            res.predicate = plan.predicate(df)
-        if df is not None and apply:
-            res.df = df.filter(res.predicate) if res.predicate is not None else apply_plan(df, plan)
+        try:
+            if df is not None and plan.kind == "predicate":
+                res.predicate = plan.predicate(df)
+            if df is not None and apply:
+                res.df = df.filter(res.predicate) if res.predicate is not None else apply_plan(df, plan)
+        except (AnalysisException, ParseException) as exc:  # e.g. a tail naming a missing column
+            first = str(exc).strip().splitlines()[0] if str(exc).strip() else type(exc).__name__
+            raise RuleError(Status.BAD_QUERY, f"rule {plan.rule_id} does not fit the table: {first}", plan.rule_id) from exc
         return res
     except RuleError as exc:
         return RuleResult(exc.status, exc.message, exc.rule_id or (rule_id or "").strip() or None)

@@ -184,3 +184,13 @@ def test_nulls_follow_sql_logic(spark):  # D23
     assert [r["k"] for r in apply_rule(df, c, "lt", as_of=AS_OF).collect()] == [2]
     assert [r["k"] for r in apply_rule(df, c, "ns", as_of=AS_OF).collect()] == [3]
     assert [r["k"] for r in apply_rule(df, c, "ne", as_of=AS_OF).collect()] == [3]
+
+
+def test_tail_that_does_not_fit_the_table_is_a_status(spark, orders_small):
+    c = catalog_of(spark, [rule("q", [lookup(" where no_such_col = 1")], key="query_lookup", lookup="true",
+                                process="filtration"),
+                           rule("q2", [lookup(" where o_orderstatus = 'F' order by no_such_col")],
+                                key="query_lookup", lookup="true", process="filtration")])
+    for rid in ("q", "q2"):
+        r = evaluate(c, "filtration", "query_lookup", rid, "true", df=orders_small, apply=True, as_of=AS_OF)
+        assert r.status is Status.BAD_QUERY and r.df is None and "does not fit" in r.message
