@@ -8,6 +8,8 @@ as ``decimal(18,2)`` so totals do not depend on the order rows arrive in.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,24 @@ def exact_sum(col: str | Column, scale: int = 2) -> Column:
     return F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
 
 
+# Aggregate functions that keep every value of a group (no
+# map-side combine to a bounded partial), so a hot key lands in one task.
+HOLISTIC_AGGREGATES = ("collect_list", "collect_set", "array_agg", "string_agg", "listagg", "percentile(",
+                       "median(", "mode(")
+
+
+def _warn_holistic(aggs: list[Column]) -> None:
+    for c in aggs:
+        text = str(c).lower()
+        hit = next((f for f in HOLISTIC_AGGREGATES if f in text), None)
+        if hit:
+            warnings.warn(
+                f"aggregate {text} keeps every value of a group ({hit.rstrip('(')}): a key holding a large share "
+                "of the rows will be gathered in one task; prefer count/sum/min/max or approximate sketches",
+                stacklevel=3,
+            )
+
+
 def group_lookup(df: DataFrame, catalog, rule_id: str, aggs: list[Column] | dict[str, Column], as_of=None) -> DataFrame:
     """A1: the rule's ``group by <keys>`` with the aggregates given here.
 
@@ -36,6 +56,7 @@ def group_lookup(df: DataFrame, catalog, rule_id: str, aggs: list[Column] | dict
         aggs = [c.alias(n) for n, c in aggs.items()]
     if not aggs:
         raise RuleError(Status.NOT_APPLICABLE, f"group rule {rule_id} needs at least one aggregate")
+    _warn_holistic(aggs)
     keys = group_keys(plan.tail)
     return df.groupBy(*[F.expr(k) for k in keys]).agg(*aggs)
 

@@ -83,3 +83,16 @@ def test_time_span_ignores_session_zone_for_wall_clock_times(spark):
             assert [r["u"] for r in time_span(df, ["u"], "ts", "v", 30).collect()] == [2]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_group_lookup_warns_on_holistic_aggregates(spark, orders_small):
+    cat = catalog_of(spark, [rule("g", [lookup(" group by o_orderstatus")], key="groupby_lookup", lookup="true",
+                                  process="filtration")])
+    with pytest.warns(UserWarning, match="collect_list"):
+        group_lookup(orders_small, cat, "g", {"keys": F.collect_list("o_orderkey")}, as_of=AS_OF)
+    import warnings as _w
+
+    with _w.catch_warnings():
+        _w.simplefilter("error")
+        group_lookup(orders_small, cat, "g", {"n": F.count(F.lit(1)), "a": F.percentile_approx("o_totalprice", 0.5)},
+                     as_of=AS_OF)
