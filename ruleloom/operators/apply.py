@@ -10,6 +10,7 @@ pushed filters.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ from ..plans.chain import RulePlan, resolve, transform_column, where_filter
 from ..plans.status import RuleError, RuleResult, Status
 from ..sources.readers import read_table
 
+_log = logging.getLogger(__name__)
+
 
 def _as_date(as_of) -> _dt.date:
     if as_of is None:
@@ -91,6 +94,13 @@ def evaluate(
     lazy filtered DataFrame is returned too. Lookups are never executed.
     """
     day = _as_date(as_of)
+    res = _evaluate(catalog, process, process_key, rule_id, is_lookup, value_key, df, apply, day, guard)
+    _log.debug("rule %s (%s/%s, lookup=%s) on %s: %s - %s", res.rule_id, process, process_key, is_lookup, day,
+               res.status.value, res.message)
+    return res
+
+
+def _evaluate(catalog, process, process_key, rule_id, is_lookup, value_key, df, apply, day, guard) -> RuleResult:
     try:
         plan = resolve(catalog, process, process_key, rule_id, is_lookup, day, value_key=value_key, guard=guard)
         res = RuleResult(Status.OK, _success_message(plan, value_key), plan.rule_id, plan=plan, chain=plan.chain)
