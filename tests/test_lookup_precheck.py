@@ -1,0 +1,29 @@
+"""The raw-text pre-check of ``match_lookup`` never drops a matching row."""
+
+import json
+
+from conftest import AS_OF, catalog_of, lookup, rule
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ruleloom import match_lookup
+
+KEYS = ["k", "a b", "é", "x_1"]
+values = st.one_of(st.integers(-50, 50), st.sampled_from(["9", "yes", "a/b", 'q"t', "back\\slash", "été", "x y"]))
+objects = st.dictionaries(st.sampled_from(KEYS), values, min_size=1, max_size=3)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(objects, st.booleans()), min_size=1, max_size=12), pick=st.integers(0, 50))
+def test_precheck_is_exact(spark, rows, pick):
+    texts = [json.dumps(obj, ensure_ascii=ascii_only) for obj, ascii_only in rows]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, j string")
+    target = rows[pick % len(rows)][0]
+    key = sorted(target)[0]
+    cat = catalog_of(spark, [rule("kv", [lookup({key: target[key]})], key="value_lookup", lookup="true")])
+    got = sorted(r["id"] for r in match_lookup(df, cat, "kv", "j", as_of=AS_OF).collect())
+    want = target[key] if isinstance(target[key], str) else json.dumps(target[key])
+    path = "$." + key if key.replace("_", "").isalnum() and key.isascii() else "$['" + key + "']"
+    exp = sorted(r["id"] for r in df.filter(F.get_json_object("j", path) == want).collect())
+    assert got == exp and len(got) >= 1
