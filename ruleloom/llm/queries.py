@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleloom.llm import decontam, jaccard, sharding, urls
+from ruleloom.llm import decontam, jaccard, packing, sharding, urls
 
 #: The rules that the URL query judges by: host, path, action (fixed values).
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -31,6 +31,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
 def op4_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_records(docs, "doc_id", "text", [1.0] * SHARDS).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -47,6 +51,7 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op4_rendezvous": op4_rendezvous,
     "op7_url_filter": op7_url_filter,
     "op9_ngram_jaccard": op9_ngram_jaccard,
