@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleloom.llm import decontam, jaccard, packing, sharding, urls
+from ruleloom.llm import decontam, jaccard, packing, quality, sharding, toxicity, urls
+from ruleloom.llm.labels import crc_of
 
 #: The rules that the URL query judges by: host, path, action (fixed values).
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -40,11 +41,23 @@ def op4_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(docs, "doc_id", "text", [1.0] * SHARDS).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (crc_of("doc_id") % 3 == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), "url", rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (crc_of("doc_id") % 5 == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_classes(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
 
@@ -53,7 +66,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_rendezvous": op4_rendezvous,
+    "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
+    "op8_quality": op8_quality,
     "op9_ngram_jaccard": op9_ngram_jaccard,
 }
 

@@ -37,7 +37,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-_BYTE_HASH = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))[FOLD]
+_BYTE_HASH = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -66,10 +66,10 @@ class Words:
         return len(self.first) - 1
 
 
-def hash_words(column: pa.Array, letters: np.ndarray) -> Words:
-    """Hash every maximal run of ``letters`` bytes of every text, A-Z lower-cased."""
+def hash_words(column: pa.Array, letters: np.ndarray, fold: np.ndarray = FOLD) -> Words:
+    """Hash every maximal run of ``letters`` bytes of every text, bytes first mapped by ``fold`` (A-Z lower-cased)."""
     body, offsets = text_bytes(column)
-    lut = np.where(letters, _BYTE_HASH, np.uint64(0)).astype(np.uint64)
+    lut = np.where(letters, _BYTE_HASH[fold], np.uint64(0)).astype(np.uint64)
     hashes, counts = [], np.zeros(len(offsets) - 1, np.int64)
     at = 0
     while at < len(body):
@@ -138,3 +138,24 @@ def ngram_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     first = np.zeros(len(words) + 1, np.int64)
     np.cumsum(sizes, out=first[1:])
     return np.concatenate(sets) if sets else np.zeros(0, np.uint64), first
+
+
+def word_starts(column: pa.Array, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, start of every word, its length in bytes, first word of every text)."""
+    body, offsets = text_bytes(column)
+    inside = letters[body]
+    edge = np.zeros(len(body) + 1, bool)
+    edge[offsets[:-1]] = True
+    start = inside & (np.concatenate([[True], ~inside[:-1]]) | edge[:-1]) if len(body) else inside
+    stop = inside & (np.concatenate([~inside[1:], [True]]) | edge[1:]) if len(body) else inside
+    starts, stops = np.flatnonzero(start), np.flatnonzero(stop)
+    return body, starts, stops + 1 - starts, np.searchsorted(starts, offsets)
+
+
+def prefix_hashes(body: np.ndarray, starts: np.ndarray, sizes: np.ndarray, longest: int):
+    """Hash of the first 1, 2, ... ``longest`` bytes of every word, A-Z lower-cased; 0 for shorter words."""
+    total, power = np.zeros(len(starts), np.uint64), np.uint64(1)
+    for k in range(longest):
+        total += _BYTE_HASH[FOLD[body[np.minimum(starts + k, len(body) - 1)]]] * power
+        power = np.uint64(int(power) * _MULTIPLIER & 0xFFFFFFFFFFFFFFFF)
+        yield np.where(sizes > k, mix(total), np.uint64(0))
