@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleloom.llm import decontam, jaccard, packing, quality, sharding, toxicity, urls
+from ruleloom.llm import chat, decontam, jaccard, neighbours, packing, quality, sharding, toxicity, urls
 from ruleloom.llm.labels import crc_of
 
 #: The rules that the URL query judges by: host, path, action (fixed values).
@@ -41,6 +41,10 @@ def op4_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(docs, "doc_id", "text", [1.0] * SHARDS).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op5_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text").withColumnRenamed("conversation", "conv_id")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
@@ -62,19 +66,36 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_classes(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_rendezvous": op4_rendezvous,
+    "op5_perspectives": op5_perspectives,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
     "op8_quality": op8_quality,
     "op9_ngram_jaccard": op9_ngram_jaccard,
+    "op10_nearest": op10_nearest,
 }
 
 _URL_VALUES = ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_perspectives": f"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS who, coalesce(text, '') AS said,
+       row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) - 1 AS nth FROM conversations),
+people AS (SELECT DISTINCT conv_id, who AS perspective FROM turns WHERE who <> 'system'),
+seen AS (SELECT t.conv_id, perspective, CAST(floor(nth / {chat.PART_TURNS}) AS BIGINT) AS part, nth, who,
+       CASE WHEN who = 'system' THEN '<|system|>' WHEN who = perspective THEN '<|assistant|>' ELSE '<|user name=' || who || '|>' END || chr(10) AS head,
+       said || '<|end|>' || chr(10) AS body FROM turns t JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+cut AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective, part ORDER BY nth) AS upto FROM seen)
+SELECT conv_id, perspective, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY nth) AS text,
+       coalesce(string_agg(CASE WHEN who = perspective THEN (upto - length(body)) || '-' || upto END, ',' ORDER BY nth), '') AS loss_spans
+FROM cut GROUP BY conv_id, perspective, part""",
     "op7_url_filter": f"""
 WITH rules(h, p, act) AS (VALUES {_URL_VALUES}),
 parts AS (SELECT page_id, CASE WHEN url IS NULL OR strpos(url, '://') = 0 THEN '' ELSE substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
