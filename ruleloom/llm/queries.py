@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleloom.llm import chat, decontam, jaccard, neighbours, packing, quality, sharding, toxicity, urls
+from ruleloom.llm import chat, decontam, jaccard, neighbours, packing, quality, secret_scan, sharding, toxicity, urls
 from ruleloom.llm.labels import crc_of
 
 #: The rules that the URL query judges by: host, path, action (fixed values).
@@ -36,6 +36,13 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forest = secret_scan.train(secret_scan.labelled_findings(spark))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = secret_scan.scan(docs, "text", "source", forest).select("doc_id", F.explode("findings").alias("x"))
+    return found.select("doc_id", F.col("x.word").cast("long").alias("word"), F.sha2("x.value", 256).alias("value_sha256"), "x.score", "x.secret")
+
+
 def op4_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_records(docs, "doc_id", "text", [1.0] * SHARDS).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -73,6 +80,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_secret_scan": op3_secret_scan,
     "op4_rendezvous": op4_rendezvous,
     "op5_perspectives": op5_perspectives,
     "op6_toxicity": op6_toxicity,
