@@ -188,9 +188,7 @@ class WordTokens:
     Byte-level pre-tokenisation always splits before a blank or a line feed that
     stands between two characters that are no white space, and after such a line feed, so a
     text without other white space is the sequence of its words' tokens.
-    Other texts, and all texts under another kind of vocabulary, are tokenised whole by
-    ``tokenizers``. Where the file's ids are its merge ranks, single words go through
-    ``tiktoken`` with the file's own vocabulary, which gives the same ids faster.
+    Other texts, and all texts under another kind of vocabulary, are tokenised whole.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
@@ -199,31 +197,13 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        ranked = self._ranked(path)
-        self.cache = ranked and _Cache(ranked, cache_words)
+        kind = json.loads(self.tokenizer.to_str())
+        by_words = (kind.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and not kind.get("normalizer")
+        self.cache = _Cache(self._ids, cache_words) if by_words else None
 
-    def _plain(self, text: str) -> list[int]:
+    def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _ranked(self, path: str) -> Callable[[str], list[int]] | None:
-        """An encoder by ranks, if the file is byte-level BPE whose merges are in order of id."""
-        with open(path, encoding="utf-8") as file:
-            model = json.load(file)
-        if (model.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or model["model"].get("type") != "BPE" or model.get("normalizer"):
-            return None
-        import tiktoken
-
-        # The printable stand-ins of byte-level vocabularies: such bytes as they are, the others from 256 on.
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in plain]
-        byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-        special = {t["content"] for t in model.get("added_tokens", [])}
-        ranks = {bytes(byte_of[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
-        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        encode = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        probe = "Don't pre-tokenise 12,345 mots\nd'été: naïve *** über-größe 日本 words"
-        return encode if encode(probe) == self._plain(probe) else None
-
     def batch(self, texts: list[str]) -> list[bytes]:
         if self.cache is None:
             return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -237,7 +217,7 @@ class WordTokens:
             if len(words) == len(text.split()):
                 made.append(b"".join(map(word, words))[4:])
             else:
-                made.append(array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes() if text else b"")
+                made.append(array("I", self._ids(text)).tobytes() if text else b"")
         return made
 
 
@@ -256,7 +236,7 @@ class _Cache(dict):
 
     def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
-        if ids is None and word[-1] in ".," and word[-2:-1].isalpha():
+        if ids is None and word[-1] in ".," and "A" <= word[-2:-1] < "\u0250" and word[-2].isalpha():
             # Letters and punctuation are split before tokens are made.
             ids = self[word[:-1]] + self.marks[word[-1]]
         if ids is None:
