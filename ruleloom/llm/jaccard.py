@@ -1,8 +1,9 @@
 """Exact Jaccard self-join of word n-gram sets, as classes of linked documents.
 
 1. Every document becomes its set of n-gram hashes; equal sets are one class.
-2. A first prefix filter in hash order drops the classes none of whose prefix n-grams
-   occurs in another class: they cannot be linked with anything.
+2. The n-grams of an extended prefix in hash order are counted: a linked set has a share of
+   them in other sets, however the rest looks. Classes without drop out here, among them
+   those that have but a passage in common with others.
 3. The n-grams of the rest are counted; a second prefix filter takes each set's n-grams
    rarest first. Classes that share a prefix n-gram are clustered.
 4. Clusters are cut into blocks of bounded bytes, and each pair of blocks is
@@ -24,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ruleloom.llm.components import Forest, components
 from ruleloom.llm.rows import keep, slices
@@ -37,6 +37,8 @@ BLOCK_BYTES = 16 << 20
 #: Classes are broadcast to pick their texts up to so many; beyond that the join shuffles.
 BROADCAST_CLASSES = 500_000
 SUFFIX_BINS = 16
+#: Percent of a set that the first filter looks at beyond the prefix.
+BEYOND = 15
 
 
 def needed(n: np.ndarray, percent: int) -> np.ndarray:
@@ -48,24 +50,30 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return np.where(n > 0, n - needed(n, percent) + 1, 0)
 
 
+def part_length(n: np.ndarray, percent: int) -> np.ndarray:
+    """The extended prefix: of its n-grams, all but ``prefix_length - 1`` are in any linked set."""
+    return np.minimum(n, prefix_length(n, percent) + BEYOND * n // 100)
+
+
 # -- 1 ---------------------------------------------------------------------------------
 
 
-def signatures(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, k1, k2, sig): set size, set digest, the prefix in hash order."""
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), T.StructField("sig", T.BinaryType())])
+def digests(docs: DataFrame, n: int) -> DataFrame:
+    """(doc_id, n_shingles, k1, k2) of documents (doc_id, text): set size and set digest."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, 1):
                 grams, first = ngram_sets(hash_words(part.column(1), NOT_SPACE), n)
-                size = np.diff(first)
-                keys = np.frombuffer(b"".join(hashlib.blake2b(grams[a:b].tobytes(), digest_size=16).digest() for a, b in zip(first[:-1], first[1:], strict=True)), np.int64).reshape(-1, 2)
-                take = prefix_length(size, percent)
-                sigs = [grams[a : a + p].tobytes() for a, p in zip(first[:-1], take, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(sigs, pa.binary())], schema.names)
+                keys = set_keys(grams, first)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(first)), pa.array(keys[:, 0]), pa.array(keys[:, 1])], ["doc_id", "n_shingles", "k1", "k2"])
+
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long")
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
+
+def set_keys(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """128 bits of every set, as two longs."""
+    return np.frombuffer(b"".join(hashlib.blake2b(grams[a:b].tobytes(), digest_size=16).digest() for a, b in zip(first[:-1], first[1:], strict=True)), np.int64).reshape(-1, 2)
 
 
 def full_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -85,17 +93,19 @@ def full_sets(docs: DataFrame, n: int) -> DataFrame:
 # -- 2 and 3: postings, many to a row ----------------------------------------------------
 
 
-def deal(grams: np.ndarray, planes: list[np.ndarray], buckets: int) -> pa.RecordBatch:
-    """Postings as one row a bucket: the grams and their planes as packed arrays."""
-    bucket = (mix(grams) % np.uint64(buckets)).astype(np.int32)
+def deal(bucket: np.ndarray, planes: list[np.ndarray]) -> pa.RecordBatch:
+    """Postings as one row a bucket: the bucket and each plane's values as a packed array."""
     order = np.argsort(bucket, kind="stable")
-    bucket, grams, planes = bucket[order], grams[order], [p[order] for p in planes]
-    cuts = np.flatnonzero(np.diff(bucket)) + 1
-    ends = np.concatenate([[0], cuts, [len(bucket)]]) if len(bucket) else np.zeros(1, np.int64)
+    bucket = bucket[order]
+    ends = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else np.zeros(1, np.int64)
     spans = list(zip(ends[:-1], ends[1:], strict=True))
     columns = [pa.array([int(bucket[a]) for a, _ in spans], pa.int32())]
-    columns += [pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (grams, *planes)]
-    return pa.RecordBatch.from_arrays(columns, ["bucket", "grams", "owner", "size"][: len(columns)])
+    columns += [pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (p[order] for p in planes)]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", *[f"p{k}" for k in range(len(planes))]])
+
+
+def bucket_of(values: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(values.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
 
 
 def _gathered(batches, kinds: list) -> list[np.ndarray]:
@@ -106,29 +116,40 @@ def _gathered(batches, kinds: list) -> list[np.ndarray]:
     return [np.frombuffer(b"".join(p), kind) for p, kind in zip(parts, kinds, strict=True)]
 
 
-def meeting(sigs: DataFrame, buckets: int) -> DataFrame:
-    """k1 of the sets that share a signature hash with another set."""
+def meeting(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
+    """(k1, met): how many n-grams of each set's extended prefix some other set's has too.
+
+    Only five bytes of a hash travel beside its bucket: a rare false meeting keeps a set that the exact
+    steps drop later.
+    """
 
     def post(batches):
         for batch in batches:
-            counts = np.array([len(s) // 8 for s in batch.column(1).to_pylist()], np.int64)
-            grams = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64)
-            yield deal(grams, [np.repeat(batch.column(0).to_numpy(), counts)], buckets)
+            for part in slices(batch, 1):
+                grams, first = ngram_sets(hash_words(part.column(1), NOT_SPACE), n)
+                take = part_length(np.diff(first), percent)
+                owner = np.repeat(set_keys(grams, first)[:, 0], take)
+                at = np.arange(len(owner)) + np.repeat(first[:-1] - (np.cumsum(take) - take), take)
+                grams = grams[at]
+                yield deal(bucket_of(grams, buckets), [grams.view(np.uint8).reshape(-1, 8)[:, :5], owner])
 
     def match(batches):
-        grams, owner = _gathered(batches, [np.uint64, np.int64])
+        packed, owner = _gathered(batches, [np.uint8, np.int64])
+        grams = np.zeros((len(owner), 8), np.uint8)
+        grams[:, :5] = packed.reshape(-1, 5)
+        grams = grams.view(np.uint64).ravel()
         order = np.lexsort((owner, grams))
         grams, owner = grams[order], owner[order]
+        # A copy that was read in another task repeats (gram, owner): it counts once.
+        one = np.concatenate([[True], (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])])[: len(owner)]
+        grams, owner = grams[one], owner[one]
         same = grams[1:] == grams[:-1]
-        # A copy that was read in another task repeats (gram, owner): only another owner counts.
-        other = same & (owner[1:] != owner[:-1])
-        run = np.concatenate([[0], np.cumsum(~same)]) if len(grams) else np.zeros(0, np.int64)
-        met = np.zeros(int(run[-1]) + 1 if len(run) else 0, bool)
-        met[run[1:][other]] = True
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(owner[met[run]]) if len(run) else owner, pa.int64())], ["k1"])
+        met = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(owner) else np.zeros(0, bool)
+        names, counts = np.unique(owner[met], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(counts, pa.int64())], ["k1", "met"])
 
-    posts = sigs.select("k1", "sig").mapInArrow(post, "bucket int, grams binary, owner binary")
-    return posts.repartition(buckets, "bucket").mapInArrow(match, "k1 long").distinct()
+    posts = docs.mapInArrow(post, "bucket int, p0 binary, p1 binary")
+    return posts.repartition(buckets, "bucket").mapInArrow(match, "k1 long, met long").groupBy("k1").agg(F.sum("met").alias("met"))
 
 
 def rare_prefixes(sets: DataFrame, buckets: int, percent: int) -> DataFrame:
@@ -139,23 +160,18 @@ def rare_prefixes(sets: DataFrame, buckets: int, percent: int) -> DataFrame:
             for part in slices(batch, 2):
                 sizes = part.column(1).to_numpy()
                 grams = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint64)
-                yield deal(grams, [np.repeat(part.column(0).to_numpy(), sizes), np.repeat(sizes, sizes)], buckets)
+                yield deal(bucket_of(grams, buckets), [grams, np.repeat(part.column(0).to_numpy(), sizes), np.repeat(sizes.astype(np.uint32), sizes)])
 
     def count(batches):
-        grams, owner, size = _gathered(batches, [np.uint64, np.int64, np.int64])
+        grams, owner, size = _gathered(batches, [np.uint64, np.int64, np.uint32])
         _, at, df = np.unique(grams, return_inverse=True, return_counts=True)
         shared = df[at] > 1
-        grams, owner, size, df = grams[shared], owner[shared], size[shared], df[at][shared]
-        bucket = (mix(owner.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-        spans = [s for s in np.split(order, cuts) if len(s)]
-        columns = [pa.array([int(bucket[s[0]]) for s in spans], pa.int32())]
-        columns += [pa.array([x[s].tobytes() for s in spans], pa.binary()) for x in (grams, owner, size, df)]
-        yield pa.RecordBatch.from_arrays(columns, ["bucket", "grams", "owner", "size", "df"])
+        owner = owner[shared]
+        yield deal(bucket_of(owner, buckets), [grams[shared], owner, size[shared], df[at][shared].astype(np.uint32)])
 
     def prefix(batches):
-        grams, owner, size, df = _gathered(batches, [np.uint64, np.int64, np.int64, np.int64])
+        grams, owner, size, df = _gathered(batches, [np.uint64, np.int64, np.uint32, np.uint32])
+        size = size.astype(np.int64)
         order = np.lexsort((grams, df, size, owner))
         grams, owner, size = grams[order], owner[order], size[order]
         new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (size[1:] != size[:-1])]) if len(owner) else np.zeros(0, bool)
@@ -167,8 +183,8 @@ def rare_prefixes(sets: DataFrame, buckets: int, percent: int) -> DataFrame:
         head = place < prefix_length(size, percent)
         yield pa.RecordBatch.from_arrays([pa.array(grams[head].view(np.int64)), pa.array(owner[head])], ["gram", "node"])
 
-    posts = sets.select("node", "n", "grams").mapInArrow(post, "bucket int, grams binary, owner binary, size binary")
-    counted = posts.repartition(buckets, "bucket").mapInArrow(count, "bucket int, grams binary, owner binary, size binary, df binary")
+    posts = sets.select("node", "n", "grams").mapInArrow(post, "bucket int, p0 binary, p1 binary, p2 binary")
+    counted = posts.repartition(buckets, "bucket").mapInArrow(count, "bucket int, p0 binary, p1 binary, p2 binary, p3 binary")
     return counted.repartition(buckets, "bucket").mapInArrow(prefix, "gram long, node long")
 
 
@@ -275,22 +291,28 @@ def link_classes(docs: DataFrame, doc_id: str, text: str, *, n: int = 5, percent
     the links; a row without doc_id has its component's smallest, or null if that
     has none. Repeated rows give repeated results; other columns are not returned.
     """
-    signed = keep(signatures(docs, doc_id, text, n, percent), "signatures")
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    signed = keep(digests(texts, n), "digests")
     classes = signed.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("size"))
     classes = keep(classes, "classes")
-    total = signed.agg(F.sum(F.octet_length("sig")).cast("long")).first()[0] or 0
-    met = meeting(signed.filter("n_shingles > 0"), max(1, total // 8 // BUCKET_GRAMS))
-    left = keep(classes.join(met, "k1", "left_semi").filter("node is not null").select("node", "k1", "size"), "met")
+    total = signed.agg(F.sum("n_shingles")).first()[0] or 0
+    size, least = F.col("size"), F.ceil(percent * F.col("size") / 100)
+    part = F.least(size, size - least + 1 + F.floor(BEYOND * size / 100))
+    met = meeting(texts, n, percent, max(1, total * (100 - percent + BEYOND) // 100 // BUCKET_GRAMS))
+    left = classes.join(met, "k1").filter(F.col("met") >= part - (size - least)).filter("node is not null").select("node", "size")
+    left = keep(left, "met")
     many, grams = left.agg(F.count(F.lit(1)), F.sum("size")).first()
     chosen = left.select("node").distinct()
     if many <= BROADCAST_CLASSES:
         chosen = F.broadcast(chosen)
-    texts = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).cast("string").alias("text")).join(chosen, "node", "left_semi")
-    sets = keep(full_sets(texts, n).filter("n > 0").dropDuplicates(["node", "grams"]), "sets")
+    sets = full_sets(texts.withColumnRenamed("doc_id", "node").join(chosen, "node", "left_semi"), n).filter("n > 0")
+    if signed.groupBy("doc_id").count().filter("doc_id is not null and count > 1").limit(1).count():
+        sets = sets.dropDuplicates(["node", "grams"])
+    sets = keep(sets, "sets")
     heads = keep(rare_prefixes(sets, max(1, (grams or 0) // BUCKET_GRAMS), percent), "heads")
     stars = heads.join(heads.groupBy("gram").agg(F.min("node").alias("head")), "gram").filter("node <> head").select("node", "head").distinct()
     clusters = keep(components(stars, "node", "head"), "clusters")
     links = components(cluster_links(sets, clusters, percent, block_bytes), "a", "b")
     named = classes.join(links, "node", "left").select("k1", "k2", F.coalesce("root", "node").alias("component_id"))
-    found = signed.drop("sig").join(named, ["k1", "k2"], "left")
+    found = signed.join(named, ["k1", "k2"], "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
