@@ -146,10 +146,16 @@ def meeting(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
         same = grams[1:] == grams[:-1]
         met = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(owner) else np.zeros(0, bool)
         names, counts = np.unique(owner[met], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(counts, pa.int64())], ["k1", "met"])
+        yield deal(bucket_of(names, buckets), [names, counts.astype(np.uint32)])
+
+    def total(batches):
+        owner, counts = _gathered(batches, [np.int64, np.uint32])
+        names, at = np.unique(owner, return_inverse=True)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(np.bincount(at, counts, len(names)).astype(np.int64))], ["k1", "met"])
 
     posts = docs.mapInArrow(post, "bucket int, p0 binary, p1 binary")
-    return posts.repartition(buckets, "bucket").mapInArrow(match, "k1 long, met long").groupBy("k1").agg(F.sum("met").alias("met"))
+    met = posts.repartition(buckets, "bucket").mapInArrow(match, "bucket int, p0 binary, p1 binary")
+    return met.repartition(buckets, "bucket").mapInArrow(total, "k1 long, met long")
 
 
 def rare_prefixes(sets: DataFrame, buckets: int, percent: int) -> DataFrame:
