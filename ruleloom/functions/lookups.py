@@ -13,16 +13,10 @@ from pyspark.sql import functions as F
 JSON_MAP = "map<string,string>"
 
 
-def _path(key: str) -> str:
-    if key.replace("_", "").isalnum():
-        return f"$.{key}"
-    return "$['" + key.replace("'", "\\'") + "']"
-
-
 def json_value(col: str | Column, key: str) -> Column:
     """L1 on data: the value stored under ``key`` in a JSON object column."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.get_json_object(c, _path(key))
+    return F.try_element_at(F.from_json(c, JSON_MAP), F.lit(key))
 
 
 def json_pairs(col: str | Column) -> Column:

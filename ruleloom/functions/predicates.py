@@ -156,6 +156,8 @@ def compile_condition(
         v = value.strip()
         if _DIGITS.fullmatch(v) and int(v) <= _LONG_MAX:
             lit = int(v)
+        elif _NUMBER.fullmatch(v) and sum(ch.isdigit() for ch in v) > 38:
+            raise RuleError(Status.BAD_VALUE, f"rule {rule_id}: {value!r} has more than 38 digits", rule_id)
         elif _NUMBER.fullmatch(v) and "e" not in v.lower():
             lit = Decimal(v)  # exact: 10.5 on an int column, -5, huge integers
         elif _NUMBER.fullmatch(v):
@@ -171,9 +173,11 @@ def compile_condition(
             # digits against text compare as numbers (so '036' = 36); text
             # that is not a number simply does not match.
             n = int(value)
+            if n >= 10**38:
+                raise RuleError(Status.BAD_VALUE, f"rule {rule_id}: {value!r} has more than 38 digits", rule_id)
             target = "bigint" if n <= _LONG_MAX else "decimal(38,0)"
             return Compiled(
-                _cmp(left.try_cast(target), sym, F.lit(n)), f"TRY_CAST({left_sql} AS {target.upper()}) {sym} {n}"
+                _cmp(left.try_cast(target), sym, F.lit(n if n <= _LONG_MAX else Decimal(n))), f"TRY_CAST({left_sql} AS {target.upper()}) {sym} {n}"
             )
         return Compiled(_cmp(left, sym, F.lit(value)), f"{left_sql} {sym} {_sql_str(value)}")
 

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import logging
 
+from pyspark.errors import AnalysisException, ArithmeticException, ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.predicates import field_types
 from ..plans.chain import RulePlan, transform_column
@@ -18,23 +20,22 @@ from .apply import rule_plan
 
 _log = logging.getLogger(__name__)
 
-# Spark abandons whole-stage codegen for a stage whose generated method is
-# larger than this many bytes of bytecode. The JVM does not JIT-compile
-# methods over 8000 bytes, so Spark's default (65535) leaves very wide
-# multi-rule projections running interpreted: 100 rules over lineitem ran
-# ~4x slower (14 s vs 3.5 s at sf0.1); up to 40 rules no difference was
-# measured, and small plans are a little faster with the default. So the
-# limit is lowered only for calls binding more than MANY_RULES rules.
 HUGE_METHOD_CONF = "spark.sql.codegen.hugeMethodLimit"
 HUGE_METHOD_LIMIT = "8000"
-MANY_RULES = 32
 
 
 def keep_codegen_jit_friendly(spark) -> None:
-    """Lower ``hugeMethodLimit`` to the JIT's limit unless the user set it."""
+    """Lower ``hugeMethodLimit`` to the JIT's limit unless the user set it.
+
+    Spark abandons whole-stage codegen for a method of more bytecode than this
+    limit, but the JVM compiles none over 8000 bytes, so passes of some 40 and
+    more rules run interpreted under Spark's default (100 rules about four
+    times slower). It changes the session for all queries, so nothing here
+    calls it: a job that applies many rules may.
+    """
     if spark.conf.get(HUGE_METHOD_CONF, "65535") == "65535":
         spark.conf.set(HUGE_METHOD_CONF, HUGE_METHOD_LIMIT)
-        _log.info("many rules in one projection: set %s=%s for this session", HUGE_METHOD_CONF, HUGE_METHOD_LIMIT)
+        _log.info("set %s=%s for this session", HUGE_METHOD_CONF, HUGE_METHOD_LIMIT)
 
 
 def rule_statuses(catalog, rule_ids, as_of=None, guard: bool = False) -> dict[str, RuleResult]:
@@ -81,18 +82,49 @@ def _plans(catalog, rule_ids, as_of, guard=False, errors: str = "raise") -> list
 
 def _bind(df: DataFrame, plans: list[RulePlan]) -> list[Column]:
     """All predicates typed against ``df`` with a single analysis pass."""
-    if len(plans) > MANY_RULES:
-        keep_codegen_jit_friendly(df.sparkSession)
     types = field_types(df, [f for p in plans if p.kind == "predicate" for f in p.fields()])
     lefts: dict = {}
     return [p.predicate(df, types, lefts) if p.kind == "predicate" else p.predicate(df, types) for p in plans]
 
 
+def bind_statuses(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = False) -> dict[str, RuleResult]:
+    """R9 against a table: every rule's status after typing it for ``df`` (bad values, unknown fields, aggregates)."""
+    out = rule_statuses(catalog, rule_ids, as_of, guard)
+    for rid, res in out.items():
+        if not res.ok:
+            continue
+        try:
+            df.select(F.lit(1)).limit(0) if res.plan is None else df.filter(res.plan.predicate(df)).limit(0)
+        except RuleError as exc:
+            out[rid] = RuleResult(exc.status, exc.message, rid)
+        except (AnalysisException, ArithmeticException, ParseException) as exc:
+            out[rid] = RuleResult(Status.BAD_FIELD, f"rule {rid} does not fit the table: {str(exc).splitlines()[0]}", rid)
+    return out
+
+
+def _bound(df: DataFrame, catalog, rule_ids, as_of, guard: bool, errors: str) -> list[tuple[RulePlan, Column]]:
+    """Plans and predicates; with ``errors="skip"`` rules that cannot be resolved or typed for ``df`` are left out."""
+    plans = _plans(catalog, rule_ids, as_of, guard, errors)
+    if errors == "skip":
+        fit = bind_statuses(df, catalog, [p.rule_id for p in plans], as_of, guard)
+        for rid, res in fit.items():
+            if not res.ok:
+                _log.warning("rule %s left out: %s", rid, res.message)
+        plans = [p for p in plans if fit[p.rule_id].ok]
+    return list(zip(plans, _bind(df, plans)))
+
+
 def rule_predicates(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = False,
                     errors: str = "raise") -> list[tuple[str, Column]]:
     """``(rule_id, predicate)`` for every rule, all typed against ``df``."""
-    plans = _plans(catalog, rule_ids, as_of, guard, errors)
-    return list(zip([p.rule_id for p in plans], _bind(df, plans)))
+    return [(p.rule_id, pred) for p, pred in _bound(df, catalog, rule_ids, as_of, guard, errors)]
+
+
+def _check_action(df: DataFrame, rule_id: str, name: str) -> None:
+    """An action's text must fit the column it sets, else a status instead of a failure at run time."""
+    if name in df.columns and df.schema[name].dataType != T.StringType():
+        kind = df.schema[name].dataType.simpleString()
+        raise RuleError(Status.BAD_VALUE, f"rule {rule_id}: action sets text in {name}, which is {kind}", rule_id)
 
 
 def tag(df: DataFrame, catalog, rule_id: str, as_of=None, column: str | None = None, value: str | None = None,
@@ -107,6 +139,7 @@ def tag(df: DataFrame, catalog, rule_id: str, as_of=None, column: str | None = N
     val = value if value is not None else plan.action[1]
     if not name or name == "goto":
         raise RuleError(Status.NOT_APPLICABLE, f"rule {rule_id} has no column to tag; pass column=")
+    _check_action(df, rule_id, name)
     other = F.col(name) if name in df.columns else F.lit(None).cast("string")
     return df.withColumn(name, F.when(plan.predicate(df), F.lit(val)).otherwise(other))
 
@@ -120,16 +153,16 @@ def tag_all(df: DataFrame, catalog, rule_ids, as_of=None, hits_col: str = "hits"
     ``errors="skip"`` leaves unusable rules (switched off, expired, …) out
     instead of raising; :func:`rule_statuses` tells which and why.
     """
-    plans = _plans(catalog, rule_ids, as_of, guard, errors)
-    if not plans:
+    preds = _bound(df, catalog, rule_ids, as_of, guard, errors)
+    if not preds:
         return df.withColumn(hits_col, F.lit(""))
-    preds = list(zip(plans, _bind(df, plans)))
     out = [F.col(c) for c in df.columns if c != hits_col]
     actions: dict[str, list[tuple[Column, str]]] = {}
     if set_actions:
         for p, pred in preds:
             name, val = p.action
             if name and name != "goto":
+                _check_action(df, p.rule_id, name)
                 actions.setdefault(name, []).append((pred, val))
         out = [F.col(c) for c in df.columns if c != hits_col and c not in actions]
     hits = F.concat_ws(",", *[F.when(pred, F.lit(p.rule_id)) for p, pred in preds])
@@ -143,37 +176,21 @@ def tag_all(df: DataFrame, catalog, rule_ids, as_of=None, hits_col: str = "hits"
     return df.select(*cols)
 
 
-# Inputs with more partitions than this merge their per-task counts in two
-# levels (FAN_IN buckets first), so no single task reads one row per input task.
-TREE_MERGE_PARTITIONS = 4096
-FAN_IN = 1024
-
-
-def _num_partitions(df: DataFrame) -> int | None:
-    try:
-        return df.rdd.getNumPartitions()  # planning only, no job
-    except Exception:  # streaming or remote sessions
-        return None
-
-
 def rule_hit_counts(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = False,
                     errors: str = "raise", fan_in: int | None = None) -> DataFrame:
     """Rows hit per rule, all rules counted in one scan.
 
     Each task counts its rows for every rule (a partial aggregate), then the
-    counts are merged and unpivoted to ``(rule_pos, rule_id, n_hits)``. With
-    very many input partitions (or an explicit ``fan_in``) the merge runs in
-    two levels: partial counts are first summed into ``fan_in`` buckets by
-    partition id, so the final merge reads ``fan_in`` rows, not one row per
-    input task. ``errors="skip"`` leaves unusable rules out.
+    counts are merged and unpivoted to ``(rule_pos, rule_id, n_hits)``. The
+    merge reads one row per input task; with ``fan_in`` it runs in two levels,
+    partial counts first summed into that many buckets by partition id. No
+    job runs while the frame is built. ``errors="skip"`` leaves unusable
+    rules out.
     """
     preds = rule_predicates(df, catalog, rule_ids, as_of, guard, errors)
     if not preds:
         return df.sparkSession.createDataFrame([], "rule_pos int, rule_id string, n_hits bigint")
     counts = [F.count_if(pred).alias(f"h{i}") for i, (_, pred) in enumerate(preds)]
-    if fan_in is None:
-        n = _num_partitions(df)
-        fan_in = FAN_IN if n is not None and n > TREE_MERGE_PARTITIONS else None
     if fan_in:
         buckets = df.groupBy((F.spark_partition_id() % fan_in).alias("_bucket")).agg(*counts)
         merged = buckets.agg(*[F.sum(f"h{i}").cast("long").alias(f"h{i}") for i in range(len(preds))])

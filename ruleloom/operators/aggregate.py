@@ -2,8 +2,8 @@
 
 Both aggregations use only algebraic aggregates (count, sum, min, max), so
 Spark combines them map-side before the shuffle: a key holding a third of
-all rows still sends one partial row per task, not its rows. Money is summed
-as ``decimal(18,2)`` so totals do not depend on the order rows arrive in.
+all rows still sends one partial row per task, not its rows. Values are summed
+as they are; a caller may ask for the total of doubles rounded to a scale.
 """
 
 from __future__ import annotations
@@ -19,10 +19,14 @@ from ..plans.status import RuleError, Status
 from .apply import rule_plan
 
 
-def exact_sum(col: str | Column, scale: int = 2) -> Column:
-    """Order-independent money sum: per-row decimal, exact sum, back to double."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
+def exact_sum(col: str | Column, scale: int | None = None) -> Column:
+    """Sum of the values as they are: exact for integers and decimals.
+
+    Sums of doubles depend in their last digits on the order rows arrive in;
+    ``scale`` rounds the finished total (never the values) to that many digits.
+    """
+    total = F.sum(F.col(col) if isinstance(col, str) else col)
+    return total if scale is None else F.round(total, scale)
 
 
 # Aggregate functions that keep every value of a group (no
@@ -95,16 +99,19 @@ def time_span(
     time_col: str,
     amount_col: str,
     max_minutes: float,
-    per_day: bool = True,
-    min_events: int = 2,
+    per_day: bool = False,
+    min_events: int = 1,
     order: bool = False,
+    amount_scale: int | None = None,
 ) -> DataFrame:
     """A2: groups whose events all fall within ``max_minutes`` of each other.
 
     Output per ``keys`` (and calendar day of ``time_col`` when ``per_day``):
     ``n_events, total_amount, min_time, max_time, minutes``; only groups with
     at least ``min_events`` rows and a span ``<= max_minutes`` are kept.
-    ``order`` adds A3 (sorted by the keys).
+    ``order`` adds A3 (sorted by the keys); ``amount_scale`` rounds the totals
+    (see :func:`exact_sum`). The defaults keep every group: a single event has
+    span 0, and a span may cross midnight.
     """
     group = [F.col(k) for k in keys]
     if per_day:
@@ -113,7 +120,7 @@ def time_span(
         df.groupBy(*group)
         .agg(
             F.count(F.lit(1)).alias("n_events"),
-            exact_sum(amount_col).alias("total_amount"),
+            exact_sum(amount_col, amount_scale).alias("total_amount"),
             F.min(time_col).alias("min_time"),
             F.max(time_col).alias("max_time"),
         )

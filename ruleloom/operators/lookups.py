@@ -8,13 +8,14 @@ column of the facts: rows whose object holds every pair of the rule.
 
 from __future__ import annotations
 
-import re
+import json
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lookups import JSON_MAP, json_value
+from ..functions.lookups import JSON_MAP
 from ..plans.catalog import RuleCatalog
 from ..plans.status import RuleError, RuleResult, Status
 from .apply import evaluate, rule_plan
@@ -43,45 +44,59 @@ def rule_values(catalog: RuleCatalog) -> DataFrame:
     return lv.select("rule_pos", "rule_id", F.explode("m").alias("key", "value"))
 
 
-def lookup_pairs(catalog: RuleCatalog, rule_id: str, as_of=None) -> list[tuple[str, str]]:
+def _typed_pairs(catalog: RuleCatalog, rule_id: str, as_of=None) -> list[tuple[str, object]]:
     res = values(catalog, rule_id, as_of=as_of)
     if not res.ok:
         raise RuleError(res.status, res.message, rule_id)
-    return [(k, v if isinstance(v, str) else ("true" if v is True else "false" if v is False else str(v)))
-            for k, v in res.value]
+    return list(res.value)
 
 
-# Text that needs no JSON escape. Such a key / value, when present in an
-# object whose raw text has no backslash (no escapes at all), appears in the
-# raw text verbatim, so a substring test is a safe pre-check for those rows.
-_PLAIN = re.compile(r"[A-Za-z0-9 _.:@+-]+")
+def _text(v) -> str | None:
+    return v if v is None or isinstance(v, str) else json.dumps(v, ensure_ascii=False)
+
+
+def lookup_pairs(catalog: RuleCatalog, rule_id: str, as_of=None) -> list[tuple[str, str | None]]:
+    """The rule's pairs with values as text: JSON text for anything but strings."""
+    return [(k, _text(v)) for k, v in _typed_pairs(catalog, rule_id, as_of)]
+
+
+def _holds(found: Column, key: str, wanted) -> Column:
+    """Whether a ``map<string,string>`` of JSON values holds ``wanted`` under ``key``.
+
+    Text compares as text (the text 9 also meets the number 9), numbers by
+    value, objects and lists by their normal form, null only with a null.
+    """
+    v = F.try_element_at(found, F.lit(key))
+    if wanted is None:
+        return F.map_contains_key(found, key) & v.isNull()
+    if isinstance(wanted, bool) or isinstance(wanted, str):
+        return v == F.lit(_text(wanted))
+    if isinstance(wanted, int):
+        return v.try_cast("decimal(38,10)") == F.lit(Decimal(wanted)) if abs(wanted) < 10**28 else v == F.lit(str(wanted))
+    if isinstance(wanted, float):
+        return v.try_cast("double") == F.lit(wanted)
+    return F.to_json(F.try_parse_json(v)) == F.to_json(F.parse_json(F.lit(_text(wanted))))
 
 
 def match_lookup(df: DataFrame, catalog: RuleCatalog, rule_id: str, json_col: str, as_of=None,
                  extract: bool = True) -> DataFrame:
     """Rows whose JSON object column holds every pair of the lookup rule.
 
-    With ``extract`` each looked-up key is also returned as its own column.
-    Each key is extracted once with the built-in ``get_json_object`` and then
-    compared (no UDF, no shuffle). A cheap substring test on the raw text runs
-    first, so rows that cannot match are never parsed. It is a necessary
-    condition, so the result stays exact: it only tests plain keys / values,
-    and rows holding any escape (a backslash) are always parsed.
+    The object is parsed once a row (``from_json`` to a map) and every pair is
+    tested on the map: no UDF, no shuffle. With ``extract`` each key is also
+    returned as its own column, holding the rule's value as text.
     """
-    pairs = lookup_pairs(catalog, rule_id, as_of=as_of)
+    pairs = _typed_pairs(catalog, rule_id, as_of=as_of)
     if not pairs:
         raise RuleError(Status.NO_LOOKUP_VALUE, f"lookup rule {rule_id} holds no pairs", rule_id)
-    raw = F.col(json_col)
-    pre = [raw.contains(t) for k, v in pairs for t in (k, v) if _PLAIN.fullmatch(t)]
-    out = df.filter(reduce(lambda a, b: a & b, pre) | raw.contains("\\")) if pre else df
-    tmp = [f"__lookup_{i}" for i in range(len(pairs))]
-    out = out.select("*", *[json_value(json_col, k).alias(t) for (k, _), t in zip(pairs, tmp)])
-    out = out.filter(reduce(lambda a, b: a & b, [F.col(t) == F.lit(v) for (_, v), t in zip(pairs, tmp)]))
+    parsed = F.array(F.from_json(F.col(json_col), JSON_MAP))
+    # inside ``exists`` the parsed map is one value, however many pairs test it
+    out = df.filter(F.exists(parsed, lambda m: reduce(lambda a, b: a & b, [_holds(m, k, v) for k, v in pairs])))
     if not extract:
-        return out.drop(*tmp)
+        return out
     keys = [k for k, _ in pairs]
-    kept = [F.col(c) for c in df.columns if c not in keys]
-    return out.select(*kept, *[F.col(t).alias(k) for k, t in zip(keys, tmp)])
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in keys]
+    return out.select(*kept, *[F.lit(_text(v)).cast("string").alias(k) for k, v in pairs])
 
 
 def guard_pairs(catalog: RuleCatalog, rule_id: str, as_of=None) -> list[tuple[str, str]]:

@@ -24,10 +24,6 @@ PROCESS_KEYS = ("query_lookup", "value_lookup", "query_builder", "conditional",
 LOOKUP_KEYS = ("query_lookup", "value_lookup", "groupby_lookup", "conditional")
 TRUE_TEXT = "true"
 
-# Documents with at most this many rules are indexed on the driver in one job;
-# larger ones are fetched per rule id on demand (exact either way).
-DEFAULT_LOCAL_RULES = 20_000
-
 
 @dataclass(frozen=True)
 class Condition:
@@ -103,9 +99,11 @@ def rules_frame(documents: DataFrame, keep_empty: bool = False) -> DataFrame:
     ``keep_empty`` a document without a ``rules`` array (malformed) still
     yields one row, with a null ``rule_pos``.
     """
+    # texts held in memory have a place in their list, files a name
+    source = F.lpad(F.col("doc_pos").cast("string"), 10, "0") if "doc_pos" in documents.columns else F.input_file_name()
     explode = F.posexplode_outer if keep_empty else F.posexplode
     exploded = documents.select(
-        F.input_file_name().alias("source"), F.col("rules").isNull().alias("malformed"),
+        source.alias("source"), F.col("rules").isNull().alias("malformed"),
         explode("rules").alias("rule_pos", "r"),
     )
     return exploded.select(
@@ -167,17 +165,15 @@ def _to_rule(row) -> Rule:
 class RuleCatalog:
     """Rules loaded once per session; pass the catalog to every call."""
 
-    def __init__(self, documents: DataFrame, max_local_rules: int = DEFAULT_LOCAL_RULES, path: str | None = None):
+    def __init__(self, documents: DataFrame, path: str | None = None):
         self.spark: SparkSession = documents.sparkSession
         self.path = path
-        self.max_local_rules = max_local_rules
         self._use(documents)
 
     def _use(self, documents: DataFrame) -> None:
         self.documents = documents
         self.frame = rules_frame(documents)
         self._by_id: dict[str, list[Rule]] = {}
-        self._complete = False
         self._loaded = False
 
     def refresh(self) -> "RuleCatalog":
@@ -195,25 +191,20 @@ class RuleCatalog:
     def from_json(cls, spark: SparkSession, text: str | list[str], **kw) -> "RuleCatalog":
         return cls(rule_document_from_text(spark, text), **kw)
 
-    # -- driver index (bounded) -------------------------------------------
+    # -- driver index: rule documents are configuration, all of it is held ---
     def _ensure_index(self) -> None:
         if self._loaded:
             return
-        self._loaded = True
-        # one job: the rules (up to the local limit) and any malformed document
-        head = rules_frame(self.documents, keep_empty=True).limit(self.max_local_rules + 1).collect()
+        # one job: all rules and any malformed document
+        head = rules_frame(self.documents, keep_empty=True).collect()
         if any(r["malformed"] for r in head):
             raise ValueError("a rule document is malformed or has no 'rules' array")
-        head = [r for r in head if r["rule_pos"] is not None]
-        if len(head) <= self.max_local_rules:
-            self._add(head)
-            self._complete = True
-
-    def _add(self, rows) -> None:
-        for row in sorted(rows, key=lambda r: (r["source"] or "", r["rule_pos"])):
-            if row["id"] is None:
-                continue
-            self._by_id.setdefault(row["id"], []).append(_to_rule(row))
+        by_id: dict[str, list[Rule]] = {}
+        for row in sorted((r for r in head if r["rule_pos"] is not None), key=lambda r: (r["source"] or "", r["rule_pos"])):
+            if row["id"] is not None:
+                by_id.setdefault(row["id"], []).append(_to_rule(row))
+        self._by_id = by_id
+        self._loaded = True
 
     def rules_with_id(self, rule_id: str) -> list[Rule]:
         return self.rules_with_ids([rule_id]).get(rule_id, [])
@@ -221,18 +212,11 @@ class RuleCatalog:
     def rules_with_ids(self, rule_ids) -> dict[str, list[Rule]]:
         self._ensure_index()
         ids = [i.strip() for i in rule_ids if i is not None]
-        missing = [i for i in dict.fromkeys(ids) if i not in self._by_id]
-        if missing and not self._complete:
-            self._add(self.frame.filter(F.col("id").isin(missing)).collect())
-            for i in missing:
-                self._by_id.setdefault(i, [])
         return {i: self._by_id.get(i, []) for i in ids}
 
     def all_ids(self) -> list[str]:
-        """Rule ids in document order (driver-side; for small documents)."""
+        """Rule ids in document order, each once."""
         self._ensure_index()
-        if not self._complete:
-            return [r["id"] for r in self.frame.orderBy("source", "rule_pos").select("id").collect()]
         rules = sorted((r for rs in self._by_id.values() for r in rs), key=lambda r: (r.source, r.pos))
         return list(dict.fromkeys(r.id for r in rules))
 

@@ -34,8 +34,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared working folder (``spark.checkpoint.dir``).
 
-    Read from the session; if unset (as in local tests) a fresh folder is
-    created and registered as the checkpoint dir, so later calls agree.
+    Read from the session. If it is unset, a local session (one machine, as in
+    tests) gets a fresh folder, registered as the checkpoint dir so that later
+    calls agree; on a cluster that would be each machine's own disk, so it is
+    an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,6 +47,8 @@ def shared_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="ruleloom-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schema import RULE_DOCUMENT, SAMPLE_FACTS, SAMPLE_TIME_FORMAT
+from .schema import RULE_DOCUMENT
 
 
 def read_rule_document(spark: SparkSession, path: str) -> DataFrame:
@@ -21,26 +21,32 @@ def read_rule_document(spark: SparkSession, path: str) -> DataFrame:
 def rule_document_from_text(spark: SparkSession, text: str | list[str]) -> DataFrame:
     """The same as :func:`read_rule_document`, from JSON text held in memory."""
     texts = [text] if isinstance(text, str) else list(text)
-    raw = spark.createDataFrame([(t,) for t in texts], "doc string")
-    return raw.select(F.from_json("doc", RULE_DOCUMENT).alias("d")).select("d.*")
+    raw = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_pos int, doc string")
+    return raw.select("doc_pos", F.from_json("doc", RULE_DOCUMENT).alias("d")).select("doc_pos", "d.*")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
-    """Header CSV with a declared schema (no inference pass over the data)."""
-    return spark.read.option("header", header).schema(schema).csv(path)
+# Fixed value: how a null is written, so that it differs from empty text.
+CSV_NULL = "\\N"
 
 
-def read_sample_facts(spark: SparkSession, path: str) -> DataFrame:
-    """S1 for the transaction sample: typed columns plus ``event_time``.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True, multi_line: bool = True,
+             null: str = CSV_NULL) -> DataFrame:
+    """Header CSV with a declared schema (no inference pass over the data).
 
-    ``time`` is kept as text and combined with ``date`` so that the timestamp
-    does not depend on the day the file is read.
+    Quoted values may hold line breaks, quotes and blanks; empty text and
+    ``null`` differ. A value that does not fit its type fails the read, and so
+    does a header whose names differ from the schema's or come in another
+    order. A multi-line file is read by one task: write large tables as many
+    files, or pass ``multi_line=False`` for data without line breaks.
     """
-    return read_csv(spark, path, SAMPLE_FACTS).withColumn("event_time", sample_event_time())
+    options = {"header": header, "multiLine": multi_line, "mode": "FAILFAST", "enforceSchema": not header, "quote": '"', "escape": '"',
+               "nullValue": null, "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    return spark.read.options(**options).schema(schema).csv(path)
 
 
-def sample_event_time(date_col: str = "date", time_col: str = "time") -> Column:
-    return F.try_to_timestamp(F.concat_ws(" ", F.col(date_col), F.col(time_col)), F.lit(SAMPLE_TIME_FORMAT))
+def event_time(date_col: str, time_col: str, fmt: str) -> Column:
+    """A timestamp from a date text and a time text (null where they do not fit ``fmt``)."""
+    return F.try_to_timestamp(F.concat_ws(" ", F.col(date_col), F.col(time_col)), F.lit(fmt))
 
 
 def read_table(spark: SparkSession, name_or_df: str | DataFrame) -> DataFrame:

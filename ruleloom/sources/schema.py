@@ -1,9 +1,8 @@
-"""Explicit schemas: the rule document and the sample fact file.
+"""Explicit schema of the rule document.
 
-Both are declared instead of inferred. Inference makes a rule attribute's
-type depend on the whole document (all-numeric ``field_value`` would turn
-into bigint, all-object ``lookup_value`` into a struct) and reads a bare
-``HH:mm:ss`` column as a timestamp carrying *today's* date.
+Declared instead of inferred: inference makes a rule attribute's type depend
+on the whole document (all-numeric ``field_value`` would turn into bigint,
+all-object ``lookup_value`` into a struct).
 """
 
 from __future__ import annotations
@@ -50,29 +49,5 @@ RULE = T.StructType(
 
 RULE_DOCUMENT = T.StructType([T.StructField("rules", T.ArrayType(RULE))])
 
-# The date format of ``valid_from`` / ``valid_till`` in rule
-# documents, and of ``date`` / ``batch_process_date`` in the fact sample.
+# Fixed value: the date format of ``valid_from`` / ``valid_till`` in rule documents.
 RULE_DATE_FORMAT = "dd/MM/yyyy"
-SAMPLE_TIME_FORMAT = "dd/MM/yyyy HH:mm:ss.SSSSSS"
-
-# Shape of the transaction sample (header + comma separated, quoted strings).
-SAMPLE_FACTS = T.StructType(
-    [
-        T.StructField("session_id", T.IntegerType()),
-        T.StructField("id", T.IntegerType()),
-        T.StructField("date", T.StringType()),
-        T.StructField("txn_source_code", T.StringType()),
-        T.StructField("cash_amount", T.IntegerType()),
-        T.StructField("cheque_amount", T.IntegerType()),
-        T.StructField("transaction_total_amount", T.IntegerType()),
-        T.StructField("cash_transaction", T.BooleanType()),
-        T.StructField("time", T.StringType()),
-        T.StructField("city", T.StringType()),
-        T.StructField("transaction_status_code", T.StringType()),
-        T.StructField("transaction_global_currency_code", T.StringType()),
-        T.StructField("credit_debit_code", T.StringType()),
-        T.StructField("transaction_code", T.StringType()),
-        T.StructField("batch_process_date", T.StringType()),
-        T.StructField("check_cheque_transaction", T.StringType()),
-    ]
-)

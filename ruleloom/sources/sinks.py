@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.status import RuleResult
+from .readers import CSV_NULL
 
 AUDIT_SCHEMA = T.StructType(
     [
@@ -31,7 +32,9 @@ AUDIT_SCHEMA = T.StructType(
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Header CSV, one part file per task."""
-    df.write.mode(mode).option("header", True).csv(path)
+    options = {"header": True, "quoteAll": True, "quote": '"', "escape": '"', "nullValue": CSV_NULL, "emptyValue": "",
+               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).options(**options).csv(path)
     return path
 
 
@@ -42,7 +45,7 @@ def new_run_id() -> str:
 def audit_frame(spark: SparkSession, results: list[RuleResult], run_id: str | None = None) -> DataFrame:
     """One audit row per rule call (status, message, predicate text)."""
     rid = run_id or new_run_id()
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    now = _dt.datetime.now(_dt.timezone.utc)
     rows = [(rid, now, r.rule_id, r.status.value, r.message, r.text, None) for r in results]
     return spark.createDataFrame(rows, AUDIT_SCHEMA)
 
@@ -67,19 +70,14 @@ def hits_audit_frame(hits: DataFrame, results: dict[str, RuleResult], run_id: st
     )
 
 
-def append_audit(df: DataFrame, path: str, run_id: str | None = None) -> str:
+def append_audit(df: DataFrame, path: str, run_id: str) -> str:
     """Add one run's audit rows to the parquet log at ``path``.
 
     Each run is written to its own ``run_id=<id>`` folder: runs never share a
     job's temporary output (concurrent runs do not clash), a failed run
     leaves no partial rows in other runs, and reading one run prunes to its
-    folder. ``run_id`` defaults to the single run id found in ``df``.
+    folder. The id is given, so nothing is computed to find it.
     """
-    if run_id is None:
-        ids = [r[0] for r in df.select("run_id").distinct().limit(2).collect()]
-        if len(ids) != 1:
-            raise ValueError("audit rows must belong to exactly one run; pass run_id=")
-        run_id = ids[0]
     cols = [F.col(f.name).cast(f.dataType) for f in AUDIT_SCHEMA.fields if f.name != "run_id"]
     df.select(*cols).write.mode("errorifexists").parquet(f"{path.rstrip('/')}/run_id={run_id}")
     return path

@@ -47,6 +47,15 @@ def tag_stream(stream: DataFrame, catalog, rule_ids, as_of=None, hits_col: str =
     return tag_all(stream, catalog, rule_ids, as_of=as_of, hits_col=hits_col)
 
 
+def checkpoint_of(out_path: str) -> str:
+    """The progress folder that belongs to an output folder (readers skip names with ``_``).
+
+    Bound to the output, a later run over the same output goes on where the
+    earlier one stopped: it neither loses new rows nor repeats old ones.
+    """
+    return f"{out_path.rstrip('/')}/_checkpoint"
+
+
 def run_to_parquet(stream: DataFrame, out_path: str | None = None, checkpoint: str | None = None,
                    name: str = "rules") -> str:
     """Drain everything available into parquet (append), then stop.
@@ -56,7 +65,7 @@ def run_to_parquet(stream: DataFrame, out_path: str | None = None, checkpoint: s
     """
     spark = stream.sparkSession
     out_path = out_path or shared_path(spark, f"stream-out-{name}")
-    checkpoint = checkpoint or shared_path(spark, f"stream-ckpt-{name}")
+    checkpoint = checkpoint or checkpoint_of(out_path)
     query = (
         stream.writeStream.format("parquet")
         .option("path", out_path)
@@ -78,7 +87,7 @@ def start_to_parquet(stream: DataFrame, out_path: str | None = None, checkpoint:
     """
     spark = stream.sparkSession
     out_path = out_path or shared_path(spark, f"stream-out-{name}")
-    checkpoint = checkpoint or shared_path(spark, f"stream-ckpt-{name}")
+    checkpoint = checkpoint or checkpoint_of(out_path)
     return (
         stream.writeStream.format("parquet")
         .option("path", out_path)
@@ -98,14 +107,16 @@ def run_with_current_rules(stream: DataFrame, rules_path: str, rule_ids, out_pat
     ``rule_ids`` as stages, with the validity window checked on the batch's
     day when ``as_of`` is None. Each batch is written to its own
     ``epoch=<id>`` folder with overwrite, so a retried batch replaces its own
-    output: results stay exactly-once. ``every=None`` drains what is
+    output: results stay exactly-once. A rule that is off, expired or broken
+    when a batch begins ends the query with its status as the error, and the
+    batch is judged anew after a restart: no row passes unjudged. ``every=None`` drains what is
     available and stops; otherwise the query keeps running (returned).
     """
     from ..plans.catalog import RuleCatalog
 
     spark = stream.sparkSession
     out_path = out_path or shared_path(spark, f"stream-out-{name}")
-    checkpoint = checkpoint or shared_path(spark, f"stream-ckpt-{name}")
+    checkpoint = checkpoint or checkpoint_of(out_path)
     ids = [rule_ids] if isinstance(rule_ids, str) else list(rule_ids)
 
     def batch(df: DataFrame, epoch_id: int) -> None:

@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.lookups import explode_pairs
-from .operators.actions import rule_hit_counts, tag, tag_all, transform
+from .operators.actions import bind_statuses, rule_hit_counts, tag, tag_all, transform
 from .operators.aggregate import exact_sum, group_lookup, time_span
 from .operators.apply import apply_rule, apply_stages, evaluate
 from .operators.lookups import match_lookup
 from .plans.catalog import RuleCatalog
 from .session import shared_path
-from .sources.readers import read_csv
+from .sources.readers import read_csv, read_table, register
 from .sources.sinks import append_audit, hits_audit_frame, new_run_id, read_audit, write_csv
 
 AS_OF = _dt.date(2022, 3, 1)
@@ -29,6 +29,7 @@ RULES_PATH = os.path.join(os.path.dirname(__file__), "resources", "tpch_rules.js
 
 # rules evaluated together by the multi-rule queries
 TAG_RULES = ["ord_large", "ord_f", "ord_or_goto", "ord_c1", "ord_digits"]
+SKIP_RULES = ["ord_large", "off", "expired", "dangling", "loop_a", "ord_f"]
 HIT_RULES = ["ord_filter", "ord_large", "ord_and", "ord_or", "ord_or_goto", "ord_c1", "ord_digits", "ord_cond"]
 
 _CATALOGS: dict[tuple[int, str, str], RuleCatalog] = {}
@@ -117,7 +118,7 @@ def group_lookup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     return group_lookup(orders, catalog(spark), "grp", {
         "n_rows": F.count(F.lit(1)),
-        "total_amount": exact_sum("o_totalprice"),
+        "total_amount": exact_sum("o_totalprice", 2),
         "min_date": F.min("o_orderdate"),
         "max_date": F.max("o_orderdate"),
     }, as_of=AS_OF)
@@ -127,7 +128,7 @@ def group_lookup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return group_lookup(ev, catalog(spark), "ev_grp", {
         "n_events": F.count(F.lit(1)),
-        "total_value": exact_sum("value"),
+        "total_value": exact_sum("value", 2),
         "first_ts": F.min("ts"),
         "last_ts": F.max("ts"),
     }, as_of=AS_OF)
@@ -135,7 +136,43 @@ def group_lookup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def time_span_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    return time_span(ev, ["user_id"], "ts", "value", 30, per_day=True, min_events=2, order=True)
+    return time_span(ev, ["user_id"], "ts", "value", 30, per_day=True, min_events=2, order=True, amount_scale=2)
+
+
+def time_span_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 as it stands: spans over all days, groups of one event included."""
+    ev = table(spark, sf_dir, "events")
+    return time_span(ev, ["user_id", "event_type"], "ts", "value", 30_000, amount_scale=2)
+
+
+def group_lookup_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 over values of more than two decimals."""
+    li = table(spark, sf_dir, "lineitem")
+    return group_lookup(li, catalog(spark), "li_grp", {
+        "n_rows": F.count(F.lit(1)),
+        "revenue": exact_sum(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4),
+    }, as_of=AS_OF)
+
+
+def csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + S1 over free text: line breaks, quotes, blanks and empty texts survive."""
+    docs = table(spark, sf_dir, "documents")
+    return read_csv(spark, write_csv(docs, shared_path(spark, "csv-documents")), docs.schema)
+
+
+def named_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules applied to a named view, their text run as a statement by the caller."""
+    register(apply_rule(table(spark, sf_dir, "orders"), catalog(spark), "ord_filter", as_of=AS_OF), "orders_filtered")
+    res = evaluate(catalog(spark), "identification", "query_builder", "ord_large", "false", df=read_table(spark, "orders_filtered"), as_of=AS_OF)
+    return spark.sql(f"select * from orders_filtered where {res.raise_for_status().text}")
+
+
+def tag_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Off, expired, dangling and cyclic rules are left out of the pass, and reported."""
+    orders = table(spark, sf_dir, "orders")
+    status = {rid: r.status.value for rid, r in bind_statuses(orders, catalog(spark), SKIP_RULES, as_of=AS_OF).items()}
+    tagged = tag_all(orders, catalog(spark), SKIP_RULES, as_of=AS_OF, errors="skip").select("o_orderkey", "hits")
+    return tagged.withColumn("left_out", F.lit(",".join(rid for rid in SKIP_RULES if status[rid] != "ok")))
 
 
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,6 +240,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "group_lookup": group_lookup_query,
     "group_lookup_events": group_lookup_events,
     "time_span": time_span_query,
+    "time_span_plain": time_span_plain,
+    "group_lookup_revenue": group_lookup_revenue,
+    "csv_documents": csv_documents,
+    "named_flow": named_flow,
+    "tag_skip": tag_skip,
     "csv_round_trip": csv_round_trip,
     "rule_hits": rule_hits,
     "stream_filter": stream_filter,
@@ -263,18 +305,29 @@ ORACLE_SQL: dict[str, str] = {
                    f"CASE WHEN {_PRED['ord_c1']} THEN 'true' END AS is_urgent_big FROM orders",
     "transform": "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice - l_quantity AS net FROM lineitem",
     "group_lookup": "SELECT o_custkey, count(*) AS n_rows, "
-                    "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_amount, "
+                    "round(sum(o_totalprice), 2) AS total_amount, "
                     "min(o_orderdate) AS min_date, max(o_orderdate) AS max_date FROM orders GROUP BY o_custkey",
     "group_lookup_events": "SELECT user_id, event_type, count(*) AS n_events, "
-                           "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value, "
+                           "round(sum(value), 2) AS total_value, "
                            "min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY user_id, event_type",
     "time_span": "SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n_events, "
-                 "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_amount, "
+                 "round(sum(value), 2) AS total_amount, "
                  "min(ts) AS min_time, max(ts) AS max_time, "
                  "(epoch_us(max(ts)) - epoch_us(min(ts))) / CAST(60000000 AS DOUBLE) AS minutes "
                  "FROM events GROUP BY user_id, CAST(ts AS DATE) "
                  "HAVING count(*) >= 2 AND (epoch_us(max(ts)) - epoch_us(min(ts))) / CAST(60000000 AS DOUBLE) <= 30 "
                  "ORDER BY user_id, day",
+    "time_span_plain": "SELECT user_id, event_type, count(*) AS n_events, round(sum(value), 2) AS total_amount, "
+                       "min(ts) AS min_time, max(ts) AS max_time, "
+                       "(epoch_us(max(ts)) - epoch_us(min(ts))) / CAST(60000000 AS DOUBLE) AS minutes "
+                       "FROM events GROUP BY user_id, event_type "
+                       "HAVING (epoch_us(max(ts)) - epoch_us(min(ts))) / CAST(60000000 AS DOUBLE) <= 30000",
+    "group_lookup_revenue": "SELECT l_suppkey, count(*) AS n_rows, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue "
+                            "FROM lineitem GROUP BY l_suppkey",
+    "csv_documents": "SELECT * FROM documents",
+    "named_flow": f"SELECT * FROM orders WHERE {_PRED['ord_filter']} AND {_ORD}",
+    "tag_skip": f"SELECT o_orderkey, concat_ws(',', {_case_list(['ord_large', 'ord_f'])}) AS hits, "
+                "'off,expired,dangling,loop_a' AS left_out FROM orders",
     "csv_round_trip": f"SELECT * FROM orders WHERE {_PRED['ord_filter']}",
     "rule_hits": " UNION ALL ".join(
         f"SELECT '{r}' AS rule_id, 'ok' AS status, count(*) FILTER (WHERE {_PRED[r]}) AS n_hits FROM orders"

@@ -11,10 +11,8 @@ sys.path.insert(0, ROOT)
 
 from ruleloom.session import local_session  # noqa: E402
 
-FIXTURES = os.path.join(ROOT, "tests", "fixtures")
 SF_SMALL = "/root/testdata/sf0.001"
 AS_OF = dt.date(2022, 3, 1)
-LATE = dt.date(2022, 7, 1)  # after the sample's builder rules expire
 
 
 @pytest.fixture(scope="session")
@@ -28,16 +26,22 @@ def spark():
 
 @pytest.fixture(scope="session")
 def sample(spark):
-    from ruleloom.sources.readers import read_sample_facts
-
-    return read_sample_facts(spark, os.path.join(FIXTURES, "sample_facts.csv")).cache()
-
-
-@pytest.fixture(scope="session")
-def sample_catalog(spark):
-    from ruleloom import RuleCatalog
-
-    return RuleCatalog.load(spark, os.path.join(FIXTURES, "sample_rules.json"))
+    """Parcels of three vans: gross weight is net, wrapping and pallet together."""
+    rows = [
+        (1, 51, "LETTERBOX", 2600, 1400, 0, True, "mill", "north"),
+        (1, 52, "LETTERBOX", 4200, 6400, 0, True, "mill", "north"),
+        (2, 527, "CRATE", 11000, 6100, 500, True, "mill", "east"),
+        (1, 53, "LETTERBOX", 600, 9900, 0, True, "mill", "036"),
+        (2, 54, "LETTERBOX", 12500, 900, 100, True, "quay", "east"),
+        (1, 55, "LETTERBOX", 1700, 250, 0, True, "mill", "south"),
+        (2, 56, "LETTERBOX", 8500, 2700, 1900, True, "mill", "north"),
+        (3, 57, "LETTERBOX", 800, 2100, 0, True, "mill", "west"),
+        (3, 58, "LETTERBOX", 950, 700, 0, False, "quay", "west"),
+    ]
+    made = [(v, p, k, n, w, n + w + b, i, d, z, f"K7{v}00") for v, p, k, n, w, b, i, d, z in rows]
+    return spark.createDataFrame(
+        made, "van int, parcel int, kind string, net_g int, wrap_g int, gross_g int, insured boolean, depot string, zone string, route string"
+    ).cache()
 
 
 @pytest.fixture(scope="session")

@@ -4,20 +4,25 @@ import json
 import os
 
 import pytest
-from conftest import AS_OF, FIXTURES, catalog_of, cond, lookup, rule
+from conftest import AS_OF, catalog_of, cond, lookup, rule
 
-from ruleloom import RuleCatalog, Status, apply_rule, evaluate
+from ruleloom import RuleCatalog, Status, apply_rule, evaluate, tpch
 
 
-def test_headers_and_conditions(sample_catalog):
-    h = sample_catalog.headers().orderBy("rule_pos").collect()
-    assert [r["id"] for r in h] == ["s_filter", "s_vals", "s_total", "s_net", "s_cond"]
-    assert [r["n_conditions"] for r in h] == [1, 1, 1, 1, 1]
-    assert h[4]["field_name"] == "goto" and h[4]["field_value"] == "s_net"
-    c = sample_catalog.conditions().orderBy("rule_pos", "cond_pos").collect()
-    assert c[0]["lookup_value"].strip().startswith("where")
+def test_headers_and_conditions(spark):
+    cat = catalog_of(spark, [
+        rule("late", [lookup(" where depot = 'quay'")], key="query_lookup", lookup="true", process="filtration"),
+        rule("tariff", [lookup({"zone": "east", "grams": 750})], key="value_lookup", lookup="true"),
+        rule("jump", [cond("net_g", ">", "1", "AND"), cond("wrap_g", ">", "2")], ("goto", "late")),
+    ])
+    h = cat.headers().orderBy("rule_pos").collect()
+    assert [r["id"] for r in h] == ["late", "tariff", "jump"]
+    assert [r["n_conditions"] for r in h] == [1, 1, 2]
+    assert h[2]["field_name"] == "goto" and h[2]["field_value"] == "late"
+    c = cat.conditions().orderBy("rule_pos", "cond_pos").collect()
+    assert len(c) == 4 and c[0]["lookup_value"].strip().startswith("where")
     # objects arrive as their JSON text
-    assert json.loads(c[1]["lookup_value"]) == {"check_cheque_transaction": "yes", "flag": "pass", "limit": 10000}
+    assert json.loads(c[1]["lookup_value"]) == {"zone": "east", "grams": 750}
 
 
 def test_trim_and_numeric_field_values(spark, orders_small):
@@ -89,17 +94,30 @@ def test_duplicates_first_definition_wins(spark, orders_small):  # D19
     assert res.text == "(o_orderstatus) = 'F'"
 
 
-def test_large_documents_fetch_by_id(spark, orders_small):
+def test_every_rule_is_indexed_in_one_job(spark, orders_small):
     rules = [rule(f"r{i}", [cond("o_totalprice", ">=", str(i * 1000))]) for i in range(30)]
     cat = catalog_of(spark, rules)
-    cat.max_local_rules = 10  # force the per-id path
     assert apply_rule(orders_small, cat, "r25", as_of=AS_OF).count() == orders_small.filter("o_totalprice >= 25000").count()
-    assert not cat._complete and set(cat._by_id) == {"r25"}
+    assert len(cat.all_ids()) == 30
+
+
+def test_malformed_documents_raise_on_every_call(spark):
+    cat = RuleCatalog.from_json(spark, ['{"rules": []}', "not json"])
+    for _ in range(2):
+        with pytest.raises(ValueError):
+            cat.rules_with_id("x")
+
+
+def test_texts_keep_their_order(spark):
+    one, two = ({"rules": [rule(i, [cond("a", "=", v)]) for i in ids]} for ids, v in ((["p", "x"], "1"), (["x", "q"], "2")))
+    cat = RuleCatalog.from_json(spark, [json.dumps(one), json.dumps(two)])
+    assert cat.all_ids() == ["p", "x", "q"]
+    assert [r.conditions[0].field_value for r in cat.rules_with_id("x")] == ["1", "2"]
 
 
 def test_reads_from_file_path(spark):
-    cat = RuleCatalog.load(spark, os.path.join(FIXTURES, "sample_rules.json"))
-    assert cat.all_ids() == ["s_filter", "s_vals", "s_total", "s_net", "s_cond"]
+    cat = RuleCatalog.load(spark, tpch.RULES_PATH)
+    assert cat.all_ids()[:3] == ["ord_filter", "ord_large", "ord_and"]
 
 
 def test_empty_document_is_an_empty_catalog(spark):

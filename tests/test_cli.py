@@ -30,21 +30,17 @@ def test_apply_stages_and_tag(spark):
         "o_totalprice >= 400000 and o_orderstatus = 'F'").count()
 
 
-def test_apply_csv_input_needs_a_schema(spark):
-    import os
-
+def test_apply_csv_input_needs_a_schema(spark, orders_small):
     import pytest
-    from conftest import FIXTURES
 
-    sample = os.path.join(FIXTURES, "sample_facts.csv")
-    rules = os.path.join(FIXTURES, "sample_rules.json")
-    base = ["apply", "--rules", rules, "--input", sample, "--input-format", "csv", "--rule", "s_filter",
+    from ruleloom.sources.sinks import write_csv
+
+    source = write_csv(orders_small, shared_path(spark, "t-cli-csv-in"))
+    base = ["apply", "--rules", tpch.RULES_PATH, "--input", source, "--input-format", "csv", "--rule", "ord_filter",
             "--as-of", "2022-03-01"]
     with pytest.raises(SystemExit):
         main(base + ["--output", shared_path(spark, "t-cli-csv-x")], spark)
-    from ruleloom.sources.schema import SAMPLE_FACTS
-
     out = shared_path(spark, "t-cli-csv")
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SAMPLE_FACTS)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in orders_small.schema)
     assert main(base + ["--output", out, "--schema", ddl], spark) == 0
-    assert spark.read.parquet(out).count() == 6
+    assert spark.read.parquet(out).count() == tpch.QUERIES["query_lookup"](spark, SF_SMALL).count()

@@ -12,14 +12,14 @@ from ruleloom.functions.lookups import explode_pairs, json_value
 @pytest.fixture(scope="module")
 def cat(spark):
     return catalog_of(spark, [
-        rule("big", [cond("transaction_total_amount", ">=", "10000")], ("is_big", "yes")),
-        rule("perth", [cond("city", "=", "perth")], ("region", "west")),
-        rule("hob", [cond("city", "=", "hobart")], ("region", "south")),
-        rule("chain", [cond("cash_amount", ">", "5000")], ("goto", "perth")),
-        rule("kv", [lookup({"city": "hobart", "n": 2})], key="value_lookup", lookup="true"),
-        rule("q", [lookup(" where city = 'perth'")], key="query_lookup", lookup="true", process="filtration"),
-        rule("net", [], ("net_amount", "transaction_total_amount - cheque_amount"), key="transformation"),
-        rule("net_if", [cond("city", "=", "perth")], ("net_amount", "transaction_total_amount - cheque_amount"),
+        rule("big", [cond("gross_g", ">=", "10000")], ("is_big", "yes")),
+        rule("mill", [cond("depot", "=", "mill")], ("region", "west")),
+        rule("hob", [cond("depot", "=", "quay")], ("region", "south")),
+        rule("chain", [cond("net_g", ">", "5000")], ("goto", "mill")),
+        rule("kv", [lookup({"depot": "quay", "n": 2})], key="value_lookup", lookup="true"),
+        rule("q", [lookup(" where depot = 'mill'")], key="query_lookup", lookup="true", process="filtration"),
+        rule("net", [], ("net_amount", "gross_g - wrap_g"), key="transformation"),
+        rule("net_if", [cond("depot", "=", "mill")], ("net_amount", "gross_g - wrap_g"),
              key="transformation"),
         rule("arr", [lookup([1, 2])], key="value_lookup", lookup="true"),
     ])
@@ -27,51 +27,51 @@ def cat(spark):
 
 def test_tag_sets_value_on_hits(sample, cat):
     out = tag(sample, cat, "big", as_of=AS_OF)
-    got = {(r["session_id"], r["id"]): r["is_big"] for r in out.collect()}
+    got = {(r["van"], r["parcel"]): r["is_big"] for r in out.collect()}
     assert sum(v == "yes" for v in got.values()) == 5
     assert sum(v is None for v in got.values()) == 4
 
 
 def test_tag_all_one_pass(sample, cat):
-    out = tag_all(sample, cat, ["big", "perth", "hob", "chain", "q"], as_of=AS_OF)
-    rows = {(r["session_id"], r["id"]): r["hits"] for r in out.collect()}
-    assert rows[(2, 12)] == "big,perth,chain,q"
-    assert rows[(3, 18)] == "hob"
-    assert rows[(1, 11)] == "perth,q"
+    out = tag_all(sample, cat, ["big", "mill", "hob", "chain", "q"], as_of=AS_OF)
+    rows = {(r["van"], r["parcel"]): r["hits"] for r in out.collect()}
+    assert rows[(2, 527)] == "big,mill,chain,q"
+    assert rows[(3, 58)] == "hob"
+    assert rows[(1, 51)] == "mill,q"
     assert out.columns[-1] == "hits" and len(out.columns) == len(sample.columns) + 1
 
 
 def test_tag_all_actions_first_rule_wins(sample, cat):
-    out = tag_all(sample, cat, ["perth", "hob", "chain"], as_of=AS_OF, set_actions=True)
+    out = tag_all(sample, cat, ["mill", "hob", "chain"], as_of=AS_OF, set_actions=True)
     regions = {r["region"] for r in out.collect()}
     assert regions == {"west", "south"}
 
 
 def test_rule_hit_counts(sample, cat):
-    got = {r["rule_id"]: r["n_hits"] for r in rule_hit_counts(sample, cat, ["big", "perth", "hob", "q"], as_of=AS_OF).collect()}
-    assert got == {"big": 5, "perth": 7, "hob": 2, "q": 7}
+    got = {r["rule_id"]: r["n_hits"] for r in rule_hit_counts(sample, cat, ["big", "mill", "hob", "q"], as_of=AS_OF).collect()}
+    assert got == {"big": 5, "mill": 7, "hob": 2, "q": 7}
 
 
 def test_transform(sample, cat):
     out = transform(sample, cat, "net", as_of=AS_OF)
-    assert out.filter("net_amount = transaction_total_amount - cheque_amount").count() == 9
+    assert out.filter("net_amount = gross_g - wrap_g").count() == 9
     out = transform(sample, cat, "net_if", as_of=AS_OF)
-    assert out.filter("net_amount is null").count() == 2  # hobart rows untouched (new column)
+    assert out.filter("net_amount is null").count() == 2  # quay rows untouched (new column)
 
 
 def test_values_and_rule_values(cat, spark):
-    assert values(cat, "kv", as_of=AS_OF).value == [("city", "hobart"), ("n", 2)]
+    assert values(cat, "kv", as_of=AS_OF).value == [("depot", "quay"), ("n", 2)]
     got = sorted((r["rule_id"], r["key"], r["value"]) for r in rule_values(cat).collect())
-    assert got == [("kv", "city", "hobart"), ("kv", "n", "2")]  # text values; non-objects give nothing
+    assert got == [("kv", "depot", "quay"), ("kv", "n", "2")]  # text values; non-objects give nothing
 
 
 def test_match_lookup_on_data(spark):
-    df = spark.createDataFrame([(1, '{"city": "hobart", "n": 2}'), (2, '{"city": "hobart", "n": 3}'),
-                                (3, '{"city": "perth"}'), (4, None), (5, "not json")], "k int, j string")
-    cat = catalog_of(spark, [rule("kv", [lookup({"city": "hobart", "n": 2})], key="value_lookup", lookup="true"),
+    df = spark.createDataFrame([(1, '{"depot": "quay", "n": 2}'), (2, '{"depot": "quay", "n": 3}'),
+                                (3, '{"depot": "mill"}'), (4, None), (5, "not json")], "k int, j string")
+    cat = catalog_of(spark, [rule("kv", [lookup({"depot": "quay", "n": 2})], key="value_lookup", lookup="true"),
                              rule("arr", [lookup([1, 2])], key="value_lookup", lookup="true")])
     out = match_lookup(df, cat, "kv", "j", as_of=AS_OF)
-    assert [(r["k"], r["city"], r["n"]) for r in out.collect()] == [(1, "hobart", "2")]
+    assert [(r["k"], r["depot"], r["n"]) for r in out.collect()] == [(1, "quay", "2")]
     with pytest.raises(RuleError):
         match_lookup(df, cat, "arr", "j", as_of=AS_OF)
 
@@ -87,17 +87,17 @@ def test_lookup_only_returns_text_without_table(cat):
     from ruleloom import evaluate
 
     r = evaluate(cat, "filtration", "query_lookup", "q", "true", as_of=AS_OF)  # L3
-    assert r.ok and r.df is None and r.text == "where city = 'perth'"
+    assert r.ok and r.df is None and r.text == "where depot = 'mill'"
     r = evaluate(cat, "identification", "query_builder", "big", "false", as_of=AS_OF)
-    assert r.ok and r.predicate is None and r.text == "(transaction_total_amount) >= 10000"
+    assert r.ok and r.predicate is None and r.text == "(gross_g) >= 10000"
 
 
 def test_multi_rule_calls_can_skip_unusable_rules(spark, sample):
     from ruleloom import rule_statuses
 
-    cat = catalog_of(spark, [rule("ok", [cond("city", "=", "hobart")]),
-                             rule("off", [cond("city", "=", "perth")], valid="false"),
-                             rule("dang", [cond("city", "=", "perth")], ("goto", "none"))])
+    cat = catalog_of(spark, [rule("ok", [cond("depot", "=", "quay")]),
+                             rule("off", [cond("depot", "=", "mill")], valid="false"),
+                             rule("dang", [cond("depot", "=", "mill")], ("goto", "none"))])
     with pytest.raises(RuleError):
         tag_all(sample, cat, ["ok", "off"], as_of=AS_OF)
     out = tag_all(sample, cat, ["ok", "off", "dang", "missing"], as_of=AS_OF, errors="skip")
@@ -114,7 +114,7 @@ def test_transformation_through_evaluate(spark, sample, cat):
 
     res = evaluate(cat, "identification", "transformation", "net", "false", df=sample, apply=True, as_of=AS_OF)
     assert res.ok and "net_amount" in res.df.columns
-    assert res.df.filter("net_amount = transaction_total_amount - cheque_amount").count() == 9
+    assert res.df.filter("net_amount = gross_g - wrap_g").count() == 9
 
 
 def test_query_tails_beyond_where(spark, orders_small):

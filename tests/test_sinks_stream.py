@@ -20,8 +20,8 @@ def test_audit_append_and_read(spark):
     cat = catalog_of(spark, [rule("a", [cond("o_totalprice", ">=", "1")]), rule("b", [cond("x", "=", "1")], valid="false")])
     results = [evaluate(cat, "identification", "query_builder", r, "false", as_of=AS_OF) for r in ("a", "b", "zz")]
     path = shared_path(spark, "t-audit")
-    append_audit(audit_frame(spark, results, "run1"), path)
-    append_audit(audit_frame(spark, results[:1], "run2"), path)
+    append_audit(audit_frame(spark, results, "run1"), path, "run1")
+    append_audit(audit_frame(spark, results[:1], "run2"), path, "run2")
     rows = sorted((r["rule_id"], r["status"], r["predicate"]) for r in read_audit(spark, path, "run1").collect())
     assert rows == [("a", "ok", "(o_totalprice) >= 1"), ("b", "off", ""), ("zz", "not_configured", "")]
     assert read_audit(spark, path).count() == 4
@@ -77,7 +77,7 @@ def test_audit_runs_in_own_folders(spark):
     res = [evaluate(cat, "identification", "query_builder", "a", "false", as_of=AS_OF)]
     path = shared_path(spark, "t-audit-runs")
     for run in ("r1", "r2", "r3"):
-        append_audit(audit_frame(spark, res, run), path)
+        append_audit(audit_frame(spark, res, run), path, run)
     assert sorted(d for d in os.listdir(path.replace("file:", "")) if d.startswith("run_id=")) == \
         ["run_id=r1", "run_id=r2", "run_id=r3"]
     one = read_audit(spark, path, "r2")
