@@ -233,8 +233,9 @@ class WordTokens:
         for text in texts:
             # A word keeps the line feed before it; the one added in front goes again.
             words = ("\n" + text).replace("\n", " \n")[1:].split(" ")
-            # As many as between any white space: none of it but single blanks and line feeds.
-            if len(words) == len(text.split()):
+            # Words with one white space between any two, each a blank or a line feed.
+            parts = text.split()
+            if len(words) == len(parts) and sum(map(len, parts)) == len(text) - len(parts) + 1:
                 made.append(b"".join(map(word, words))[4:])
             else:
                 made.append(array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes() if text else b"")

@@ -182,7 +182,9 @@ def _grow(binned: np.ndarray, cuts: list[np.ndarray], grad: np.ndarray, hess: np
 
 
 def boost(x: np.ndarray, y: np.ndarray) -> tuple[float, list[Tree]]:
-    """Log-odds of the base rate and trees fitted to the log loss."""
+    """Log-odds of the base rate and trees fitted to the log loss; no trees for fewer than two classes."""
+    if not 0 < y.sum() < len(y):
+        return (0.0 if not len(y) else 4.0 if y[0] else -4.0), []
     cuts, binned = [], np.zeros(x.shape, np.int64)
     for f in range(x.shape[1]):
         own = np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1]))
@@ -191,10 +193,10 @@ def boost(x: np.ndarray, y: np.ndarray) -> tuple[float, list[Tree]]:
             own = np.unique(np.concatenate([[0.0], np.quantile(positive, np.linspace(0, 1, BINS - 1)[:-1])]))
         cuts.append(own[: BINS - 1])
         binned[:, f] = np.searchsorted(cuts[-1], x[:, f], "left")
-    rate = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
+    rate = float(y.mean())
     base = float(np.log(rate / (1 - rate)))
     margin, trees = np.full(len(y), base), []
-    for _ in range(TREES if 0 < y.sum() < len(y) else 0):
+    for _ in range(TREES):
         p = 1 / (1 + np.exp(-margin))
         tree, add = _grow(binned, cuts, y - p, p * (1 - p))
         trees.append(tree)
