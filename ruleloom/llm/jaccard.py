@@ -6,11 +6,14 @@
    those that have but a passage in common with others.
 3. The n-grams of the rest are counted; a second prefix filter takes each set's n-grams
    rarest first. Classes that share a prefix n-gram are clustered.
-4. Clusters are cut into blocks of bounded bytes, and each pair of blocks is
-   joined in one task: prefix index, length, positional and suffix filter, then the
-   exact intersection, once a pair; a pair that is already connected is left out,
-   so a task reports fewer links than it has documents.
-5. The links' components are the answer.
+4. Clusters are cut into blocks of bounded bytes, each joined in one task: prefix
+   index, length, positional and suffix filter, then the exact intersection, once a
+   pair; a pair that is already connected is left out, so a task reports fewer links than
+   it has documents. A few pivots of a cut cluster join every block, so that a large
+   group of near copies is one component by now.
+5. Of a cut cluster, what is not in its heaviest component is joined with all blocks.
+   Documents of one component are not compared any more.
+6. The links' components are the answer.
 
 The needed overlap of sets of sizes m and n at similarity t is t / (1 + t) * (m + n),
 and no less than t * m; so two sets must meet in the first ``m - ceil(t * m) + 1``
@@ -23,7 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ruleloom.llm.components import Forest, components
@@ -34,6 +37,10 @@ from ruleloom.llm.words import NOT_SPACE, hash_words, mix, ngram_sets
 BUCKET_GRAMS = 400_000
 #: Bytes of n-gram sets in one block of a cluster.
 BLOCK_BYTES = 16 << 20
+#: Members of a cut cluster that every block of it is joined with, at most.
+PIVOTS = 4
+#: Rows of a hot cluster are dealt over so many keys where they look up their cluster.
+SALTS = 64
 #: Classes are broadcast to pick their texts up to so many; beyond that the join shuffles.
 BROADCAST_CLASSES = 500_000
 SUFFIX_BINS = 16
@@ -197,8 +204,11 @@ def rare_prefixes(sets: DataFrame, buckets: int, percent: int) -> DataFrame:
 # -- 4 ---------------------------------------------------------------------------------
 
 
-def join_block(node: np.ndarray, side: np.ndarray, sets: list[np.ndarray], percent: int, within: bool) -> list[tuple[int, int]]:
-    """Links (of different components so far) among documents, or between side 0 and side 1."""
+def join_block(node: np.ndarray, side: np.ndarray, sets: list[np.ndarray], percent: int, within: bool, known: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links (of different components so far) among documents, or between two sides.
+
+    ``known`` names the components that are connected already; by default every row is its own.
+    """
     sizes = np.array([len(s) for s in sets], np.int64)
     order = np.argsort(sizes, kind="stable")
     node, side, sizes, sets = node[order], side[order], sizes[order], [sets[i] for i in order]
@@ -219,6 +229,10 @@ def join_block(node: np.ndarray, side: np.ndarray, sets: list[np.ndarray], perce
     index_owner, index_place = post_owner[by_token], post_place[by_token]
     # Both are sorted by document inside a token, so the earlier documents are a front part.
     label, members = np.arange(len(sets)), {}
+    if known is not None:
+        _, label = np.unique(known[order], return_inverse=True)
+        for row, name in enumerate(label.tolist()):
+            members.setdefault(name, []).append(row)
     marks = np.zeros(len(values), bool)
     links = []
     doc_from = np.searchsorted(post_owner, np.arange(len(sets) + 1))
@@ -265,25 +279,76 @@ def join_block(node: np.ndarray, side: np.ndarray, sets: list[np.ndarray], perce
     return links
 
 
-def cluster_links(sets: DataFrame, clusters: DataFrame, percent: int, block_bytes: int) -> DataFrame:
-    """(a, b): enough links to connect whatever is connected inside clusters (node, root)."""
-    placed = sets.join(clusters, "node")
-    blocks = clusters.join(sets.select("node", "n"), "node").groupBy("root").agg(F.ceil(F.sum("n") * 8 / block_bytes).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    paired = placed.join(blocks, "root").select("root", "node", "grams", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    paired = paired.select("root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "grams")
+def with_blocks(rows: DataFrame, cut: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` with the ``columns`` of their cluster in ``cut`` (null where it is not there), a hot cluster's rows dealt over salts."""
+    salted = cut.select("root", *columns, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salted, ["root", "salt"], "left").drop("salt")
+
+
+def dealt(blocks) -> Column:
+    """The block of a node, of so many."""
+    return F.pmod(F.xxhash64(F.lit("block"), "node"), blocks).cast("int")
+
+
+def block_links(placed: DataFrame, cut: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links inside the blocks of clusters, and between them and the pivots of clusters in ``cut``."""
+    members = with_blocks(placed, cut, "blocks").select("root", dealt(F.coalesce("blocks", F.lit(1))).alias("block"), "node", "grams")
+    chosen = cut.select("root", "blocks", F.explode(F.array_distinct("pivots")).alias("node"))
+    # A pivot is in its own block as it is.
+    guests = chosen.withColumn("own", dealt(F.col("blocks"))).select("root", "node", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).filter("own <> block")
+    guests = guests.join(placed.select("node", "grams"), "node").select("root", "block", "node", "grams")
+
+    def run(group: pa.Table) -> pa.Table:
+        grams = [np.frombuffer(g, np.uint64) for g in group["grams"].to_pylist()]
+        return _link_table(join_block(group["node"].to_numpy(), np.zeros(len(grams), np.int64), grams, percent, within=True))
+
+    return members.unionByName(guests).groupBy("root", "block").applyInArrow(run, "a long, b long")
+
+
+def cross_links(placed: DataFrame, cut: DataFrame, labels: DataFrame, percent: int, block_bytes: int) -> DataFrame:
+    """(a, b): links of the clusters in ``cut`` between documents of different components in ``labels`` (node, label).
+
+    The heaviest component of a cluster is its core: its blocks meet the blocks of the rest only, which
+    meet one another too.
+    """
+    many = F.ceil(F.col("bytes") / block_bytes).cast("int")
+    inside = with_blocks(placed, cut, "blocks").filter("blocks is not null").join(labels, "node", "left").select("root", "node", "n", "grams", F.coalesce("label", "node").alias("label"))
+    weights = inside.groupBy("root", "label").agg((F.sum("n") * 8).alias("bytes"))
+    cores = weights.groupBy("root").agg(F.max(F.struct("bytes", "label")).alias("core"), F.sum("bytes").alias("total"))
+    sizes = cores.select("root", F.col("core.label").alias("core"), F.col("core.bytes").alias("bytes"), (F.col("total") - F.col("core.bytes")).alias("rest"))
+    sizes = sizes.filter("rest > 0").select("root", "core", many.alias("core_blocks"), F.ceil(F.col("rest") / block_bytes).cast("int").alias("rest_blocks"))
+    member = with_blocks(inside, sizes, "core", "core_blocks", "rest_blocks").filter("core is not null")
+    is_core = F.col("label") == F.col("core")
+    mine = F.when(is_core, F.col("rest_blocks") + dealt(F.col("core_blocks"))).otherwise(dealt(F.col("rest_blocks")))
+    others = F.sequence(F.lit(0), F.when(is_core, F.col("rest_blocks") - 1).otherwise(F.col("rest_blocks") + F.col("core_blocks") - 1))
+    paired = member.select("root", "node", "label", "grams", mine.alias("mine"), F.explode(others).alias("other"))
+    paired = paired.select("root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "label", "grams")
 
     def run(group: pa.Table) -> pa.Table:
         grams = [np.frombuffer(g, np.uint64) for g in group["grams"].to_pylist()]
-        mine = group["mine"].to_numpy()
-        i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        links = join_block(group["node"].to_numpy(), mine, grams, percent, within=i == j)
-        ends = np.array(links, np.int64).reshape(-1, 2)
-        return pa.table({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
+        within = group["i"][0].as_py() == group["j"][0].as_py()
+        return _link_table(join_block(group["node"].to_numpy(), group["mine"].to_numpy(), grams, percent, within, group["label"].to_numpy()))
 
     return paired.groupBy("root", "i", "j").applyInArrow(run, "a long, b long")
 
 
+def _link_table(links: list[tuple[int, int]]) -> pa.Table:
+    ends = np.array(links, np.int64).reshape(-1, 2)
+    return pa.table({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
+
+
+def cluster_components(sets: DataFrame, clusters: DataFrame, percent: int, block_bytes: int) -> DataFrame:
+    """(node, root): the components of all links inside clusters (node, root), for nodes that have a link."""
+    pivots = F.array(*[F.min_by("node", F.xxhash64(F.lit(k), "node")) for k in range(PIVOTS)])
+    weight = F.ceil(F.sum("n") * 8 / block_bytes).cast("int")
+    cut = keep(clusters.join(sets.select("node", "n"), "node").groupBy("root").agg(weight.alias("blocks"), pivots.alias("pivots")).filter("blocks > 1"), "cut")
+    placed = sets.join(clusters, "node")
+    found = keep(components(block_links(placed, cut, percent), "a", "b"), "found")
+    labels = found.withColumnRenamed("root", "label")
+    more = cross_links(placed, cut, labels, percent, block_bytes)
+    return components(found.toDF("a", "b").union(more), "a", "b")
+
+
 # -- all -------------------------------------------------------------------------------
 
 
@@ -318,7 +383,7 @@ def link_classes(docs: DataFrame, doc_id: str, text: str, *, n: int = 5, percent
     heads = keep(rare_prefixes(sets, max(1, (grams or 0) // BUCKET_GRAMS), percent), "heads")
     stars = heads.join(heads.groupBy("gram").agg(F.min("node").alias("head")), "gram").filter("node <> head").select("node", "head").distinct()
     clusters = keep(components(stars, "node", "head"), "clusters")
-    links = components(cluster_links(sets, clusters, percent, block_bytes), "a", "b")
+    links = cluster_components(sets, clusters, percent, block_bytes)
     named = classes.join(links, "node", "left").select("k1", "k2", F.coalesce("root", "node").alias("component_id"))
     found = signed.join(named, ["k1", "k2"], "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

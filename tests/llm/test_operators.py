@@ -75,6 +75,29 @@ def test_link_classes_match_brute_force(docs):
     assert small == got
 
 
+def test_link_classes_of_cut_clusters_match_brute_force(spark):
+    """Chains of links, a group of near copies and strangers with a common passage, dealt into many small blocks."""
+    rng = random.Random(11)
+    said = [f"w{rng.randrange(5000)}" for _ in range(1000)]
+    made = [" ".join(said[at : at + 100]) for at in range(0, 400, 10)]
+    base = said[500:700]
+    for _ in range(40):
+        copy = list(base)
+        for _ in range(rng.randrange(1, 4)):
+            copy[rng.randrange(len(copy))] = f"c{rng.randrange(5000)}"
+        made.append(" ".join(copy))
+    passage = said[380:420] + said[690:720]
+    made += [" ".join([f"s{rng.randrange(5000)}" for _ in range(rng.randrange(20, 60))] + passage) for _ in range(20)]
+    rng.shuffle(made)
+    rows = list(enumerate(made))
+    want = brute.link_classes(rows)
+    assert 5 < len({c for _, c in want.values()}) < len(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    for block_bytes in (2_000, 20_000):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link_classes(docs, "doc_id", "text", block_bytes=block_bytes).collect()}
+        assert got == want
+
+
 def test_link_classes_edges(spark, docs, empty):
     assert jaccard.link_classes(empty, "doc_id", "text").count() == 0
     text = "a b c d e f g h i j"
