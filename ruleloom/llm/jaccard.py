@@ -36,7 +36,7 @@ from ruleloom.llm.words import NOT_SPACE, hash_words, mix, ngram_sets
 #: n-grams that one counting bucket holds on average.
 BUCKET_GRAMS = 400_000
 #: Bytes of n-gram sets in one block of a cluster.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Members of a cut cluster that every block of it is joined with, at most.
 PIVOTS = 4
 #: Rows of a hot cluster are dealt over so many keys where they look up their cluster.
@@ -214,14 +214,15 @@ def join_block(node: np.ndarray, side: np.ndarray, sets: list[np.ndarray], perce
     node, side, sizes, sets = node[order], side[order], sizes[order], [sets[i] for i in order]
     first = np.concatenate([[0], np.cumsum(sizes)])
     values, token, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rank = np.empty(len(values), np.int64)
-    rank[np.lexsort((values, df))] = np.arange(len(values))
-    token, df = rank[token], df[np.argsort(rank)]
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    by_df = np.lexsort((values, df))
+    rank = np.empty(len(values), np.int32)
+    rank[by_df] = np.arange(len(values))
+    token, df = rank[token], df[by_df].astype(np.int32)
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
     token = token[np.lexsort((token, owner))]
-    place = np.arange(len(token)) - first[owner]
+    place = (np.arange(len(token)) - first[owner]).astype(np.int32)
     bins = np.zeros((len(sets), SUFFIX_BINS), np.int32)
-    np.add.at(bins, (owner, token * SUFFIX_BINS // max(1, len(values))), 1)
+    np.add.at(bins, (owner, token.astype(np.int64) * SUFFIX_BINS // max(1, len(values))), 1)
     head = (place < prefix_length(sizes, percent)[owner]) & (df[token] > 1)
     post_token, post_owner, post_place = token[head], owner[head], place[head]
     by_token = np.argsort(post_token, kind="stable")
@@ -343,9 +344,11 @@ def cluster_components(sets: DataFrame, clusters: DataFrame, percent: int, block
     weight = F.ceil(F.sum("n") * 8 / block_bytes).cast("int")
     cut = keep(clusters.join(sets.select("node", "n"), "node").groupBy("root").agg(weight.alias("blocks"), pivots.alias("pivots")).filter("blocks > 1"), "cut")
     placed = sets.join(clusters, "node")
-    found = keep(components(block_links(placed, cut, percent), "a", "b"), "found")
+    # Links are written before the next Python step, so that a task holds one Python worker.
+    near = keep(block_links(placed, cut, percent), "near")
+    found = keep(components(near, "a", "b"), "found")
     labels = found.withColumnRenamed("root", "label")
-    more = cross_links(placed, cut, labels, percent, block_bytes)
+    more = keep(cross_links(placed, cut, labels, percent, block_bytes), "more")
     return components(found.toDF("a", "b").union(more), "a", "b")
 
 

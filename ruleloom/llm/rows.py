@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ruleloom.session import shared_path
 
 #: Rows of one Arrow batch are handled in slices of about so many bytes of text.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
