@@ -197,6 +197,7 @@ def _ranker(forest, shared, dim: int, k: int):
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
+                part = part.take(pa.array(np.argsort(part.column(0).to_numpy(), kind="stable")))
                 names, x = part.column(0).to_numpy(), _matrix(part.column(1), dim)
                 in_leaf = trees.leaves(x)
                 for q in range(len(ids)):
@@ -205,9 +206,13 @@ def _ranker(forest, shared, dim: int, k: int):
                     if not len(rows):
                         continue
                     score = np.sqrt(((x[rows] - queries[q]) ** 2).sum(axis=1))
-                    least = score <= np.partition(score, k - 1)[k - 1] if len(rows) > k else np.ones(len(rows), bool)
+                    # Rows are in order of id: the least score of each id first, then the k least of these.
+                    near = names[rows]
+                    one = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))
+                    near, score = near[one], np.minimum.reduceat(score, one)
+                    least = score <= np.partition(score, k - 1)[k - 1] if len(near) > k else np.ones(len(near), bool)
                     own = {}
-                    for s, i in sorted([*best[q], *zip(score[least].tolist(), names[rows[least]].tolist(), strict=True)]):
+                    for s, i in sorted([*best[q], *zip(score[least].tolist(), near[least].tolist(), strict=True)]):
                         own.setdefault(i, s)
                         if len(own) == k:
                             break

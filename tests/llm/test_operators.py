@@ -247,6 +247,24 @@ def test_neighbours_recall_and_edges(spark):
     assert neighbours.nearest(spark.createDataFrame(rows[1500:1503], "i long, v array<float>"), "i", "v", F.lit(True)).count() == 0
 
 
+def test_neighbours_of_repeated_ids(spark):
+    """Every row stands twice, and one id near the first query holds 300 rows: ids are ranked, not rows."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(200, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] * 2 + [(7, (x[0] + rng.normal(size=8) / 1000).tolist()) for _ in range(300)]
+    got = neighbours.nearest(spark.createDataFrame(rows, "i long, v array<double>").coalesce(1), "i", "v", F.col("id") % 50 == 0, share=1.0).collect()
+    found = {q: [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] for q in range(0, 200, 50)}
+    for q, near in found.items():
+        far = {}
+        for i, v in rows:
+            if i != q:
+                d = np.linalg.norm(np.array(v) - x[q])
+                far[i] = min(d, far.get(i, d))
+        true = sorted((d, i) for i, d in far.items())[:10]
+        assert [i for i, _ in near] == [i for _, i in true]
+        assert np.allclose([d for _, d in near], [d for d, _ in true])
+
+
 def test_secrets_are_found_and_redacted(spark, docs, empty):
     forest = secret_scan.train(secret_scan.labelled_findings(spark))
     fresh = secret_scan.labelled_findings(spark, 1000, seed=77)
