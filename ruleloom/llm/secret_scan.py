@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 #: alternative starts at an edge, so long runs are walked once.
 CANDIDATE = r"""(?<![A-Za-z0-9+/_~.-])(?=[A-Za-z+/_~.-]*[0-9])([A-Za-z0-9+/_~.-]{12,}={0,2})|(?i:(?<![a-z])(?:password|passwd|pwd|secret|token|api_?key)["']?[:=]["']?)([^\s"']{8,})"""
 KEY_WORDS = r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private)"
+#: A key word and its = or : or "is", at the end of what stands before a word.
+ASSIGNS = KEY_WORDS + r"""(?:[_-]?keys?|s)?["'`)\]]{0,3}(?:\s*[:=]{1,3}>?|\s+is:?)\s*\z"""
+#: What such a word is given: up to its closing quote, or without the marks that close a clause.
+ASSIGNED = r"""\A[:=]{0,3}>?(?:"([^\s"]{8,})|'([^\s']{8,})|([^\s"']\S{7,}?)["',;.)}\]]{0,3}\z)"""
 PLAIN_WORDS = r"(?i)(?:commit|sha\d*|md5|checksum|digest|hash|etag|uuid|guid|version|revision|build|order|invoice|isbn|phone|card|mail|file|path|see|page|module)"
 TEST_PATHS = r"(?i)(?:test|example|sample|fixture|mock|demo|doc)"
 #: English letter pairs that words hold and random keys rarely do (fixed values).
@@ -63,7 +67,7 @@ def labelled_findings(spark: SparkSession, rows: int = 3_000, seed: int = 0) ->
     """(value, before, after, path, label): findings as reviewers label them, made from a rule for each kind.
 
     Half are secrets (keys and passwords after their key word), half what such patterns hit by mistake:
-    digests, identifiers, paths, hosts, dates, numbers and placeholders.
+    digests, identifiers, paths, hosts, dates, numbers, placeholders and plain words after a key word.
     """
     i = F.col("id")
 
@@ -79,9 +83,12 @@ def labelled_findings(spark: SparkSession, rows: int = 3_000, seed: int = 0) ->
     number = pick(4, 100_000).cast("string")
     plain = one(5, "the", "and that", "on of", "in der", "la que", "see", "was here")
     keyed = F.concat(plain, F.lit(" "), one(6, "password", "token", "secret", "api_key", "API_KEY", "auth_token", "passwd", "access_key", "private_key"), one(7, "=", " = ", ": ", ' = "', '="', ": '", " is "))
+    letters = F.substring(F.translate(hexes, "0123456789abcdef", "qzxvwkjtyplmucbg"), F.lit(1), pick(15, 17) + 8)
+    chosen = F.concat(one(16, "dragon", "sunshine", "hunter", "Summer", "monkey", "Kestrel", "tr0mbone", "Velvet"), (pick(17, 9_900) + 100).cast("string"), one(18, "", "!", "#x", "$Q"))
+    prose = one(19, "required", "available", "something", "incorrect", "different", "somewhere", "disabled", "property", "everything", "northern", "understanding", "forgotten", "necessary", "completely", "stored", "unknown").alias("value")
     real = F.element_at(
-        F.array(F.substring(hexes, 1, 18), F.substring(hexes, 1, 32), F.substring(hexes, 1, 40), F.substring(hexes, 1, 64), F.substring(mixed, 1, 16), F.substring(mixed, 1, 24), F.substring(mixed, 1, 40), F.concat(F.lit("AKIA"), F.upper(F.substring(mixed, 1, 16))), F.concat(F.lit("ghp_"), F.substring(mixed, 1, 36)), F.concat(F.lit("sk-"), F.substring(mixed, 1, 48))),
-        pick(8, 10) + 1,
+        F.array(F.substring(hexes, 1, 18), F.substring(hexes, 1, 32), F.substring(hexes, 1, 40), F.substring(hexes, 1, 64), F.substring(mixed, 1, 16), F.substring(mixed, 1, 24), F.substring(mixed, 1, 40), F.concat(F.lit("AKIA"), F.upper(F.substring(mixed, 1, 16))), F.concat(F.lit("ghp_"), F.substring(mixed, 1, 36)), F.concat(F.lit("sk-"), F.substring(mixed, 1, 48)), letters, chosen, F.substring(F.translate(hexes, "abcdef", "123456"), 1, 8)),
+        pick(8, 13) + 1,
     )
     false = F.array(
         F.struct(F.substring(hexes, 1, 40).alias("value"), F.concat(plain, F.lit(" "), one(9, "commit", "revision", "sha1", "see commit", "etag:")).alias("before")),
@@ -96,9 +103,10 @@ def labelled_findings(spark: SparkSession, rows: int = 3_000, seed: int = 0) ->
         F.struct(one(9, "xxxxxxxxxxxxxxxx1", "your-api-key-1234", "changeme12345", "EXAMPLEKEY0000000", "insert_token_here_1", "example-secret-123", "<your-password-1>", "dummy0000000000", "test-token-12345678").alias("value"), keyed.alias("before")),
         F.struct(F.concat(word, F.lit("-"), word, F.lit("-"), word).alias("value"), keyed.alias("before")),
         F.struct(F.concat(word, word, number).alias("value"), plain.alias("before")),
+        F.struct(prose, keyed.alias("before")),
     )
     base = spark.range(rows).withColumn("label", (pick(11, 2) == 0).cast("double"))
-    wrong = F.element_at(false, pick(12, 12) + 1)
+    wrong = F.element_at(false, pick(12, 13) + 1)
     secret = F.col("label") == 1
     path = one(13, "src/app/settings.py", "web/page.html", "src0", "src7", "config/prod.yml", "notes.txt", "tests/fixtures/a.json", "docs/sample.md")
     # A placeholder or digest may lie anywhere; a live key in a test folder is rare.
@@ -144,19 +152,39 @@ def scan(docs: DataFrame, text: str, path: str | None, forest: str, least: float
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     where = F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")) if path else F.lit("")
     # Only texts with a candidate are taken apart.
-    words = F.when(body.rlike(CANDIDATE), F.split(body, r"\s+")).otherwise(F.array().cast("array<string>"))
+    words = F.when(body.rlike(CANDIDATE) | body.rlike(ASSIGNS.removesuffix(r"\z")), F.split(body, r"\s+")).otherwise(F.array().cast("array<string>"))
     split = docs.select(*passed, words.alias("__words"), where.alias("__path"))
     w = F.col("__words")
 
     def word(at: Column) -> Column:
         return F.when(at >= 0, F.coalesce(F.get(w, at), F.lit(""))).otherwise(F.lit(""))
 
-    hits = F.filter(F.transform(w, lambda s, i: F.struct(i.alias("i"), s.alias("s"))), lambda p: p["s"].rlike(CANDIDATE))
+    def assigned(p: Column) -> Column:
+        """Whether the one or two words before, or they and the word's own : or =, assign to a key word."""
+        own = F.regexp_extract(p["s"], r"\A[:=]{0,3}>?", 0)
+        return (F.length(p["s"]) >= 8) & p["s"].rlike(ASSIGNED) & F.concat_ws(" ", p["a"], p["b"], own).rlike(ASSIGNS)
+
+    def given(p: Column) -> Column:
+        """The word's assigned value, unless the pattern has the same."""
+        value = F.concat(*[F.regexp_extract(p["s"], ASSIGNED, g) for g in (1, 2, 3)])
+        return F.when(p["given"], F.array(value)).otherwise(F.array().cast("array<string>"))
+
+    def found(p: Column) -> Column:
+        held = F.concat(F.regexp_extract_all(p["s"], F.lit(CANDIDATE), F.lit(1)), F.regexp_extract_all(p["s"], F.lit(CANDIDATE), F.lit(2)))
+        return F.concat(held, F.filter(given(p), lambda v: ~F.array_contains(held, v)))
+
+    # Each word beside the two before it by shifted copies: looking them up would take the text apart again for
+    # every word where Spark puts the split in the place of its name.
+    none = F.lit("")
+    two = F.zip_with(F.concat(F.array(none, none), w), F.concat(F.array(none), w), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    beside = F.zip_with(w, two, lambda s, ab: F.struct(s.alias("s"), ab["a"].alias("a"), ab["b"].alias("b")))
+    marked = F.transform(beside, lambda p, i: F.struct(i.alias("i"), p["s"].alias("s"), F.coalesce(assigned(p), F.lit(False)).alias("given")))
+    hits = F.filter(marked, lambda p: p["given"] | p["s"].rlike(CANDIDATE))
     values = F.flatten(
         F.transform(
             hits,
             lambda p: F.transform(
-                F.filter(F.concat(F.regexp_extract_all(p["s"], F.lit(CANDIDATE), F.lit(1)), F.regexp_extract_all(p["s"], F.lit(CANDIDATE), F.lit(2))), lambda v: v != ""),
+                F.filter(found(p), lambda v: v != ""),
                 lambda v: F.struct(
                     p["i"].alias("word"),
                     v.alias("value"),

@@ -280,6 +280,23 @@ def test_secrets_are_found_and_redacted(spark, docs, empty):
     assert secret_scan.scan(empty, "text", None, forest).count() == 0
 
 
+def test_secrets_apart_from_their_key_word(spark):
+    """A key word, = or : or "is", a blank, a value: all are candidates, the forest leaves plain words and placeholders."""
+    forest = secret_scan.train(secret_scan.labelled_findings(spark))
+    secret = {
+        '{"password": "hunter2xyz"}': "hunter2xyz", "password: s3cr3t!pass": "s3cr3t!pass", 'password = "aB3$kL9!pQ2#xY"': "aB3$kL9!pQ2#xY",
+        "token: wqhzkxvbnrtjmpdy": "wqhzkxvbnrtjmpdy", "the password is hunter2xyz.": "hunter2xyz", '"api_key" : "Zk3!qq81",': "Zk3!qq81",
+        "secret =Tr0ub4dor&3": "Tr0ub4dor&3", 'client_secret := "p@55w0rd#9",': "p@55w0rd#9", '{"password": "hunter2xyz","user":"alice"}': "hunter2xyz",
+        "access_key: q9!xz#77pp": "q9!xz#77pp", "passwd:\n  'kV9wq2Lm'": "kV9wq2Lm", "password=s3cr3t!pass": "s3cr3t!pass", 'token = "9233a8ecf7c5b09fe5949719b6b82bc4"': "9233a8ecf7c5b09fe5949719b6b82bc4",
+    }
+    plain = {"the token is required here": "required", "password: <placeholder>": "<placeholder>", "password = changeme12345": "changeme12345", "my secret is somewhere": "somewhere", "token: abcdefghijklmnopqrst": "abcdefghijklmnopqrst"}
+    rows = spark.createDataFrame(list(enumerate([*secret, *plain, "password: short", "compassion shows nothing"])), "doc_id long, text string")
+    found = {r["text"]: [(x["value"], x["secret"]) for x in r["findings"]] for r in secret_scan.scan(rows, "text", None, forest).collect()}
+    assert found == {t: [(v, True)] for t, v in secret.items()} | {t: [(v, False)] for t, v in plain.items()} | {"password: short": [], "compassion shows nothing": []}
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(rows, "text", None, forest).collect()}
+    assert [clean[i] for i in range(len(secret))] == [t.replace(v, "[SECRET]") for t, v in secret.items()]
+
+
 def _graded(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
 
