@@ -22,6 +22,11 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def named(column: str):
+    """The column of exactly this name, dots and backquotes included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def fresh_name(taken: list[str], name: str) -> str:
     """``name``, with underscores added until no column has it."""
     lower = {c.lower() for c in taken}

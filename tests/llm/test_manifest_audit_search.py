@@ -1,0 +1,253 @@
+"""Merkle manifest, filter audit and exact search against plain versions, and their edge cases."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+from itertools import permutations
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ruleloom.llm import audit, merkle, queries, vafile
+
+SF = "/root/testdata/sf0.001"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def record(values):
+    return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def plain_manifest(rows):
+    """{(doc_id, leaf): [(subroot, root, siblings)]} of (doc_id, lang, text) rows, one list in order of place."""
+    groups = {}
+    for doc_id, lang, text in rows:
+        groups.setdefault(lang, []).append((doc_id is not None, doc_id or 0, record([doc_id, lang, text]), doc_id))
+    order = sorted(groups, key=lambda x: (x is not None, (x or "").encode()))
+
+    def climb(level):
+        paths, at = [[] for _ in level], list(range(len(level)))
+        while len(level) > 1:
+            for i, a in enumerate(at):
+                run = level[a // 8 * 8 : a // 8 * 8 + 8]
+                paths[i] += run[: a % 8] + run[a % 8 + 1 :]
+            level, at = [sha("".join(level[i : i + 8])) for i in range(0, len(level), 8)], [a // 8 for a in at]
+        return level[0], paths
+
+    inner = {g: climb([x[2] for x in sorted(groups[g], key=lambda x: x[:3])]) for g in order}
+    root, over = climb([inner[g][0] for g in order])
+    found = []
+    for g, above in zip(order, over, strict=True):
+        for x, path in zip(sorted(groups[g], key=lambda x: x[:3]), inner[g][1], strict=True):
+            found.append((x[3], x[2], inner[g][0], root, "".join(path + above)))
+    return found
+
+
+def manifest(df):
+    leaf = merkle.record_hash(["doc_id", "la.ng", "text"])
+    return merkle.manifest(df, leaf, "la.ng", "doc_id")
+
+
+def test_manifest_matches_plain_trees(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["en", "de", None, "", "ü"]), rng.choice(["", "Text", None, "é" * 50])) for i in rng.sample(range(10_000), 700)]
+    rows += [(None, "en", "x"), (None, "en", None), (5, "en", "a"), (5, "en", "a"), (5, "en", "b"), (1, "one", "alone"), (2, "long", "w " * 200_000)]
+    df = spark.createDataFrame([(a, b, c, "own") for a, b, c in rows], "doc_id long, `la.ng` string, text string, digest string").repartition(5)
+    got = manifest(df).select("doc_id", "digest", "subroot", "root", merkle.siblings(F.col("witness")).alias("s"), merkle.fold(F.col("digest"), F.col("witness")).alias("folded"))
+    found = sorted(map(tuple, got.collect()), key=str)
+    assert sorted((r[:5] for r in found), key=str) == sorted(plain_manifest(rows), key=str)
+    assert all(r[5] == r[3] for r in found)
+
+
+def test_manifest_of_several_blocks_and_one_hot_row(spark):
+    """9,000 leaves make three blocks of a tree, a third of them one repeated row."""
+    rows = [(i, "en", str(i)) for i in range(6000)] + [(77, "en", "same")] * 3000
+    got = manifest(spark.createDataFrame(rows, "doc_id long, `la.ng` string, text string").repartition(7))
+    found = [tuple(r) for r in got.select("doc_id", "digest", "subroot", "root", merkle.siblings(F.col("witness")).alias("s")).collect()]
+    assert sorted(found, key=str) == sorted(plain_manifest(rows), key=str)
+
+
+def test_a_changed_row_no_longer_folds_to_the_root(spark):
+    rows = spark.createDataFrame([(i, "en", f"Text {i}") for i in range(20)], "doc_id long, `la.ng` string, text string")
+    found = manifest(rows).withColumn("other", merkle.fold(F.sha2("digest", 256), F.col("witness")))
+    assert found.filter(F.col("other") == F.col("root")).count() == 0
+
+
+def test_manifest_of_nothing(spark):
+    df = spark.createDataFrame([], "doc_id long, `la.ng` string, text string")
+    assert manifest(df).columns == ["doc_id", "digest", "subroot", "root", "witness"]
+    assert manifest(df).count() == 0
+
+
+def test_partial_witnesses_grow_with_later_siblings():
+    tree = merkle.Tree(merkle.height(20))
+    tree.append("a")
+    assert tree.witnesses == [[(0, [])]]
+    tree.append("b")
+    assert tree.witnesses == [[(0, ["b"])], [(1, ["a"])]]
+    for i in range(6):
+        tree.append(f"c{i}")
+    assert tree.witnesses[0] == [(0, ["b", *(f"c{i}" for i in range(6))]), (0, [])]
+    tree.append("d")
+    assert len(tree.witnesses[0]) == 2 and tree.witnesses[8] == [(0, [])]
+
+
+def plain_audit(rows, labels):
+    good = {i for i, q, _ in labels if q == 1}
+    toxic = {i for i, _, x in labels if x == 1}
+    least = {}
+    for doc_id, text, _ in rows:
+        if doc_id is not None:
+            least[text or ""] = min(least.get(text or "", doc_id), doc_id)
+    masks = []
+    for doc_id, text, part in rows:
+        t = text or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        fails = {
+            "A": len(w) < 200,
+            "B": 100 * len(set(w)) < 50 * len(w),
+            "C": 100 * len(re.findall("[A-Z]", t)) > 3 * len(t),
+            "D": bool(re.search(r"[#$%&*|]", t)),
+            "E": doc_id is not None and doc_id > least[t],
+        }
+        masks.append((part or "", {f for f in fails if fails[f]}, doc_id is not None and doc_id in good, doc_id is not None and doc_id in toxic))
+    out = {}
+    for part in {m[0] for m in masks}:
+        mine = [m for m in masks if m[0] == part]
+        for order in permutations("ABCDE"):
+            for step, f in enumerate(order):
+                before = set(order[:step])
+                gone = [m for m in mine if f in m[1] and not m[1] & before]
+                out[part, "".join(order), step + 1] = (
+                    sum(not m[1] & (before | {f}) for m in mine), len(gone), sum(f in m[1] and bool(m[1] & before) for m in mine),
+                    sum(m[1] == {f} for m in mine), sum(m[2] for m in gone), sum(m[3] for m in gone), f,
+                )
+    share = {}
+    for (part, *_), v in out.items():
+        share[part, v[6]] = share.get((part, v[6]), 0) + v[1]
+    return {k: (*v[:6], share[k[0], v[6]]) for k, v in out.items()}
+
+
+@pytest.fixture(scope="module")
+def corpus(tmp_path_factory):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(400)]
+    pool = ["", None, "SHOUT " * 250, "a|b", "one\ttwo\x0bthree", " ".join(words), " ".join(words[:90] * 4), "é" * 1000, " ".join(words * 300)]
+    rows = [(rng.randrange(120) if rng.random() < 0.9 else None, rng.choice(pool), rng.choice(["en", "de", None, ""])) for _ in range(300)]
+    # A third of the rows has one text, the smallest ids last.
+    rows += [(i, "hot text", "en") for i in range(1150, 1000, -1)]
+    return rows, [(i, rng.choice([0, 1, None]), rng.choice([0, 1])) for i in range(100)] + [(3, 1, 0), (3, 0, 0), (None, 1, 1), (1001, 1, 0)]
+
+
+def write_files(spark, rows, path, files):
+    """Each file later than the one before, so that a stream takes them in this order."""
+    size = -(-len(rows) // files)
+    for i in range(files):
+        part = spark.createDataFrame(rows[i * size : (i + 1) * size], "`doc.id` long, text string, part string")
+        part.withColumn("mask", F.lit("x")).withColumn("id", F.lit(1)).coalesce(1).write.mode("append").parquet(path)
+
+
+def audited(df):
+    cols = ["kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+    return {(r["part"], r["filter_order"], r["step"]): tuple(r[c] for c in cols) for r in df.collect()}
+
+
+@pytest.mark.parametrize("batches", [1, 5])
+def test_audit_matches_plain_counts(spark, corpus, tmp_path, batches):
+    rows, labels = corpus
+    write_files(spark, rows, f"{tmp_path}/documents", 5)
+    marks = spark.createDataFrame(labels, "`doc.id` long, quality int, toxic int")
+    assert audited(audit.audit(spark, f"{tmp_path}/documents", marks, "doc.id", "text", "part", batches)) == plain_audit(rows, labels)
+
+
+def test_audit_goes_on_where_it_stopped(spark, corpus, tmp_path):
+    """Files that come later lower the least ids: earlier counts are taken back. The same folder again adds nothing."""
+    from ruleloom.streaming.stream import parquet_stream
+
+    rows, labels = corpus
+    flags = audit.label_flags(spark.createDataFrame(labels, "`doc.id` long, quality int, toxic int"), "doc.id")
+    for part in (rows[:200], rows[200:], []):
+        if part:
+            write_files(spark, part, f"{tmp_path}/documents", 2)
+        stream = parquet_stream(spark, f"{tmp_path}/documents", max_files=1)
+        counts = audit.mask_counts(stream, "doc.id", "text", "part", flags, f"{tmp_path}/audit")
+    assert audited(audit.interactions(counts)) == plain_audit(rows, labels)
+
+
+def test_audit_of_nothing(spark, tmp_path):
+    spark.createDataFrame([], "`doc.id` long, text string, part string").write.parquet(f"{tmp_path}/documents")
+    labels = spark.createDataFrame([], "`doc.id` long, quality int, toxic int")
+    assert audit.audit(spark, f"{tmp_path}/documents", labels, "doc.id", "text", "part").count() == 0
+
+
+def plain_greatest(rows, is_query, k, scale):
+    good = [(i, [min(max(math.floor(float(x) * scale), -(2**63)), 2**63 - 1) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    sizes = [len(v) for _, v in good]
+    dim = min(set(sizes), key=lambda n: (-sizes.count(n), n)) if sizes else 0
+    good = [(i, v) for i, v in good if len(v) == dim]
+    out = []
+    for q in sorted({i for i, _ in good if is_query(i)}):
+        mine = min(v for i, v in good if i == q)
+        scored = sorted((-min(max(sum(a * b for a, b in zip(mine, v, strict=True)), -(2**63)), 2**63 - 1), i) for i, v in good if i != q)[:k]
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    return out
+
+
+def found(df, **kw):
+    got = vafile.greatest(df, "vec.id", "embedding", F.col("id") % 5 == 0, **kw)
+    return sorted(map(tuple, got.collect()))
+
+
+@pytest.mark.parametrize("spread", [0.1, 3.0, 1e6, 1e16])
+def test_greatest_matches_all_pairs(spark, spread):
+    """Clouds, a third of one vector, ties, zeros, repeated rows and ids, and rows that take no part."""
+    rng = np.random.default_rng(4)
+    rows = [(int(i), (spread * rng.normal(size=6)).tolist()) for i in range(150)]
+    rows += [(200 + i, rows[5][1]) for i in range(80)] + [(10, rows[6][1]), (7, rows[7][1]), (7, rows[7][1]), (60, rows[8][1])] * 2
+    rows += [(400, [0.0] * 6), (401, [-0.0] * 6), (405, None), (406, []), (407, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (408, [float("nan")] * 6), (409, [float("inf")] + [0.0] * 5), (410, [1.0] * 5), (None, [1.0] * 6)]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "`vec.id` long, embedding array<double>, copies int").repartition(3)
+    assert found(df, k=7) == plain_greatest(rows, lambda i: i % 5 == 0, 7, 64)
+    assert found(df, k=7, query_block=5) == plain_greatest(rows, lambda i: i % 5 == 0, 7, 64)
+
+
+def test_greatest_of_few_or_no_vectors(spark):
+    schema = "`vec.id` long, embedding array<float>"
+    assert found(spark.createDataFrame([], schema)) == []
+    assert found(spark.createDataFrame([(1, [1.0, 2.0])], schema)) == []
+    assert found(spark.createDataFrame([(5, [1.0, 2.0]), (6, [0.5, 0.25])], schema)) == [(5, 1, 6, 64 * 32 + 128 * 16)]
+
+
+def test_bounds_hold_and_spare_exact_reads():
+    """Scores lie within the bounds that the cells give, and most vectors are never read exactly."""
+    rng = np.random.default_rng(8)
+    x = np.floor(64 * rng.normal(size=(3000, 16)) * 3)
+    low, width = x.min(axis=0), np.ceil((np.ptp(x, axis=0) + 1) / vafile.CELLS)
+    cells = np.minimum((x - low) // width, vafile.CELLS - 1)
+    middles = vafile._middles(cells, low, width)
+    off = np.sqrt(((x - middles) ** 2).sum(axis=1))
+    q = x[:20]
+    spread = np.minimum((np.abs(q) @ ((width - 1) / 2))[:, None], np.sqrt((q**2).sum(axis=1))[:, None] * off)
+    assert (np.abs(q @ x.T - q @ middles.T) <= spread + 1e-6).all()
+    upper = q @ middles.T + spread
+    kth = np.sort(q @ x.T, axis=1)[:, -10]
+    assert (upper >= kth[:, None]).mean() < 0.05
+
+
+@pytest.mark.parametrize("name", ["op11_merkle_manifest", "op12_filter_audit", "op13_exact_top_k"])
+def test_query_matches_its_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "labels", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    df = queries.QUERIES[name](spark, SF)
+    rel = con.sql(queries.ORACLE_SQL[name])
+    cols = sorted(df.columns)
+    assert cols == sorted(rel.columns)
+    assert sorted(map(tuple, df.select(*cols).collect()), key=str) == sorted(rel.select(*cols).fetchall(), key=str)
