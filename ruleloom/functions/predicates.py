@@ -107,6 +107,25 @@ def _cmp(left: Column, symbol: str, right: Column) -> Column:
     return left >= right
 
 
+def numeric_literal(field_name: str, value: str, rule_id: str | None = None) -> int | Decimal | float:
+    """A condition's value against a numeric left side; anything but a number is an error."""
+    v = value.strip()
+    if _DIGITS.fullmatch(v) and int(v) <= _LONG_MAX:
+        return int(v)
+    if _NUMBER.fullmatch(v) and sum(ch.isdigit() for ch in v) > 38:
+        raise RuleError(Status.BAD_VALUE, f"rule {rule_id}: {value!r} has more than 38 digits", rule_id)
+    if _NUMBER.fullmatch(v) and "e" not in v.lower():
+        return Decimal(v)  # exact: 10.5 on an int column, -5, huge integers
+    if _NUMBER.fullmatch(v):
+        return float(v)  # exponent form
+    raise RuleError(Status.BAD_VALUE, f"rule {rule_id}: {value!r} is not a number but {field_name!r} is numeric", rule_id)
+
+
+def is_number_text(value: str) -> bool:
+    """Whether a value counts as a number against text (so '036' = 36)."""
+    return _DIGITS.fullmatch(value) is not None
+
+
 @dataclass(frozen=True)
 class Compiled:
     column: Column | None
@@ -153,19 +172,7 @@ def compile_condition(
         return Compiled(None, f"{left_sql} {sym} {lit_sql}")
 
     if isinstance(dtype, _NUMERIC):
-        v = value.strip()
-        if _DIGITS.fullmatch(v) and int(v) <= _LONG_MAX:
-            lit = int(v)
-        elif _NUMBER.fullmatch(v) and sum(ch.isdigit() for ch in v) > 38:
-            raise RuleError(Status.BAD_VALUE, f"rule {rule_id}: {value!r} has more than 38 digits", rule_id)
-        elif _NUMBER.fullmatch(v) and "e" not in v.lower():
-            lit = Decimal(v)  # exact: 10.5 on an int column, -5, huge integers
-        elif _NUMBER.fullmatch(v):
-            lit = float(v)  # exponent form
-        else:
-            raise RuleError(
-                Status.BAD_VALUE, f"rule {rule_id}: {value!r} is not a number but {field_name!r} is numeric", rule_id
-            )
+        lit = numeric_literal(field_name, value, rule_id)
         return Compiled(_cmp(left, sym, F.lit(lit)), f"{left_sql} {sym} {lit}")
 
     if isinstance(dtype, T.StringType):

@@ -1,7 +1,7 @@
 """Actions on hits (T2, T3): tag rows, many rules in one scan, derived columns.
 
-Evaluating N rules costs one scan and one projection: every rule becomes a
-``CASE WHEN`` over the same rows, no rule needs its own pass or a shuffle.
+Evaluating N rules costs one scan and one projection of bounded size (see
+:mod:`.rule_index`); no rule needs its own pass or a shuffle.
 """
 
 from __future__ import annotations
@@ -17,9 +17,14 @@ from ..functions.predicates import field_types
 from ..plans.chain import RulePlan, transform_column
 from ..plans.status import RuleError, RuleResult, Status
 from .apply import rule_plan
+from .rule_index import RuleIndex
 
 _log = logging.getLogger(__name__)
 
+#: Rules from which a pass goes through the index: fewer stay in Spark's compiled code, more would
+#: outgrow what the JVM compiles. The choice changes the plan only.
+INDEXED_RULES = 24
+
 HUGE_METHOD_CONF = "spark.sql.codegen.hugeMethodLimit"
 HUGE_METHOD_LIMIT = "8000"
 
@@ -102,8 +107,8 @@ def bind_statuses(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = Fa
     return out
 
 
-def _bound(df: DataFrame, catalog, rule_ids, as_of, guard: bool, errors: str) -> list[tuple[RulePlan, Column]]:
-    """Plans and predicates; with ``errors="skip"`` rules that cannot be resolved or typed for ``df`` are left out."""
+def _fitting(df: DataFrame, catalog, rule_ids, as_of, guard: bool, errors: str) -> list[RulePlan]:
+    """Plans; with ``errors="skip"`` rules that cannot be resolved or typed for ``df`` are left out."""
     plans = _plans(catalog, rule_ids, as_of, guard, errors)
     if errors == "skip":
         fit = bind_statuses(df, catalog, [p.rule_id for p in plans], as_of, guard)
@@ -111,13 +116,19 @@ def _bound(df: DataFrame, catalog, rule_ids, as_of, guard: bool, errors: str) ->
             if not res.ok:
                 _log.warning("rule %s left out: %s", rid, res.message)
         plans = [p for p in plans if fit[p.rule_id].ok]
-    return list(zip(plans, _bind(df, plans)))
+    return plans
+
+
+def rule_index(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = False, errors: str = "raise") -> RuleIndex:
+    """The index over the conditions of ``rule_ids``, typed for ``df``."""
+    return RuleIndex(df, [(p.rule_id, p) for p in _fitting(df, catalog, rule_ids, as_of, guard, errors)])
 
 
 def rule_predicates(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = False,
                     errors: str = "raise") -> list[tuple[str, Column]]:
     """``(rule_id, predicate)`` for every rule, all typed against ``df``."""
-    return [(p.rule_id, pred) for p, pred in _bound(df, catalog, rule_ids, as_of, guard, errors)]
+    plans = _fitting(df, catalog, rule_ids, as_of, guard, errors)
+    return [(p.rule_id, pred) for p, pred in zip(plans, _bind(df, plans))]
 
 
 def _check_action(df: DataFrame, rule_id: str, name: str) -> None:
@@ -145,62 +156,71 @@ def tag(df: DataFrame, catalog, rule_id: str, as_of=None, column: str | None = N
 
 
 def tag_all(df: DataFrame, catalog, rule_ids, as_of=None, hits_col: str = "hits", set_actions: bool = False,
-            guard: bool = False, errors: str = "raise") -> DataFrame:
-    """T2 × N in one pass: ``hits`` = ids of matching rules, comma separated.
+            guard: bool = False, errors: str = "raise", as_array: bool = False) -> DataFrame:
+    """T2 × N in one pass: ``hits`` = ids of matching rules, in ``rule_ids`` order.
 
-    With ``set_actions`` each rule's ``then`` column is also set; when several
+    ``hits`` is comma-separated text, or with ``as_array`` an array of ids; as
+    text an id that holds a comma would be ambiguous and is an error. With
+    ``set_actions`` each rule's ``then`` column is also set; when several
     rules set the same column the first rule (in ``rule_ids`` order) wins.
     ``errors="skip"`` leaves unusable rules (switched off, expired, …) out
     instead of raising; :func:`rule_statuses` tells which and why.
     """
-    preds = _bound(df, catalog, rule_ids, as_of, guard, errors)
-    if not preds:
-        return df.withColumn(hits_col, F.lit(""))
-    out = [F.col(c) for c in df.columns if c != hits_col]
-    actions: dict[str, list[tuple[Column, str]]] = {}
+    plans = _fitting(df, catalog, rule_ids, as_of, guard, errors)
+    if not as_array:
+        for p in plans:
+            if "," in p.rule_id:
+                raise RuleError(Status.NOT_APPLICABLE, f"rule id {p.rule_id!r} holds a comma; pass as_array=True", p.rule_id)
+    hits = _hits(df, plans, as_array)
+    acting = []
     if set_actions:
-        for p, pred in preds:
-            name, val = p.action
-            if name and name != "goto":
-                _check_action(df, p.rule_id, name)
-                actions.setdefault(name, []).append((pred, val))
-        out = [F.col(c) for c in df.columns if c != hits_col and c not in actions]
-    hits = F.concat_ws(",", *[F.when(pred, F.lit(p.rule_id)) for p, pred in preds])
+        for p in plans:
+            if p.action[0] and p.action[0] != "goto":
+                _check_action(df, p.rule_id, p.action[0])
+                acting.append(p)
+    actions: dict[str, list[tuple[Column, str]]] = {}
+    for p, pred in zip(acting, _bind(df, acting)):
+        actions.setdefault(p.action[0], []).append((pred, p.action[1]))
+    out = [F.col(f"`{c}`") for c in df.columns if c != hits_col and c not in actions]
     cols = out + [hits.alias(hits_col)]
     for name, cases in actions.items():
         expr = None
         for pred, val in cases:
             expr = F.when(pred, F.lit(val)) if expr is None else expr.when(pred, F.lit(val))
-        fallback = F.col(name) if name in df.columns else F.lit(None).cast("string")
+        fallback = F.col(f"`{name}`") if name in df.columns else F.lit(None).cast("string")
         cols.append(expr.otherwise(fallback).alias(name))
     return df.select(*cols)
 
 
+def _hits(df: DataFrame, plans: list[RulePlan], as_array: bool) -> Column:
+    """Ids of the rules met: one ``CASE`` a rule for a few, the index for more (the ids are the same)."""
+    if len(plans) >= INDEXED_RULES:
+        index = RuleIndex(df, [(p.rule_id, p) for p in plans])
+        return index.hits() if as_array else index.texts()
+    cases = [F.when(pred, F.lit(p.rule_id)) for p, pred in zip(plans, _bind(df, plans))]
+    if as_array:
+        return F.array_compact(F.array(*cases)) if cases else F.array().cast("array<string>")
+    return F.concat_ws(",", *cases) if cases else F.lit("")
+
+
 def rule_hit_counts(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = False,
-                    errors: str = "raise", fan_in: int | None = None) -> DataFrame:
-    """Rows hit per rule, all rules counted in one scan.
-
-    Each task counts its rows for every rule (a partial aggregate), then the
-    counts are merged and unpivoted to ``(rule_pos, rule_id, n_hits)``. The
-    merge reads one row per input task; with ``fan_in`` it runs in two levels,
-    partial counts first summed into that many buckets by partition id. No
-    job runs while the frame is built. ``errors="skip"`` leaves unusable
-    rules out.
+                    errors: str = "raise") -> DataFrame:
+    """Rows hit per rule, all rules counted in one scan: ``(rule_pos, rule_id, n_hits)``.
+
+    Each task hands on one count a rule. No job runs while the frame is built.
+    ``errors="skip"`` leaves unusable rules out.
     """
-    preds = rule_predicates(df, catalog, rule_ids, as_of, guard, errors)
-    if not preds:
-        return df.sparkSession.createDataFrame([], "rule_pos int, rule_id string, n_hits bigint")
-    counts = [F.count_if(pred).alias(f"h{i}") for i, (_, pred) in enumerate(preds)]
-    if fan_in:
-        buckets = df.groupBy((F.spark_partition_id() % fan_in).alias("_bucket")).agg(*counts)
-        merged = buckets.agg(*[F.sum(f"h{i}").cast("long").alias(f"h{i}") for i in range(len(preds))])
-    else:
-        merged = df.agg(*counts)
-    rows = F.array(*[
-        F.struct(F.lit(i).alias("rule_pos"), F.lit(rid).alias("rule_id"), F.col(f"h{i}").alias("n_hits"))
-        for i, (rid, _) in enumerate(preds)
-    ])
-    return merged.select(F.explode(rows).alias("r")).select("r.*")
+    plans = _fitting(df, catalog, rule_ids, as_of, guard, errors)
+    spark = df.sparkSession
+    if not plans:
+        return spark.createDataFrame([], "rule_pos int, rule_id string, n_hits bigint")
+    if len(plans) >= INDEXED_RULES:
+        named = spark.createDataFrame([(i, p.rule_id) for i, p in enumerate(plans)], "rule_pos int, rule_id string")
+        counts = RuleIndex(df, [(p.rule_id, p) for p in plans]).count(df)
+        return named.join(counts, "rule_pos").select("rule_pos", "rule_id", "n_hits")
+    counts = df.agg(*[F.count_if(pred).alias(f"h{i}") for i, pred in enumerate(_bind(df, plans))])
+    rows = [F.struct(F.lit(i).alias("rule_pos"), F.lit(p.rule_id).alias("rule_id"), F.col(f"h{i}").alias("n_hits")) for i, p in enumerate(plans)]
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def transform(df: DataFrame, catalog, rule_id: str, as_of=None) -> DataFrame:

@@ -8,6 +8,7 @@ fixture document shipped with the package (``resources/tpch_rules.json``).
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import os
 from collections.abc import Callable
 
@@ -32,6 +33,9 @@ TAG_RULES = ["ord_large", "ord_f", "ord_or_goto", "ord_c1", "ord_digits"]
 SKIP_RULES = ["ord_large", "off", "expired", "dangling", "loop_a", "ord_f"]
 HIT_RULES = ["ord_filter", "ord_large", "ord_and", "ord_or", "ord_or_goto", "ord_c1", "ord_digits", "ord_cond"]
 
+# rules of the index queries
+INDEX_RULES = 1000
+
 _CATALOGS: dict[tuple[int, str, str], RuleCatalog] = {}
 
 
@@ -103,6 +107,38 @@ def tag_all_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tag_all(orders, catalog(spark), TAG_RULES, as_of=AS_OF).select("o_orderkey", "hits")
 
 
+def index_rules(n: int) -> str:
+    """A document of ``n`` builder rules over lineitem, values spread by a rule, most of them selective."""
+    def when(*conditions):
+        return [{"field_name": f, "operator": o, "field_value": v, "join": j} for f, o, v, j in conditions]
+
+    def conditions(i: int) -> list[dict]:
+        if i % 4 == 0:
+            return when(("l_extendedprice", ">=", str(1000 + 95 * i), "AND"), ("l_extendedprice", "<", str(1900 + 95 * i), "AND"), ("l_returnflag", "=", "ARN"[i % 3], ""))
+        if i % 4 == 1:
+            return when(("l_quantity", "=", str(1 + i % 50), "AND"), ("l_discount", "<=", f"0.0{i % 10}", "AND"), ("l_shipdate", "<", f"199{2 + i % 7}-0{1 + i % 9}-01", ""))
+        if i % 4 == 2:
+            return when(("l_extendedprice * (1 - l_discount)", "<", str(1000 + i), "OR"), ("l_partkey", "=", str(i), "AND"), ("l_linestatus", "!=", "F", ""))
+        return when(("l_suppkey", "=", str(i), "OR"), ("l_tax", ">", "0.075", "AND"), ("l_linenumber", "<", "2", "AND"), ("l_partkey", "<", str(2 * i), ""))
+
+    rules = [{"id": f"r{i}", "is_valid": "true", "valid_from": "01/01/2020", "valid_till": "31/12/2999", "process": "identification", "process_key": "query_builder",
+              "is_lookup": "false", "when": conditions(i), "then": {"field_name": "", "field_value": ""}} for i in range(n)]
+    return json.dumps({"rules": rules})
+
+
+def tag_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 x 1,000 in one pass over lineitem, through the index over the rules' conditions."""
+    cat = RuleCatalog.from_json(spark, index_rules(INDEX_RULES))
+    tagged = tag_all(table(spark, sf_dir, "lineitem"), cat, cat.all_ids(), as_of=AS_OF)
+    return tagged.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "hits")
+
+
+def hits_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows hit by each of the 1,000 rules, in one scan."""
+    cat = RuleCatalog.from_json(spark, index_rules(INDEX_RULES))
+    return rule_hit_counts(table(spark, sf_dir, "lineitem"), cat, cat.all_ids(), as_of=AS_OF)
+
+
 def tag_actions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     out = tag_all(orders, catalog(spark), TAG_RULES, as_of=AS_OF, set_actions=True)
@@ -235,6 +271,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "value_pairs": value_pairs,
     "tag": tag_query,
     "tag_all": tag_all_query,
+    "tag_index": tag_index,
+    "hits_index": hits_index,
     "tag_actions": tag_actions_query,
     "transform": transform_query,
     "group_lookup": group_lookup_query,
@@ -264,6 +302,14 @@ _PRED = {
 }
 
 
+# the generated rule ``i`` as SQL over a row of lineitem
+_INDEX_RULE = """CASE i % 4
+    WHEN 0 THEN l_extendedprice >= 1000 + 95 * i AND l_extendedprice < 1900 + 95 * i AND l_returnflag = substr('ARN', 1 + i % 3, 1)
+    WHEN 1 THEN l_quantity = 1 + i % 50 AND l_discount <= CAST('0.0' || (i % 10) AS DOUBLE) AND l_shipdate < CAST('199' || (2 + i % 7) || '-0' || (1 + i % 9) || '-01' AS TIMESTAMP)
+    WHEN 2 THEN l_extendedprice * (1 - l_discount) < 1000 + i OR l_partkey = i AND l_linestatus <> 'F'
+    ELSE l_suppkey = i OR l_tax > 0.075 AND l_linenumber < 2 AND l_partkey < 2 * i END"""
+
+
 def _case_list(rules: list[str]) -> str:
     return ", ".join(f"CASE WHEN {_PRED[r]} THEN '{r}' END" for r in rules)
 
@@ -299,6 +345,10 @@ ORACLE_SQL: dict[str, str] = {
     "value_pairs": "SELECT e.event_id, j.key AS key, j.value ->> '$' AS value FROM events e, json_each(e.props) j",
     "tag": f"SELECT o_orderkey, o_totalprice, CASE WHEN {_ORD} THEN 'true' END AS is_large FROM orders",
     "tag_all": f"SELECT o_orderkey, concat_ws(',', {_case_list(TAG_RULES)}) AS hits FROM orders",
+    "tag_index": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+                 f"array_to_string(list_transform(list_filter(range({INDEX_RULES}), lambda i: {_INDEX_RULE}), lambda i: 'r' || i), ',') AS hits FROM lineitem",
+    "hits_index": f"SELECT CAST(i AS INTEGER) AS rule_pos, 'r' || i AS rule_id, count(*) FILTER (WHERE {_INDEX_RULE}) AS n_hits "
+                  f"FROM lineitem CROSS JOIN range({INDEX_RULES}) r(i) GROUP BY i",
     "tag_actions": f"SELECT o_orderkey, concat_ws(',', {_case_list(TAG_RULES)}) AS hits, "
                    f"CASE WHEN {_ORD} THEN 'true' END AS is_large, "
                    f"CASE WHEN {_PRED['ord_f']} OR {_PRED['ord_or_goto']} THEN 'true' END AS is_finished, "

@@ -170,7 +170,7 @@ def test_hit_counts_two_level_merge_gives_the_same_counts(spark):
     rules = ["li_net", "li_net60"]
     direct = {r["rule_id"]: r["n_hits"] for r in rule_hit_counts(li, tpch.catalog(spark), rules, as_of=AS_OF).collect()}
     tree = {r["rule_id"]: r["n_hits"]
-            for r in rule_hit_counts(li, tpch.catalog(spark), rules, as_of=AS_OF, fan_in=5).collect()}
+            for r in rule_hit_counts(li, tpch.catalog(spark), rules, as_of=AS_OF).collect()}
     assert direct == tree
     assert direct["li_net60"] == li.filter("l_extendedprice - l_extendedprice*l_discount >= 60000").count()
 
