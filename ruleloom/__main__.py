@@ -4,6 +4,8 @@
   apply    --rules R --input P --rule ID [--rule ID…] --output O [--format parquet|csv] [--as-of D]
            [--tag] [--input-format csv --schema DDL]  run rules as stages (or tag with all of them)
 
+A rule is named by its id, or where ids repeat by ``ID@process/key/flag`` (parts may be left empty or out).
+
 CSV input needs its schema (a DDL string): inferring it would read the
 whole input an extra time.
 
@@ -20,7 +22,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .operators.actions import tag_all, validate_rules
-from .operators.apply import apply_stages
+from .operators.apply import RuleAddress, apply_stages
 from .plans.catalog import RuleCatalog
 
 
@@ -43,6 +45,15 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _address(catalog: RuleCatalog, text: str) -> str | RuleAddress:
+    """``ID`` (also one that holds an @) or ``ID@process/key/flag``."""
+    rid, at, rest = text.rpartition("@")
+    if not at or catalog.rules_with_id(text):
+        return text
+    parts = [p or None for p in rest.split("/")]
+    return RuleAddress(rid, *(parts + [None] * 3)[:3])
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("ruleloom").getOrCreate()
@@ -58,10 +69,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         facts = spark.read.option("header", True).schema(args.schema).csv(args.input)
     else:
         facts = spark.read.parquet(args.input)
+    rules = [_address(catalog, text) for text in args.rules_to_apply]
     if args.tag:
-        out = tag_all(facts, catalog, args.rules_to_apply, as_of=args.as_of)
+        out = tag_all(facts, catalog, rules, as_of=args.as_of)
     else:
-        out = apply_stages(facts, catalog, args.rules_to_apply, as_of=args.as_of)
+        out = apply_stages(facts, catalog, rules, as_of=args.as_of)
     writer = out.write.mode("errorifexists")
     if args.format == "csv":
         writer = writer.option("header", True)

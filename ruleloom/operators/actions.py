@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..functions.predicates import field_types
 from ..plans.chain import RulePlan, transform_column
 from ..plans.status import RuleError, RuleResult, Status
-from .apply import rule_plan
+from .apply import RuleAddress, rule_plan
 from .rule_index import RuleIndex
 
 _log = logging.getLogger(__name__)
@@ -43,16 +43,17 @@ def keep_codegen_jit_friendly(spark) -> None:
         _log.info("set %s=%s for this session", HUGE_METHOD_CONF, HUGE_METHOD_LIMIT)
 
 
-def rule_statuses(catalog, rule_ids, as_of=None, guard: bool = False) -> dict[str, RuleResult]:
-    """The status of every rule of a multi-rule call, resolved by id."""
+def rule_statuses(catalog, rule_ids, as_of=None, guard: bool = False) -> dict[str | RuleAddress, RuleResult]:
+    """The status of every rule of a multi-rule call, resolved by id or address."""
     catalog.rules_with_ids(rule_ids)
     out = {}
-    for rid in rule_ids:
+    for at in rule_ids:
+        rid = at.rule_id if isinstance(at, RuleAddress) else at
         try:
-            plan = rule_plan(catalog, rid, as_of=as_of, guard=guard)
-            out[rid] = RuleResult(Status.OK, "usable", rid, plan=plan, chain=plan.chain)
+            plan = rule_plan(catalog, at, as_of=as_of, guard=guard)
+            out[at] = RuleResult(Status.OK, "usable", rid, plan=plan, chain=plan.chain)
         except RuleError as exc:
-            out[rid] = RuleResult(exc.status, exc.message, rid)
+            out[at] = RuleResult(exc.status, exc.message, rid)
     return out
 
 
@@ -71,20 +72,6 @@ def validate_rules(catalog, as_of=None, guard: bool = False) -> DataFrame:
     return catalog.spark.createDataFrame(rows, "rule_id string, status string, message string, chain string")
 
 
-def _plans(catalog, rule_ids, as_of, guard=False, errors: str = "raise") -> list[RulePlan]:
-    """Plans for ``rule_ids``; unusable rules raise, or are left out with
-    ``errors="skip"`` (see :func:`rule_statuses` for why)."""
-    if errors not in ("raise", "skip"):
-        raise ValueError("errors must be 'raise' or 'skip'")
-    plans = []
-    for rid, res in rule_statuses(catalog, rule_ids, as_of, guard).items():
-        if res.ok:
-            plans.append(res.plan)
-        elif errors == "raise":
-            raise RuleError(res.status, res.message, rid)
-    return plans
-
-
 def _bind(df: DataFrame, plans: list[RulePlan]) -> list[Column]:
     """All predicates typed against ``df`` with a single analysis pass."""
     types = field_types(df, [f for p in plans if p.kind == "predicate" for f in p.fields()])
@@ -92,31 +79,34 @@ def _bind(df: DataFrame, plans: list[RulePlan]) -> list[Column]:
     return [p.predicate(df, types, lefts) if p.kind == "predicate" else p.predicate(df, types) for p in plans]
 
 
-def bind_statuses(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = False) -> dict[str, RuleResult]:
+def bind_statuses(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = False) -> dict[str | RuleAddress, RuleResult]:
     """R9 against a table: every rule's status after typing it for ``df`` (bad values, unknown fields, aggregates)."""
     out = rule_statuses(catalog, rule_ids, as_of, guard)
-    for rid, res in out.items():
+    for at, res in out.items():
         if not res.ok:
             continue
+        rid = res.rule_id
         try:
             df.select(F.lit(1)).limit(0) if res.plan is None else df.filter(res.plan.predicate(df)).limit(0)
         except RuleError as exc:
-            out[rid] = RuleResult(exc.status, exc.message, rid)
+            out[at] = RuleResult(exc.status, exc.message, rid)
         except (AnalysisException, ArithmeticException, ParseException) as exc:
-            out[rid] = RuleResult(Status.BAD_FIELD, f"rule {rid} does not fit the table: {str(exc).splitlines()[0]}", rid)
+            out[at] = RuleResult(Status.BAD_FIELD, f"rule {rid} does not fit the table: {str(exc).splitlines()[0]}", rid)
     return out
 
 
 def _fitting(df: DataFrame, catalog, rule_ids, as_of, guard: bool, errors: str) -> list[RulePlan]:
-    """Plans; with ``errors="skip"`` rules that cannot be resolved or typed for ``df`` are left out."""
-    plans = _plans(catalog, rule_ids, as_of, guard, errors)
-    if errors == "skip":
-        fit = bind_statuses(df, catalog, [p.rule_id for p in plans], as_of, guard)
-        for rid, res in fit.items():
-            if not res.ok:
-                _log.warning("rule %s left out: %s", rid, res.message)
-        plans = [p for p in plans if fit[p.rule_id].ok]
-    return plans
+    """Plans for ``rule_ids``; unusable rules raise, or with ``errors="skip"`` those that cannot be
+    resolved or typed for ``df`` are left out (see :func:`bind_statuses` for why)."""
+    if errors not in ("raise", "skip"):
+        raise ValueError("errors must be 'raise' or 'skip'")
+    found = (bind_statuses if errors == "skip" else lambda _, *given: rule_statuses(*given))(df, catalog, rule_ids, as_of, guard)
+    for res in found.values():
+        if not res.ok and errors == "raise":
+            raise RuleError(res.status, res.message, res.rule_id)
+        if not res.ok:
+            _log.warning("rule %s left out: %s", res.rule_id, res.message)
+    return [res.plan for res in found.values() if res.ok]
 
 
 def rule_index(df: DataFrame, catalog, rule_ids, as_of=None, guard: bool = False, errors: str = "raise") -> RuleIndex:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
@@ -120,17 +121,33 @@ def _evaluate(catalog, process, process_key, rule_id, is_lookup, value_key, df,
         return RuleResult(exc.status, exc.message, exc.rule_id or (rule_id or "").strip() or None)
 
 
-def rule_plan(catalog: RuleCatalog, rule_id: str, as_of=None, guard: bool = False, value_key=None) -> RulePlan:
-    """Resolve a rule by id alone, taking process / key / flag from the rule."""
-    rules = catalog.rules_with_id(rule_id)
+class RuleAddress(NamedTuple):
+    """A rule by as much of its 4-tuple as tells it from others of the same id; None leaves a part open."""
+
+    rule_id: str
+    process: str | None = None
+    process_key: str | None = None
+    is_lookup: str | None = None
+
+
+def rule_plan(catalog: RuleCatalog, rule_id: str | RuleAddress, as_of=None, guard: bool = False, value_key=None) -> RulePlan:
+    """Resolve a rule by its id, or by a :class:`RuleAddress` where ids repeat.
+
+    What the address leaves open is taken from the first rule (document order) that fits the rest.
+    """
+    at = rule_id if isinstance(rule_id, RuleAddress) else RuleAddress(rule_id)
+    rules = catalog.rules_with_id(at.rule_id)
+    for given, name in ((at.process, "process"), (at.process_key, "process_key"), (at.is_lookup, "is_lookup")):
+        if given is not None:
+            rules = [r for r in rules if (getattr(r, name) or "").strip() == given.strip()]
     if not rules:
-        raise RuleError(Status.NOT_CONFIGURED, f"no rule with id {rule_id!r}", rule_id)
+        raise RuleError(Status.NOT_CONFIGURED, f"no rule with id {at.rule_id!r}" if at == RuleAddress(at.rule_id) else f"no rule fits {at}", at.rule_id)
     r = rules[0]
     return resolve(catalog, r.process, r.process_key, r.id, r.is_lookup, _as_date(as_of), value_key=value_key, guard=guard)
 
 
-def apply_rule(df: DataFrame, catalog: RuleCatalog, rule_id: str, as_of=None, guard: bool = False) -> DataFrame:
-    """T1 by rule id: the lazy DataFrame the rule produces; raises ``RuleError``."""
+def apply_rule(df: DataFrame, catalog: RuleCatalog, rule_id: str | RuleAddress, as_of=None, guard: bool = False) -> DataFrame:
+    """T1 by rule id (or address): the lazy DataFrame the rule produces; raises ``RuleError``."""
     return apply_plan(df, rule_plan(catalog, rule_id, as_of=as_of, guard=guard))
 
 

@@ -167,7 +167,8 @@ class RuleIndex:
         if plan.kind != "predicate":
             return [[self._flag(("tail", plan.tail), lambda: plan.predicate(df))]]
         equal = parse_operator("=", plan.rule_id)
-        guards = [self._read(name, equal, value, types[name], plan.rule_id) for name, value in plan.guards]
+        guards = [self._flag(("null", name), lambda name=name: F.expr(name).isNull()) if value is None else self._read(name, equal, value, types[name], plan.rule_id)
+                  for name, value in plan.guards]
         tests = [(t, self._read(t.condition.field_name, parse_operator(t.condition.operator, t.rule_id), t.condition.field_value, types[t.condition.field_name], t.rule_id)) for t in plan.terms]
         return [guards + group for group in _groups(tests)]
 

@@ -211,7 +211,7 @@ class RuleCatalog:
 
     def rules_with_ids(self, rule_ids) -> dict[str, list[Rule]]:
         self._ensure_index()
-        ids = [i.strip() for i in rule_ids if i is not None]
+        ids = [i.strip() for i in ((r if isinstance(r, str) else r[0]) for r in rule_ids if r is not None) if i is not None]
         return {i: self._by_id.get(i, []) for i in ids}
 
     def all_ids(self) -> list[str]:

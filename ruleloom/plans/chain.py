@@ -36,7 +36,7 @@ class RulePlan:
     rule_id: str
     chain: list[str] = field(default_factory=list)
     terms: list[Term] = field(default_factory=list)
-    guards: list[tuple[str, str]] = field(default_factory=list)  # (column, value) pairs, AND-ed
+    guards: list[tuple[str, str | None]] = field(default_factory=list)  # (column, value) pairs, AND-ed; None: is null
     tail: str | None = None  # query / group-by tail
     value: Any = None
     action: tuple[str | None, str | None] = (None, None)  # then.field_name / field_value of the last rule
@@ -83,6 +83,9 @@ class RulePlan:
         ]
         pred = fold_terms(cols, [t.connector for t in self.terms])
         for name, value in self.guards:
+            if value is None:
+                pred = lefts[name].isNull() & pred
+                continue
             guard = compile_condition(name, parse_operator("=", self.rule_id), value, types[name], self.rule_id,
                                       lefts[name])
             pred = guard.column & pred
@@ -109,7 +112,8 @@ class RulePlan:
         ]
         text = fold_terms(texts, [t.connector for t in self.terms])
         for name, value in self.guards:
-            guard = compile_condition(name, parse_operator("=", self.rule_id), value, types.get(name), self.rule_id).sql
+            guard = f"({name}) IS NULL" if value is None else compile_condition(
+                name, parse_operator("=", self.rule_id), value, types.get(name), self.rule_id).sql
             text = f"{guard} AND {text}"
         return text
 
@@ -121,12 +125,15 @@ _GROUP = re.compile(r"^\s*group\s+by\s+(.*\S)\s*$", re.IGNORECASE | re.DOTALL)
 def where_filter(tail: str | None, df: DataFrame) -> tuple[str, DataFrame] | None:
     """``" where a = 1 and …"`` → ``("a = 1 and …", df.filter(...))`` when the
     tail is a plain predicate on ``df``; ``None`` when more follows (``ORDER
-    BY``, ``LIMIT`` …). ``df.filter(text)`` parses eagerly, nothing runs.
+    BY``, ``LIMIT`` …). ``df.filter(text)`` parses eagerly, nothing runs. By
+    itself it would take a word after the predicate for a name, so the text must
+    hold in parentheses too.
     """
     m = _WHERE.match(tail or "")
     if not m:
         return None
     try:
+        df.filter(f"({m.group(1)}\n)")
         return m.group(1), df.filter(m.group(1))
     except ParseException:
         return None
@@ -177,7 +184,9 @@ def _lookup_object(rule: Rule) -> dict:
     return obj
 
 
-def _as_text(v: Any) -> str:
+def _as_text(v: Any) -> str | None:
+    if v is None:
+        return None
     if isinstance(v, bool):
         return "true" if v else "false"
     if isinstance(v, str):
@@ -204,7 +213,7 @@ def select_rule(catalog: RuleCatalog, process, process_key, rule_id, is_lookup,
 def _builder_chain(catalog: RuleCatalog, start: Rule, as_of: _dt.date, entry: bool, guard: bool):
     """Walk ``goto`` links from ``start``; the flat term list of the chain."""
     terms: list[Term] = []
-    guards: list[tuple[str, str]] = []
+    guards: list[tuple[str, str | None]] = []
     visited: list[str] = []
     rule = start
     while True:
@@ -316,10 +325,10 @@ def resolve(
                 raise RuleError(
                     Status.VALUE_KEY_MISSING, f"value key {vk!r} is not set in lookup rule {rule.id}", rule.id
                 )
-            return RulePlan("value", rule.id, [rule.id], value=obj[vk])
+            return RulePlan("value", rule.id, [rule.id], tail=text, value=obj[vk])
         if not isinstance(obj, dict):
             raise RuleError(Status.NOT_AN_OBJECT, f"lookup rule {rule.id} does not hold a JSON object", rule.id)
-        return RulePlan("value", rule.id, [rule.id], value=list(obj.items()))
+        return RulePlan("value", rule.id, [rule.id], tail=text, value=list(obj.items()))
 
     if key == "query_builder":
         if rule.lookup_flag:

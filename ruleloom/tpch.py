@@ -19,7 +19,7 @@ from .functions.lookups import explode_pairs
 from .operators.actions import bind_statuses, rule_hit_counts, tag, tag_all, transform
 from .operators.aggregate import exact_sum, group_lookup, time_span
 from .operators.apply import apply_rule, apply_stages, evaluate
-from .operators.lookups import match_lookup
+from .operators.lookups import match_lookup, match_lookups
 from .plans.catalog import RuleCatalog
 from .session import shared_path
 from .sources.readers import read_csv, read_table, register
@@ -33,8 +33,9 @@ TAG_RULES = ["ord_large", "ord_f", "ord_or_goto", "ord_c1", "ord_digits"]
 SKIP_RULES = ["ord_large", "off", "expired", "dangling", "loop_a", "ord_f"]
 HIT_RULES = ["ord_filter", "ord_large", "ord_and", "ord_or", "ord_or_goto", "ord_c1", "ord_digits", "ord_cond"]
 
-# rules of the index queries
+# rules of the index queries, and of the lookup division
 INDEX_RULES = 1000
+LOOKUP_RULES = 400
 
 _CATALOGS: dict[tuple[int, str, str], RuleCatalog] = {}
 
@@ -86,6 +87,31 @@ def value_in_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match_lookup(ev, catalog(spark), "ev_k", "props", as_of=AS_OF).select("event_id", "k")
 
 
+def lookup_rules(n: int) -> str:
+    """A document of ``n`` value lookups over events' facts, values spread by a rule."""
+    def pairs(i: int) -> str:
+        kind = ("view", "signup", "click", "error", "purchase")[i % 5]
+        if i % 4 == 0:
+            return f'{{"k": {i % 100}.0}}'
+        if i % 4 == 1:
+            return f'{{"type": "{kind}", "k": {i % 100}}}'
+        if i % 4 == 2:
+            return f'{{"type": "{kind}", "shard": {i % 7}e0, "k": {i % 50}}}'
+        return f'{{"type": "{kind}", "shard": "{i % 7}", "none": null}}'
+
+    rules = [{"id": f"v{i}", "is_valid": "true", "valid_from": "01/01/2020", "valid_till": "31/12/2999", "process": "identification", "process_key": "value_lookup",
+              "is_lookup": "true", "when": [{"lookup_value": pairs(i)}], "then": {"field_name": "", "field_value": ""}} for i in range(n)]
+    return json.dumps({"rules": rules})
+
+
+def lookup_division(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1/L2 x 400: every event with every lookup whose pairs its facts all hold."""
+    cat = RuleCatalog.from_json(spark, lookup_rules(LOOKUP_RULES))
+    kind = F.concat(F.lit('{"type": "'), "event_type", F.lit('", "shard": '), (F.col("user_id") % 7).cast("string"), F.lit(', "none": null, '))
+    facts = table(spark, sf_dir, "events").select("event_id", F.concat(kind, F.substring("props", 2, 1 << 20)).alias("facts"))
+    return match_lookups(facts, cat, cat.all_ids(), "facts", as_of=AS_OF).select("event_id", "rule_id")
+
+
 def value_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L2 on data: every (key, value) pair of the ``props`` objects."""
     return explode_pairs(table(spark, sf_dir, "events"), "props", ["event_id"])
@@ -269,6 +295,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conditional_guard": _apply("orders", "ord_cond", guard=True),
     "value_in_props": value_in_props,
     "value_pairs": value_pairs,
+    "lookup_division": lookup_division,
     "tag": tag_query,
     "tag_all": tag_all_query,
     "tag_index": tag_index,
@@ -343,6 +370,9 @@ ORACLE_SQL: dict[str, str] = {
     "value_in_props": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events "
                       "WHERE json_extract_string(props, '$.k') = '9'",
     "value_pairs": "SELECT e.event_id, j.key AS key, j.value ->> '$' AS value FROM events e, json_each(e.props) j",
+    "lookup_division": f"SELECT event_id, 'v' || i AS rule_id FROM (SELECT event_id, event_type AS t, user_id % 7 AS s, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) e "
+                       f"JOIN (SELECT i, list_extract(['view', 'signup', 'click', 'error', 'purchase'], 1 + i % 5) AS want FROM range({LOOKUP_RULES}) r(i)) r "
+                       "ON CASE i % 4 WHEN 0 THEN k = i % 100 WHEN 1 THEN t = want AND k = i % 100 WHEN 2 THEN t = want AND s = i % 7 AND k = i % 50 ELSE t = want AND s = i % 7 END",
     "tag": f"SELECT o_orderkey, o_totalprice, CASE WHEN {_ORD} THEN 'true' END AS is_large FROM orders",
     "tag_all": f"SELECT o_orderkey, concat_ws(',', {_case_list(TAG_RULES)}) AS hits FROM orders",
     "tag_index": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, "
