@@ -105,6 +105,10 @@ def _whole(symbol: str, value: Decimal) -> tuple[str, int]:
     return {"<": ("<=", floor), "<=": ("<=", floor), ">": (">=", floor + 1), ">=": (">=", floor + 1)}.get(symbol, (None, None))
 
 
+def _days(day: _dt.date) -> int:
+    return (day - _dt.date(1970, 1, 1)).days
+
+
 def _test(term_field: str, op, value: str, dtype: T.DataType, rule_id: str) -> Test | None:
     """The condition as a comparison on a search axis, or None where only its Column says what it means."""
     if op.kind != "cmp" or value is None:
@@ -124,8 +128,7 @@ def _test(term_field: str, op, value: str, dtype: T.DataType, rule_id: str) -> T
         return Test((term_field, "digits"), op.symbol, int(value)) if int(value) in _LONG else None
     try:
         if isinstance(dtype, T.DateType):
-            day = _dt.date.fromisoformat(value.strip())
-            return Test((term_field, "date"), op.symbol, (day - _dt.date(1970, 1, 1)).days)
+            return Test((term_field, "date"), op.symbol, _days(_dt.date.fromisoformat(value.strip())))
         if isinstance(dtype, T.TimestampNTZType):
             head, _, part = value.strip().partition(".")
             time = _dt.datetime.fromisoformat(f"{head}.{part[:6]:0<6}" if part else head)
@@ -153,14 +156,22 @@ class RuleIndex:
     """The rules of a call, typed for ``df``.
 
     ``entries`` pairs ids with plans. A rule that does not fit the table raises its ``RuleError``
-    as its predicate would.
+    as its predicate would. With ``day`` an entry holds only on the days of its window
+    (first and last, inclusive).
     """
 
-    def __init__(self, df: DataFrame, entries: Sequence[tuple[str, RulePlan]]):
+    def __init__(self, df: DataFrame, entries: Sequence[tuple[str, RulePlan]], day: Column | None = None,
+                 windows: Sequence[tuple[_dt.date, _dt.date]] | None = None):
         self.rule_ids = [rid for rid, _ in entries]
         types = field_types(df, [f for _, p in entries if p.kind == "predicate" for f in p.fields()])
         self._columns: dict[tuple, Column] = {}
         rules = [self._disjuncts(df, p, types) for _, p in entries]
+        if day is not None:
+            axis = ("the row's day", "date")
+            self._columns[axis] = day
+            for disjuncts, (first, last) in zip(rules, windows, strict=True):
+                bounds = [Test(axis, ">=", _days(first)), Test(axis, "<=", _days(last))]
+                disjuncts[:] = [bounds + d for d in disjuncts]
         self._judge = _Judge(rules, list(self._columns))
 
     def _disjuncts(self, df: DataFrame, plan: RulePlan, types: dict) -> list[list[Test]]:

@@ -20,6 +20,7 @@ from .operators.actions import bind_statuses, rule_hit_counts, tag, tag_all, tra
 from .operators.aggregate import exact_sum, group_lookup, time_span
 from .operators.apply import apply_rule, apply_stages, evaluate
 from .operators.lookups import match_lookup, match_lookups
+from .operators.versions import hits_in_force, tag_in_force
 from .plans.catalog import RuleCatalog
 from .session import shared_path
 from .sources.readers import read_csv, read_table, register
@@ -33,9 +34,10 @@ TAG_RULES = ["ord_large", "ord_f", "ord_or_goto", "ord_c1", "ord_digits"]
 SKIP_RULES = ["ord_large", "off", "expired", "dangling", "loop_a", "ord_f"]
 HIT_RULES = ["ord_filter", "ord_large", "ord_and", "ord_or", "ord_or_goto", "ord_c1", "ord_digits", "ord_cond"]
 
-# rules of the index queries, and of the lookup division
+# rules of the index queries, of the lookup division, and of those with versions
 INDEX_RULES = 1000
 LOOKUP_RULES = 400
+VERSIONED_RULES = 24
 
 _CATALOGS: dict[tuple[int, str, str], RuleCatalog] = {}
 
@@ -165,6 +167,30 @@ def hits_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_hit_counts(table(spark, sf_dir, "lineitem"), cat, cat.all_ids(), as_of=AS_OF)
 
 
+def versioned_rules(n: int) -> str:
+    """``n`` rules over orders, each with a version for most years, the threshold rising by the year."""
+    def version(i: int, year: int) -> dict:
+        when = [{"field_name": "o_totalprice", "operator": ">=", "field_value": str(20_000 * i + 5_000 * (year - 1994)), "join": "AND"},
+                {"field_name": "o_orderpriority", "operator": "LIKE" if i % 2 else ">=", "field_value": f"{1 + year % 5}-" if i % 2 else "2-", "join": ""}]
+        return {"id": f"t{i}", "is_valid": "false" if (i + year) % 5 == 0 else "true", "valid_from": f"01/0{1 + i % 6}/{year}", "valid_till": f"15/0{1 + i % 6}/{year + 1}",
+                "process": "identification", "process_key": "query_builder", "is_lookup": "false", "when": when, "then": {"field_name": "", "field_value": ""}}
+
+    return json.dumps({"rules": [version(i, year) for year in range(1994, 2003) for i in range(n)]})
+
+
+def tag_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R7 per row: orders tagged by the version of each rule in force on ``o_orderdate``."""
+    cat = RuleCatalog.from_json(spark, versioned_rules(VERSIONED_RULES))
+    return tag_in_force(table(spark, sf_dir, "orders"), cat, cat.all_ids(), "o_orderdate").select("o_orderkey", "o_orderdate", "hits")
+
+
+def version_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a range join: every order with every version in force that it meets."""
+    cat = RuleCatalog.from_json(spark, versioned_rules(VERSIONED_RULES))
+    found = hits_in_force(table(spark, sf_dir, "orders"), cat, cat.all_ids(), "o_orderdate")
+    return found.select("o_orderkey", "rule_id", "valid_from", "valid_till")
+
+
 def tag_actions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     out = tag_all(orders, catalog(spark), TAG_RULES, as_of=AS_OF, set_actions=True)
@@ -300,6 +326,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tag_all": tag_all_query,
     "tag_index": tag_index,
     "hits_index": hits_index,
+    "tag_versions": tag_versions,
+    "version_hits": version_hits,
     "tag_actions": tag_actions_query,
     "transform": transform_query,
     "group_lookup": group_lookup_query,
@@ -337,6 +365,15 @@ _INDEX_RULE = """CASE i % 4
     ELSE l_suppkey = i OR l_tax > 0.075 AND l_linenumber < 2 AND l_partkey < 2 * i END"""
 
 
+# versions of the rules in force: a window runs half a month into the next one, where the earlier version goes on
+_VERSIONS = f"""versions AS (SELECT i, y, 't' || i AS rule_id, make_date(y, CAST(1 + i % 6 AS INTEGER), 1) AS own_from, make_date(y + 1, CAST(1 + i % 6 AS INTEGER), 15) AS valid_till
+    FROM range({VERSIONED_RULES}) r(i), (SELECT CAST(y AS INTEGER) AS y FROM range(1994, 2003) s(y)) s WHERE (i + y) % 5 <> 0),
+pieces AS (SELECT *, greatest(own_from, coalesce(lag(valid_till) OVER (PARTITION BY i ORDER BY y) + INTERVAL 1 DAY, own_from)) AS start FROM versions),
+met AS (SELECT o_orderkey, o_orderdate, i, rule_id, CAST(start AS DATE) AS valid_from, valid_till FROM orders JOIN pieces
+    ON o_orderdate >= start AND o_orderdate < valid_till + INTERVAL 1 DAY AND o_totalprice >= 20000 * i + 5000 * (y - 1994)
+    AND CASE WHEN i % 2 = 1 THEN starts_with(o_orderpriority, (1 + y % 5) || '-') ELSE o_orderpriority >= '2-' END)"""
+
+
 def _case_list(rules: list[str]) -> str:
     return ", ".join(f"CASE WHEN {_PRED[r]} THEN '{r}' END" for r in rules)
 
@@ -379,6 +416,9 @@ ORACLE_SQL: dict[str, str] = {
                  f"array_to_string(list_transform(list_filter(range({INDEX_RULES}), lambda i: {_INDEX_RULE}), lambda i: 'r' || i), ',') AS hits FROM lineitem",
     "hits_index": f"SELECT CAST(i AS INTEGER) AS rule_pos, 'r' || i AS rule_id, count(*) FILTER (WHERE {_INDEX_RULE}) AS n_hits "
                   f"FROM lineitem CROSS JOIN range({INDEX_RULES}) r(i) GROUP BY i",
+    "tag_versions": f"WITH {_VERSIONS} SELECT o.o_orderkey, o.o_orderdate, coalesce(h.hits, '') AS hits FROM orders o "
+                    "LEFT JOIN (SELECT o_orderkey, string_agg(rule_id, ',' ORDER BY i) AS hits FROM met GROUP BY o_orderkey) h ON o.o_orderkey = h.o_orderkey",
+    "version_hits": f"WITH {_VERSIONS} SELECT o_orderkey, rule_id, valid_from, valid_till FROM met",
     "tag_actions": f"SELECT o_orderkey, concat_ws(',', {_case_list(TAG_RULES)}) AS hits, "
                    f"CASE WHEN {_ORD} THEN 'true' END AS is_large, "
                    f"CASE WHEN {_PRED['ord_f']} OR {_PRED['ord_or_goto']} THEN 'true' END AS is_finished, "
