@@ -20,6 +20,7 @@ from .operators.actions import bind_statuses, rule_hit_counts, tag, tag_all, tra
 from .operators.aggregate import exact_sum, group_lookup, time_span
 from .operators.apply import apply_rule, apply_stages, evaluate
 from .operators.lookups import match_lookup, match_lookups
+from .operators.sessions import sessions, stretches
 from .operators.versions import hits_in_force, tag_in_force
 from .plans.catalog import RuleCatalog
 from .session import shared_path
@@ -233,6 +234,32 @@ def time_span_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return time_span(ev, ["user_id", "event_type"], "ts", "value", 30_000, amount_scale=2)
 
 
+def sessions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 inside a key: a user's events without a pause of more than four hours."""
+    return sessions(table(spark, sf_dir, "events"), ["user_id"], "ts", "value", 240, amount_scale=2)
+
+
+def sessions_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where a third of all rows has one key (every third event, whoever's it is)."""
+    ev = table(spark, sf_dir, "events").withColumn("who", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
+    return sessions(ev, ["who"], "ts", "value", 10, amount_scale=2)
+
+
+def stretches_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 inside a key: stretches of 30 minutes in which a user did two things or more."""
+    return stretches(table(spark, sf_dir, "events"), ["user_id"], "ts", "value", 30, min_events=2, amount_scale=2)
+
+
+def sessions_drained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sessions of the event stream, drained and closed, read back. The table is one batch, so no row is late."""
+    from .streaming.sessions import sessions_to_parquet
+    from .streaming.stream import parquet_stream
+
+    stream = parquet_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", like=table(spark, sf_dir, "events"))
+    run = sessions_to_parquet(stream, ["user_id"], "ts", "value", 240, 60, close=True)
+    return spark.read.parquet(run.path).withColumn("total_amount", F.round("total_amount", 2))
+
+
 def group_lookup_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 over values of more than two decimals."""
     li = table(spark, sf_dir, "lineitem")
@@ -334,6 +361,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "group_lookup_events": group_lookup_events,
     "time_span": time_span_query,
     "time_span_plain": time_span_plain,
+    "sessions": sessions_query,
+    "sessions_hot": sessions_hot,
+    "sessions_drained": sessions_drained,
+    "stretches": stretches_query,
     "group_lookup_revenue": group_lookup_revenue,
     "csv_documents": csv_documents,
     "named_flow": named_flow,
@@ -374,6 +405,13 @@ met AS (SELECT o_orderkey, o_orderdate, i, rule_id, CAST(start AS DATE) AS valid
     AND CASE WHEN i % 2 = 1 THEN starts_with(o_orderpriority, (1 + y % 5) || '-') ELSE o_orderpriority >= '2-' END)"""
 
 
+def _sessions_sql(key: str, minutes: int) -> str:
+    return (f"WITH cut AS (SELECT {key} AS who, ts, value, CASE WHEN ts - lag(ts) OVER w > INTERVAL {minutes} MINUTE THEN 1 ELSE 0 END AS new FROM events WINDOW w AS (PARTITION BY {key} ORDER BY ts)), "
+            "runs AS (SELECT *, sum(new) OVER (PARTITION BY who ORDER BY ts) AS run FROM cut) "
+            "SELECT who AS {0}, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_events, round(sum(value), 2) AS total_amount, "
+            "(epoch_us(max(ts)) - epoch_us(min(ts))) / CAST(60000000 AS DOUBLE) AS minutes FROM runs GROUP BY who, run")
+
+
 def _case_list(rules: list[str]) -> str:
     return ", ".join(f"CASE WHEN {_PRED[r]} THEN '{r}' END" for r in rules)
 
@@ -442,6 +480,11 @@ ORACLE_SQL: dict[str, str] = {
                        "(epoch_us(max(ts)) - epoch_us(min(ts))) / CAST(60000000 AS DOUBLE) AS minutes "
                        "FROM events GROUP BY user_id, event_type "
                        "HAVING (epoch_us(max(ts)) - epoch_us(min(ts))) / CAST(60000000 AS DOUBLE) <= 30000",
+    "sessions": _sessions_sql("user_id", 240).format("user_id"),
+    "sessions_hot": _sessions_sql("CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END", 10).format("who"),
+    "sessions_drained": _sessions_sql("user_id", 240).format("user_id"),
+    "stretches": "SELECT * FROM (SELECT user_id, ts AS stretch_end, count(*) OVER w AS n_events, round(sum(value) OVER w, 2) AS total_amount FROM events "
+                 "WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 30 MINUTE PRECEDING AND CURRENT ROW)) WHERE n_events >= 2",
     "group_lookup_revenue": "SELECT l_suppkey, count(*) AS n_rows, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue "
                             "FROM lineitem GROUP BY l_suppkey",
     "csv_documents": "SELECT * FROM documents",
