@@ -20,6 +20,7 @@ from .operators.actions import bind_statuses, rule_hit_counts, tag, tag_all, tra
 from .operators.aggregate import exact_sum, group_lookup, time_span
 from .operators.apply import apply_rule, apply_stages, evaluate
 from .operators.lookups import match_lookup, match_lookups
+from .operators.ranking import exact_statistics, row_positions, top_k
 from .operators.sessions import sessions, stretches
 from .operators.versions import hits_in_force, tag_in_force
 from .plans.catalog import RuleCatalog
@@ -39,6 +40,8 @@ HIT_RULES = ["ord_filter", "ord_large", "ord_and", "ord_or", "ord_or_goto", "ord
 INDEX_RULES = 1000
 LOOKUP_RULES = 400
 VERSIONED_RULES = 24
+# orders a status reported by the top-k query
+TOP_ORDERS = 1200
 
 _CATALOGS: dict[tuple[int, str, str], RuleCatalog] = {}
 
@@ -260,6 +263,23 @@ def sessions_drained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(run.path).withColumn("total_amount", F.round("total_amount", 2))
 
 
+def statistics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, exactly: distinct prices, most frequent and middle price by return flag (three keys hold all rows)."""
+    return exact_statistics(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_extendedprice")
+
+
+def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: every line item's place by price, without a window over the table."""
+    li = table(spark, sf_dir, "lineitem")
+    rest = [c for c in li.columns if c != "l_extendedprice"]
+    return row_positions(li, ["-l_extendedprice", *rest]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "position")
+
+
+def top_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 a key: the dearest orders of each status (three keys hold all rows)."""
+    return top_k(table(spark, sf_dir, "orders"), ["o_orderstatus"], ["-o_totalprice", "o_orderkey"], TOP_ORDERS)
+
+
 def group_lookup_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 over values of more than two decimals."""
     li = table(spark, sf_dir, "lineitem")
@@ -361,6 +381,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "group_lookup_events": group_lookup_events,
     "time_span": time_span_query,
     "time_span_plain": time_span_plain,
+    "exact_statistics": statistics_query,
+    "row_numbers": row_numbers,
+    "top_orders": top_orders,
     "sessions": sessions_query,
     "sessions_hot": sessions_hot,
     "sessions_drained": sessions_drained,
@@ -480,6 +503,13 @@ ORACLE_SQL: dict[str, str] = {
                        "(epoch_us(max(ts)) - epoch_us(min(ts))) / CAST(60000000 AS DOUBLE) AS minutes "
                        "FROM events GROUP BY user_id, event_type "
                        "HAVING (epoch_us(max(ts)) - epoch_us(min(ts))) / CAST(60000000 AS DOUBLE) <= 30000",
+    "exact_statistics": "WITH c AS (SELECT l_returnflag, l_extendedprice AS v, count(*) AS n FROM lineitem GROUP BY ALL) "
+                        "SELECT s.*, mode, (median_low + median_high) / 2 AS median FROM (SELECT l_returnflag, count(*) AS n_rows, count(l_extendedprice) AS n_values, count(DISTINCT l_extendedprice) AS n_distinct, "
+                        "list_sort(list(l_extendedprice))[(count(l_extendedprice) + 1) // 2] AS median_low, list_sort(list(l_extendedprice))[count(l_extendedprice) // 2 + 1] AS median_high FROM lineitem GROUP BY l_returnflag) s "
+                        "JOIN (SELECT l_returnflag, first(v ORDER BY n DESC, v) AS mode FROM c WHERE v IS NOT NULL GROUP BY l_returnflag) m USING (l_returnflag)",
+    "row_numbers": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_partkey, l_suppkey, l_linenumber, "
+                   "l_quantity, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS position FROM lineitem",
+    "top_orders": f"SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rank FROM orders) WHERE rank <= {TOP_ORDERS}",
     "sessions": _sessions_sql("user_id", 240).format("user_id"),
     "sessions_hot": _sessions_sql("CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END", 10).format("who"),
     "sessions_drained": _sessions_sql("user_id", 240).format("user_id"),
