@@ -42,7 +42,7 @@ def _warn_holistic(aggs: list[Column]) -> None:
         if hit:
             warnings.warn(
                 f"aggregate {text} keeps every value of a group ({hit.rstrip('(')}): a key holding a large share "
-                "of the rows will be gathered in one task; prefer count/sum/min/max or approximate sketches",
+                "of the rows will be gathered in one task; exact_statistics gives distinct counts, modes and medians without that",
                 stacklevel=3,
             )
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.status import RuleResult
-from .readers import CSV_NULL
+from .readers import CSV_NULL, _texts, escape_breaks
 
 AUDIT_SCHEMA = T.StructType(
     [
@@ -30,8 +30,15 @@ AUDIT_SCHEMA = T.StructType(
 )
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Header CSV, one part file per task."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", escaped_breaks: bool = False) -> str:
+    """Header CSV, one part file per task.
+
+    With ``escaped_breaks`` line breaks in texts are written escaped, so that
+    every record is a line and large files can be read in splits
+    (``read_csv(escaped_breaks=True)``).
+    """
+    if escaped_breaks:
+        df = df.select(*_texts(df.schema, escape_breaks))
     options = {"header": True, "quoteAll": True, "quote": '"', "escape": '"', "nullValue": CSV_NULL, "emptyValue": "",
                "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     df.write.mode(mode).options(**options).csv(path)

@@ -25,7 +25,7 @@ from .operators.sessions import sessions, stretches
 from .operators.versions import hits_in_force, tag_in_force
 from .plans.catalog import RuleCatalog
 from .session import shared_path
-from .sources.readers import read_csv, read_table, register
+from .sources.readers import CSV_NULL, escape_breaks, read_csv, read_csv_checked, read_table, register
 from .sources.sinks import append_audit, hits_audit_frame, new_run_id, read_audit, write_csv
 
 AS_OF = _dt.date(2022, 3, 1)
@@ -292,7 +292,23 @@ def group_lookup_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 + S1 over free text: line breaks, quotes, blanks and empty texts survive."""
     docs = table(spark, sf_dir, "documents")
-    return read_csv(spark, write_csv(docs, shared_path(spark, "csv-documents")), docs.schema)
+    path = write_csv(docs, shared_path(spark, "csv-documents"), escaped_breaks=True)
+    return read_csv(spark, path, docs.schema, escaped_breaks=True)
+
+
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 with a quarantine: documents as CSV lines, some of them broken by rule, parted into good rows and bad records."""
+    docs = table(spark, sf_dir, "documents")
+    named = F.concat(F.when(F.col("doc_id") % 11 == 3, F.lit("no. ")).otherwise(F.lit("")), F.col("doc_id").cast("string"))
+    values = F.struct(named.alias("doc_id"), *[escape_breaks(F.col(c).cast("string")).alias(c) for c in docs.columns[1:]])
+    line = F.to_csv(values, {"quoteAll": "true", "quote": '"', "escape": '"', "nullValue": CSV_NULL, "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    line = F.when(F.col("doc_id") % 13 == 5, F.concat(line, F.lit(',"one more"'))).otherwise(line)
+    path = shared_path(spark, "csv-quarantine")
+    docs.select(line.alias("value")).write.text(path)
+    parts = read_csv_checked(spark, path, docs.schema, header=False, escaped_breaks=True)
+    good = parts.good.select(F.lit("good").alias("part"), "*", F.lit(None).cast("string").alias("record"))
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema.fields]
+    return good.unionByName(parts.bad.select(F.lit("bad").alias("part"), *empty, "record"))
 
 
 def named_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -390,6 +406,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stretches": stretches_query,
     "group_lookup_revenue": group_lookup_revenue,
     "csv_documents": csv_documents,
+    "csv_quarantine": csv_quarantine,
     "named_flow": named_flow,
     "tag_skip": tag_skip,
     "csv_round_trip": csv_round_trip,
@@ -518,6 +535,13 @@ ORACLE_SQL: dict[str, str] = {
     "group_lookup_revenue": "SELECT l_suppkey, count(*) AS n_rows, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue "
                             "FROM lineitem GROUP BY l_suppkey",
     "csv_documents": "SELECT * FROM documents",
+    "csv_quarantine": "WITH b AS (SELECT *, doc_id % 11 = 3 OR doc_id % 13 = 5 AS broken FROM documents), "
+                      "q AS (SELECT *, '\"' || CASE WHEN doc_id % 11 = 3 THEN 'no. ' ELSE '' END || doc_id || '\",\"' "
+                      "|| replace(replace(replace(replace(text, '\\', '\\\\'), chr(10), '\\n'), chr(13), '\\r'), '\"', '\"\"') || '\",\"' || lang || '\",\"' || source || '\",\"' || n_chars || '\"' "
+                      "|| CASE WHEN doc_id % 13 = 5 THEN ',\"one more\"' ELSE '' END AS line FROM b) "
+                      "SELECT CASE WHEN broken THEN 'bad' ELSE 'good' END AS part, CASE WHEN NOT broken THEN doc_id END AS doc_id, CASE WHEN NOT broken THEN text END AS text, "
+                      "CASE WHEN NOT broken THEN lang END AS lang, CASE WHEN NOT broken THEN source END AS source, CASE WHEN NOT broken THEN n_chars END AS n_chars, "
+                      "CASE WHEN broken THEN line END AS record FROM q",
     "named_flow": f"SELECT * FROM orders WHERE {_PRED['ord_filter']} AND {_ORD}",
     "tag_skip": f"SELECT o_orderkey, concat_ws(',', {_case_list(['ord_large', 'ord_f'])}) AS hits, "
                 "'off,expired,dangling,loop_a' AS left_out FROM orders",
