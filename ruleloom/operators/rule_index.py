@@ -7,7 +7,8 @@ conjunction: whether its conditions on that field hold there. The bits of a row'
 over the fields, are the conjunctions it meets. The plan has one input per field, whatever
 the number of rules; rows are judged by the batch, in Arrow.
 
-Conditions that are no comparison with a value (patterns, computed booleans, query tails) are
+A prefix (``LIKE`` without wildcards) is a range of texts, so thousands of them cost one search too.
+Conditions that are no such comparison (other patterns, computed booleans, query tails) are
 evaluated once each by Spark and count as a field with two places.
 """
 
@@ -69,7 +70,16 @@ class Axis:
         if test.symbol is None:
             held[1] = True
             return held
-        at, last = 2 * self.thresholds.index(test.value) + 1, self.places - 1
+        last = self.places - 1
+        if test.symbol == "prefix" or test.symbol == "no prefix":
+            # Texts with a prefix are neighbours in the order of their bytes.
+            after = _after(test.value)
+            low = 2 * self.thresholds.index(test.value) + 1
+            held[low : last if after is None else 2 * self.thresholds.index(after) + 1] = True
+            if test.symbol == "no prefix":
+                held[:last] = ~held[:last]
+            return held
+        at = 2 * self.thresholds.index(test.value) + 1
         low, high = {"=": (at, at + 1), "<=>": (at, at + 1), "<": (0, at), "<=": (0, at + 1), ">": (at + 1, last), ">=": (at, last), "!=": (0, last)}[test.symbol]
         held[low:high] = True
         if test.symbol == "!=":
@@ -80,8 +90,8 @@ class Axis:
         """Rows' places: twice the thresholds not above the value, less one if it equals the last of them."""
         if self.element is None:
             return values.fill_null(False).to_numpy(zero_copy_only=False).astype(np.intp)
-        known = [v.encode() for v in self.thresholds] if self.element == "string" else self.thresholds
-        if self.element == "string":
+        known = self.thresholds
+        if self.element in _TEXTS:
             coded = values.dictionary_encode()
             seen = [v.encode() for v in coded.dictionary.to_pylist()]
             upto = [bisect_right(known, v) for v in seen]
@@ -97,6 +107,12 @@ class Axis:
         return found
 
 
+def _after(prefix: bytes) -> bytes | None:
+    """The least byte string above all that begin with ``prefix``."""
+    head = prefix.rstrip(b"\xff")
+    return head[:-1] + bytes([head[-1] + 1]) if head else None
+
+
 def _whole(symbol: str, value: Decimal) -> tuple[str, int]:
     """A comparison of whole numbers with a decimal, as one with a whole number."""
     floor = math.floor(value)
@@ -109,9 +125,19 @@ def _days(day: _dt.date) -> int:
     return (day - _dt.date(1970, 1, 1)).days
 
 
+def _plain_text(dtype: T.DataType) -> bool:
+    """Whether values compare by their bytes, as text."""
+    return dtype == T.StringType() or isinstance(dtype, _INTEGERS)
+
+
 def _test(term_field: str, op, value: str, dtype: T.DataType, rule_id: str) -> Test | None:
     """The condition as a comparison on a search axis, or None where only its Column says what it means."""
-    if op.kind != "cmp" or value is None:
+    if value is None:
+        return None
+    if op.kind == "like" and op.prefix and not set(value) & set("%_\\") and _plain_text(dtype):
+        kind = "string" if isinstance(dtype, T.StringType) else "text"
+        return Test((term_field, kind), "no prefix" if op.negate else "prefix", value.encode())
+    if op.kind != "cmp":
         return None
     if isinstance(dtype, _INTEGERS):
         number = numeric_literal(term_field, value, rule_id)
@@ -122,9 +148,9 @@ def _test(term_field: str, op, value: str, dtype: T.DataType, rule_id: str) -> T
     if isinstance(dtype, T.DoubleType):
         number = float(numeric_literal(term_field, value, rule_id))
         return Test((term_field, "double"), op.symbol, number + 0.0) if math.isfinite(number) else None
-    if isinstance(dtype, T.StringType) and dtype == T.StringType():
+    if isinstance(dtype, T.StringType) and _plain_text(dtype):
         if not is_number_text(value):
-            return Test((term_field, "string"), op.symbol, value)
+            return Test((term_field, "string"), op.symbol, value.encode())
         return Test((term_field, "digits"), op.symbol, int(value)) if int(value) in _LONG else None
     try:
         if isinstance(dtype, T.DateType):
@@ -149,7 +175,10 @@ def _groups(terms: Sequence[Term]) -> list[list[Term]]:
 
 
 #: Integer type that an axis' values and thresholds are compared as.
-_ARROW = {"bigint": None, "digits": None, "double": None, "string": None, "date": pa.int32(), "timestamp_ntz": pa.int64()}
+_ARROW = {"date": pa.int32(), "timestamp_ntz": pa.int64()}
+#: Axes whose values are texts.
+_TEXTS = ("string", "text")
+_CASTS = {"bigint": "bigint", "text": "string"}
 
 
 class RuleIndex:
@@ -190,7 +219,7 @@ class RuleIndex:
             return self._flag(key, lambda: compile_condition(name, op, value, dtype, rule_id).column)
         if test.axis not in self._columns:
             column, kind = F.expr(name), test.axis[1]
-            self._columns[test.axis] = column.try_cast("bigint") if kind == "digits" else column.cast("bigint") if kind == "bigint" else column
+            self._columns[test.axis] = column.try_cast("bigint") if kind == "digits" else column.cast(_CASTS[kind]) if kind in _CASTS else column
         return test
 
     def _flag(self, key: tuple, made: Callable[[], Column]) -> Test:
@@ -286,8 +315,8 @@ def _block(conjunctions: list[list[Test]], at: dict[tuple, int]) -> tuple[list[A
     axes = {}
     for key, found in tests.items():
         flag = all(t.symbol is None for t in found)
-        order = (lambda v: v.encode()) if key[1] == "string" else None
-        axes[key] = Axis(at[key], None if flag else key[1], [] if flag else sorted({t.value for t in found}, key=order))
+        cuts = {t.value for t in found} | {_after(t.value) for t in found if t.symbol in ("prefix", "no prefix")}
+        axes[key] = Axis(at[key], None if flag else key[1], [] if flag else sorted(cuts - {None}))
     held = {key: np.ones((a.places, len(conjunctions)), bool) for key, a in axes.items()}
     where = {t: axes[key].where(t) for key, found in tests.items() for t in found}
     for bit, c in enumerate(conjunctions):

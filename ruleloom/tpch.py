@@ -20,11 +20,13 @@ from .operators.actions import bind_statuses, rule_hit_counts, tag, tag_all, tra
 from .operators.aggregate import exact_sum, group_lookup, time_span
 from .operators.apply import apply_rule, apply_stages, evaluate
 from .operators.lookups import match_lookup, match_lookups
+from .operators.prefixes import match_prefixes, without_prefixes
 from .operators.ranking import exact_statistics, row_positions, top_k
 from .operators.sessions import sessions, stretches
 from .operators.versions import hits_in_force, tag_in_force
 from .plans.catalog import RuleCatalog
 from .session import shared_path
+from .sources.audited import read_runs, write_tagged
 from .sources.readers import CSV_NULL, escape_breaks, read_csv, read_csv_checked, read_table, register
 from .sources.sinks import append_audit, hits_audit_frame, new_run_id, read_audit, write_csv
 
@@ -40,6 +42,7 @@ HIT_RULES = ["ord_filter", "ord_large", "ord_and", "ord_or", "ord_or_goto", "ord
 INDEX_RULES = 1000
 LOOKUP_RULES = 400
 VERSIONED_RULES = 24
+PREFIX_RULES = 900
 # orders a status reported by the top-k query
 TOP_ORDERS = 1200
 
@@ -349,6 +352,54 @@ def rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_audit(spark, path, run_id).select("rule_id", "status", "n_hits")
 
 
+def audit_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 in the writing pass: orders written with their hits, the counts of each rule gathered on the way."""
+    ids = HIT_RULES + SKIP_RULES[1:3]
+    audit = shared_path(spark, "audited-runs", unique=False)
+    run = write_tagged(table(spark, sf_dir, "orders"), catalog(spark), ids, shared_path(spark, "audited-orders"), audit, as_of=AS_OF)
+    return read_runs(spark, audit, run.run_id).select("rule_id", "status", "n_hits", "n_rows")
+
+
+#: Names that cheap parts begin with, three and eight letters of them.
+_CHEAP = "p_retailprice < 1500"
+
+
+def _part_prefixes(part: DataFrame) -> DataFrame:
+    ends = F.explode(F.array(F.lit(3), F.lit(8))).alias("n")
+    cheap = part.filter(_CHEAP).select("p_name", ends).select(F.substring("p_name", F.lit(1), F.col("n")).alias("prefix"))
+    return cheap.unionByName(_rows(part, ["_ed %r", "b%k"]))
+
+
+def _rows(df: DataFrame, texts: list[str]) -> DataFrame:
+    return df.sparkSession.createDataFrame([(t,) for t in texts], "prefix string")
+
+
+def prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 x N: every part with the longest registered beginning of its name."""
+    part = table(spark, sf_dir, "part")
+    return match_prefixes(part, "p_name", _part_prefixes(part)).select("p_partkey", "prefix")
+
+
+def prefix_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 x N: parts whose brand and size, as one text, begins like that of no cheap part of a small size."""
+    part = table(spark, sf_dir, "part").withColumn("tag", F.concat(F.col("p_brand"), F.lit(" "), F.col("p_size").cast("string"), F.lit(" "), F.col("p_type")))
+    prefixes = part.filter("p_size < 20").select(F.substring_index("tag", " ", 2).alias("prefix"))
+    return without_prefixes(part, "tag", prefixes)[0].select("p_partkey", "tag")
+
+
+def prefix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 and P5 x 900 rules through the index: prefixes are ranges of texts."""
+    def one(i: int) -> dict:
+        text = f"Brand#{i % 30}{' ' if i % 3 else ''}{i % 50 + 1 if i % 3 else ''}"
+        when = [{"field_name": "concat(p_brand, ' ', p_size)", "operator": "NOT LIKE" if i % 90 == 7 else "LIKE", "field_value": text, "join": "AND"},
+                {"field_name": "p_partkey", "operator": "LIKE", "field_value": str(1 + i % 7), "join": ""}]
+        return {"id": f"p{i}", "is_valid": "true", "valid_from": "01/01/2020", "valid_till": "31/12/2999", "process": "identification", "process_key": "query_builder",
+                "is_lookup": "false", "when": when, "then": {"field_name": "", "field_value": ""}}
+
+    cat = RuleCatalog.from_json(spark, json.dumps({"rules": [one(i) for i in range(PREFIX_RULES)]}))
+    return tag_all(table(spark, sf_dir, "part"), cat, cat.all_ids(), as_of=AS_OF).select("p_partkey", "hits")
+
+
 def stream_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rule applied to a file stream of events; drained, then read back."""
     from .streaming.stream import filter_stream, parquet_stream, run_to_parquet
@@ -411,6 +462,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tag_skip": tag_skip,
     "csv_round_trip": csv_round_trip,
     "rule_hits": rule_hits,
+    "audit_write": audit_write,
+    "prefix_join": prefix_join,
+    "prefix_anti_join": prefix_anti_join,
+    "prefix_index": prefix_index,
     "stream_filter": stream_filter,
 }
 
@@ -550,5 +605,17 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT '{r}' AS rule_id, 'ok' AS status, count(*) FILTER (WHERE {_PRED[r]}) AS n_hits FROM orders"
         for r in HIT_RULES
     ),
+    "audit_write": " UNION ALL ".join(
+        [f"SELECT '{r}' AS rule_id, 'ok' AS status, count(*) FILTER (WHERE {_PRED[r]}) AS n_hits, count(*) AS n_rows FROM orders" for r in HIT_RULES]
+        + [f"SELECT '{r}', '{state}', NULL, count(*) FROM orders" for r, state in zip(SKIP_RULES[1:3], ("off", "out_of_window"))]
+    ),
+    "prefix_join": f"WITH plain AS (SELECT DISTINCT substr(p_name, 1, n) AS prefix FROM part, (VALUES (3), (8)) v(n) WHERE {_CHEAP}), "
+                   "met AS (SELECT p_partkey, prefix FROM part JOIN plain ON starts_with(p_name, prefix) "
+                   "UNION SELECT p_partkey, prefix FROM part JOIN (VALUES ('_ed %r'), ('b%k')) w(prefix) ON p_name LIKE prefix || '%') "
+                   "SELECT p_partkey, first(prefix ORDER BY length(prefix) DESC, prefix) AS prefix FROM met GROUP BY p_partkey",
+    "prefix_anti_join": "WITH p AS (SELECT p_partkey, p_size, p_brand || ' ' || p_size || ' ' || p_type AS tag, p_brand || ' ' || p_size AS head FROM part) "
+                        "SELECT p_partkey, tag FROM p WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT head FROM p WHERE p_size < 20) q WHERE starts_with(p.tag, q.head))",
+    "prefix_index": "SELECT p_partkey, array_to_string(list_transform(list_filter(range(" + str(PREFIX_RULES) + "), lambda i: starts_with(CAST(p_partkey AS VARCHAR), CAST(1 + i % 7 AS VARCHAR)) AND "
+                    "(starts_with(p_brand || ' ' || p_size, 'Brand#' || (i % 30) || CASE WHEN i % 3 = 0 THEN '' ELSE ' ' || (i % 50 + 1) END) <> (i % 90 = 7))), lambda i: 'p' || i), ',') AS hits FROM part",
     "stream_filter": "SELECT * FROM events WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-15 00:00:00'",
 }
