@@ -188,8 +188,8 @@ class WordTokens:
     Byte-level pre-tokenisation always splits before a blank or a line feed that
     stands between two characters that are no white space, and after such a line feed, so a
     text without other white space is the sequence of its words' tokens.
-    Other texts, and all texts under another kind of vocabulary, are tokenised whole by
-    ``tokenizers``. Where the file's ids are its merge ranks, single words go through
+    Other texts, those that hold an added token as ``<|endoftext|>``, and all texts under another kind
+    of vocabulary, are tokenised whole by ``tokenizers``. Where the file's ids are its merge ranks, single words go through
     ``tiktoken`` with the file's own vocabulary, which gives the same ids faster.
     """
 
@@ -198,7 +198,8 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Tokens that stand for themselves wherever a text holds them.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         ranked = self._ranked(path)
         self.cache = ranked and _Cache(ranked, cache_words)
 
@@ -235,7 +236,7 @@ class WordTokens:
             words = ("\n" + text).replace("\n", " \n")[1:].split(" ")
             # Words with one white space between any two, each a blank or a line feed.
             parts = text.split()
-            if len(words) == len(parts) and sum(map(len, parts)) == len(text) - len(parts) + 1:
+            if len(words) == len(parts) and not any(t in text for t in self.added) and sum(map(len, parts)) == len(text) - len(parts) + 1:
                 made.append(b"".join(map(word, words))[4:])
             else:
                 made.append(array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes() if text else b"")
