@@ -21,10 +21,11 @@ from ruleloom.llm.words import text_bytes
 
 CHUNK, STEP = 256, 224
 WIDTH, STRIDE, EMBED, FILTERS = 8, 2, 6, 24
-#: Labelled documents to learn from, at most, and the characters of each of three excerpts.
+#: Labelled documents to learn from, at most; of each all chunks.
 SAMPLE_DOCS = 4_000
-EXCERPT = 700
 EPOCHS, BATCH, RATE = 12, 32, 0.01
+#: Places of a filter in a chunk.
+PLACES = (CHUNK - WIDTH) // STRIDE + 1
 #: Chunks that are convolved at a time.
 BLOCK = 512
 
@@ -67,7 +68,7 @@ class Network:
     def windows(self, chunks: np.ndarray) -> np.ndarray:
         """(chunks, places, WIDTH * EMBED) embedded bytes under each filter place."""
         made = self.embed[chunks]
-        n, places = len(chunks), (CHUNK - WIDTH) // STRIDE + 1
+        n, places = len(chunks), PLACES
         a, b, c = made.strides
         return np.lib.stride_tricks.as_strided(made, (n, places, WIDTH * EMBED), (a, STRIDE * b, c)).reshape(n * places, WIDTH * EMBED)
 
@@ -77,7 +78,7 @@ class Network:
         total = np.zeros((len(offsets) - 1, FILTERS))
         for k in range(0, len(chunks), BLOCK):
             seen = self.windows(chunks[k : k + BLOCK]) @ self.filters
-            top = np.maximum(seen.reshape(-1, (CHUNK - WIDTH) // STRIDE + 1, FILTERS).max(axis=1) + self.bias, 0)
+            top = np.maximum(seen.reshape(-1, PLACES, FILTERS).max(axis=1) + self.bias, 0)
             np.add.at(total, owner[k : k + BLOCK], top)
         mean = total / np.bincount(owner, minlength=len(offsets) - 1)[:, None]
         return 1 / (1 + np.exp(-np.clip(mean @ self.out + self.base, -30, 30)))
@@ -106,22 +107,28 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int =
             chunks = np.concatenate([made[r] for r in rows])
             owner = np.repeat(np.arange(len(rows)), [len(made[r]) for r in rows])
             many = np.bincount(owner).astype(np.float32)
-            seen = net.windows(chunks)
-            answers = (seen @ net.filters).reshape(len(chunks), -1, FILTERS)
-            best = answers.argmax(axis=1)
-            top = np.maximum(np.take_along_axis(answers, best[:, None], 1)[:, 0] + net.bias, 0)
+            # Texts may be long: chunks pass in blocks, forth and back.
+            blocks = [slice(k, k + BLOCK) for k in range(0, len(chunks), BLOCK)]
+            best, top = np.zeros((len(chunks), FILTERS), np.int64), np.zeros((len(chunks), FILTERS), np.float32)
+            for block in blocks:
+                answers = (net.windows(chunks[block]) @ net.filters).reshape(-1, PLACES, FILTERS)
+                best[block] = answers.argmax(axis=1)
+                top[block] = np.maximum(np.take_along_axis(answers, best[block][:, None], 1)[:, 0] + net.bias, 0)
             mean = np.zeros((len(rows), FILTERS), np.float32)
             np.add.at(mean, owner, top)
             mean /= many[:, None]
             p = 1 / (1 + np.exp(-np.clip(mean @ net.out + base[0], -30, 30)))
             d = (p - labels[rows]) * weight[rows] / len(rows)
             d_top = (d[:, None] * net.out / many[:, None])[owner] * (top > 0)
-            place = best + (np.arange(len(chunks)) * answers.shape[1])[:, None]
-            d_filters = np.einsum("nfk,nf->kf", seen[place], d_top)
-            d_embed = np.zeros_like(net.embed)
-            under = chunks[np.arange(len(chunks))[:, None, None], best[:, :, None] * STRIDE + np.arange(WIDTH)]
-            back = d_top[:, :, None, None] * net.filters.T.reshape(1, FILTERS, WIDTH, EMBED)
-            np.add.at(d_embed, under.reshape(-1), back.reshape(-1, EMBED))
+            d_filters, d_embed = np.zeros_like(net.filters), np.zeros_like(net.embed)
+            for block in blocks:
+                own, at_best, back = chunks[block], best[block], d_top[block]
+                # The bytes under each filter's best place.
+                under = own[np.arange(len(own))[:, None, None], at_best[:, :, None] * STRIDE + np.arange(WIDTH)]
+                d_filters += np.einsum("nfk,nf->kf", net.embed[under].reshape(len(own), FILTERS, WIDTH * EMBED), back)
+                spread = back[:, :, None, None] * net.filters.T.reshape(1, FILTERS, WIDTH, EMBED)
+                for k in range(EMBED):
+                    d_embed[:, k] += np.bincount(under.reshape(-1), spread[..., k].reshape(-1), 256)
             d_embed[0] = 0
             grads = [d_embed, d_filters, d_top.sum(axis=0), mean.T @ d, d.sum(keepdims=True)]
             step += 1
@@ -137,15 +144,10 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int =
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", *, folds: int = 5, held_out: int = 0, most: int = SAMPLE_DOCS) -> Network:
     """Fit on at most ``most`` labelled documents whose crc32 of the key mod ``folds`` is not ``held_out``.
 
-    Of each document three excerpts of EXCERPT characters are used, from its start, middle and end.
-    Without labels, or with one class only, scores are constant.
+    Whole texts are learned from. Without labels, or with one class only, scores are constant.
     """
     sample = labelled_sample(docs, labels, key, text, label, crc_of(key) % folds != held_out, most)
-    size = F.length("text")
-    short = F.when(size <= 3 * EXCERPT, F.col("text")).otherwise(
-        F.concat(F.substring(F.col("text"), 1, EXCERPT), F.substring("text", F.floor(size / 2 - EXCERPT / 2).cast("int"), F.lit(EXCERPT)), F.substring(F.col("text"), -EXCERPT, EXCERPT))
-    )
-    rows = sample.select(key, short.alias("text"), "label").orderBy(F.xxhash64(key), key).collect()
+    rows = sample.select(key, "text", "label").orderBy(F.xxhash64(key), key).collect()
     return fit([r["text"] for r in rows], np.array([r["label"] > 0 for r in rows]))
 
 
