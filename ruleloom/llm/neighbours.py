@@ -20,10 +20,8 @@ from pyspark.sql import functions as F
 #: Distinct vectors that the trees are grown on, at most.
 SAMPLE_VECTORS = 8_192
 TREES, LEAF = 24, 24
-#: Share of the sample that a query's leaves must hold.
-SHARE = 0.4
-#: And at least so many of them, if there are.
-LEAST = 1_024
+#: Share of the sample that a query's leaves must hold, at every size.
+SHARE = 0.5
 #: Queries that are searched for together, and broadcast.
 QUERY_BLOCK = 2_048
 #: Vectors that a task holds at a time.
@@ -70,7 +68,7 @@ class Forest:
         heapq.heapify(queue)
         found, held = [], np.zeros(self.size, bool)
         left, right, leaf = self.nodes.left, self.nodes.right, self.nodes.leaf
-        want = max(share * self.size, min(LEAST, self.size))
+        want = share * self.size
         while queue:
             far, node = heapq.heappop(queue)
             while left[node] >= 0:
