@@ -13,11 +13,21 @@ from ruleloom.llm import decontam, jaccard, packing, quality, secret_scan
 from ruleloom.llm.rows import keep
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns c0, c1, … and their names: no column can clash with one that a stage adds."""
+    at = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*at.values()), at
+
+
+def _named(found: DataFrame, at: dict[str, str]) -> DataFrame:
+    return found.select(*[F.col(c).alias(name) for name, c in at.items()])
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the classifier gives 0.3 or more."""
-    net = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.score(docs, net, out="__quality")
-    return scored.filter(F.col("__quality") >= 0.3).drop("__quality")
+    net = quality.learn(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rows, at = _numbered(docs)
+    return _named(quality.score(rows, net, at["text"]).filter(F.col("score") >= 0.3), at)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,21 +44,24 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that share no benchmark window."""
-    found = decontam.find_leaks(docs, "text", spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "item_id", "text")
-    return found.filter(F.col("n_hit") == 0).select(*docs.columns)
+    rows, at = _numbered(docs)
+    found = decontam.find_leaks(rows, at["text"], spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "item_id", "text")
+    return _named(found.filter(F.col("n_hit") == 0), at)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced by a mark; n_chars follows."""
     forest = secret_scan.train(secret_scan.labelled_findings(spark))
-    clean = secret_scan.redact(docs.withColumnRenamed("text", "__text").withColumn("text", F.col("__text")), "text", "source", forest)
-    changed = ~F.col("text").eqNullSafe(F.col("__text"))
-    return clean.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    rows, at = _numbered(docs)
+    text, size = at["text"], at["n_chars"]
+    clean = secret_scan.redact(rows.withColumn("before", F.col(text)), text, at["source"], forest)
+    changed = ~F.col(text).eqNullSafe(F.col("before"))
+    return _named(clean.withColumn(size, F.when(changed, F.length(text).cast("long")).otherwise(F.col(size))), at)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The places of all pieces in training sequences of 1024 tokens."""
-    return packing.pack(docs, "doc_id", "text")
+    return packing.pack(docs.select("doc_id", "text"), "doc_id", "text")
 
 
 STAGES = [
