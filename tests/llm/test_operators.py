@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from ruleloom.llm import chat, components, decontam, jaccard, labels, neighbours, packing, quality, secret_scan, sharding, toxicity, urls
 from ruleloom.llm.words import ALNUM, NOT_SPACE, hash_words
@@ -166,14 +167,15 @@ def test_dominance_keeps_an_optimum():
 def test_pieces_are_the_tokenizer_s_and_lie_gapless(docs, empty):
     assert packing.pack(empty, "doc_id", "text").count() == 0
     got = packing.pack(docs, "doc_id", "text", capacity=64, with_ids=True).collect()
-    tokens = packing.WordTokens(packing.public_vocabulary())
+    # A tokenizer of its own, untouched by the operator.
+    plain = Tokenizer.from_file(packing.public_vocabulary())
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in got:
         assert zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"] <= 256
         by_doc[r["doc_id"]].append(r)
         by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
     for row in docs.collect():
-        ids = [*tokens.tokenizer.encode(row["text"] or "", add_special_tokens=False).ids, 2]
+        ids = [*plain.encode(row["text"] or "", add_special_tokens=False).ids, 2]
         pieces = sorted(by_doc[row["doc_id"]], key=lambda r: r["piece"])
         assert b"".join(p["ids"] for p in pieces) == array("I", ids).tobytes()
         assert [p["start"] for p in pieces] == np.cumsum([0, *[p["length"] for p in pieces]])[:-1].tolist()
@@ -184,8 +186,9 @@ def test_pieces_are_the_tokenizer_s_and_lie_gapless(docs, empty):
 
 def test_words_tokenise_like_whole_texts():
     tokens = packing.WordTokens(packing.public_vocabulary(), cache_words=20)
-    rows = ["", "a", " a", "a  b", "a\n b", "a\nb\n", "\n", "x \n y", "don't it's\tq", "a<|endoftext|>b", "12 56,78!! a", "ab., c.", "(a). b", "a\x85b c", "日本. x", ".", "x .", *[t for t in texts(8, 30) if t]]
-    assert tokens.batch(rows) == [array("I", tokens.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() for t in rows]
+    plain = Tokenizer.from_file(packing.public_vocabulary())
+    rows = ["", "a", " a", "a <|endoftext|> b", "<|endoftext|>", "<|endoftext |>", "a  b", "a\n b", "a\nb\n", "\n", "x \n y", "don't it's\tq", "a<|endoftext|>b", "12 56,78!! a", "ab., c.", "(a). b", "a\x85b c", "日本. x", ".", "x .", *[t for t in texts(8, 30) if t]]
+    assert tokens.batch(rows) == [array("I", plain.encode(t, add_special_tokens=False).ids).tobytes() for t in rows]
 
 
 def test_shards_move_only_into_the_new_one(spark, docs, empty):
@@ -247,6 +250,40 @@ def test_neighbours_recall_and_edges(spark):
     assert neighbours.nearest(spark.createDataFrame(rows[1500:1503], "i long, v array<float>"), "i", "v", F.lit(True)).count() == 0
 
 
+def test_neighbours_recall_with_the_query_s_parameters(spark):
+    """More vectors than the trees are grown on, in clouds."""
+    rng = np.random.default_rng(2)
+    middles = rng.normal(size=(10, 32))
+    x = (middles[rng.integers(10, size=9000)] + 0.7 * rng.normal(size=(9000, 32))).astype(np.float32)
+    got = neighbours.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i long, v array<float>"), "i", "v", F.col("id") % 100 == 0).collect()
+    found = defaultdict(set)
+    for r in got:
+        found[r["query_id"]].add(r["vec_id"])
+    hits = 0
+    for q in range(0, 9000, 100):
+        d = ((x.astype(float) - x[q].astype(float)) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hits += len(found[q] & set(np.lexsort((np.arange(9000), d))[:10].tolist()))
+    assert len(x) > neighbours.SAMPLE_VECTORS and hits >= 0.9 * 900
+
+
+def test_quality_learns_from_the_middle_of_long_texts():
+    """What tells good from bad lies deep in the text, far from its start and end."""
+    rng = random.Random(3)
+    words = "river stone cloud amber lark tree wind".split()
+
+    def text(good):
+        parts = [rng.choice(words) for _ in range(1500)]
+        parts[300:1200] = [w if good else "$$#@!" for w in parts[300:1200]]
+        return " ".join(parts)
+
+    labels_ = [i % 2 for i in range(60)]
+    net = quality.fit([text(g) for g in labels_], np.array(labels_), epochs=8)
+    body, offsets = quality.text_bytes(pa.array([text(g) for g in (1, 0, 1, 0)], pa.string()))
+    good, bad, good2, bad2 = net.scores(body, offsets)
+    assert min(good, good2) > max(bad, bad2) + 0.05
+
+
 def test_neighbours_of_repeated_ids(spark):
     """Every row stands twice, and one id near the first query holds 300 rows: ids are ranked, not rows."""
     rng = np.random.default_rng(4)
@@ -339,3 +376,19 @@ def test_pipeline_stages_keep_the_columns(spark):
             assert set(after) == {i for i, (_, hit, _) in zip(before, found, strict=True) if not hit}
         if at == 3:
             assert set(after) == set(before) and all(after[i] == texts_in[i] or "[SECRET]" in after[i] for i in after)
+
+
+def test_pipeline_stages_leave_clashing_columns_alone(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    sf = "/root/testdata/sf0.001"
+    names = ["n_words", "item_ids", "n_hit", "score", "__quality", "__text", "__words", "__path", "before", "c0", "findings", "a.b"]
+    now = spark.read.parquet(f"{sf}/documents.parquet").withColumns({n: F.lit(f"own {n}") for n in names})
+    for name, stage in corpus_pipeline.STAGES:
+        if name == "n-gram Jaccard join":
+            continue
+        out = stage(spark, now, sf)
+        if name == "best-fit packing":
+            assert out.count() > 0
+            continue
+        assert out.columns == now.columns
+        assert {tuple(r) for r in out.select(*[F.col(f"`{n}`") for n in names]).collect()} == {tuple(f"own {n}" for n in names)}
