@@ -66,16 +66,16 @@ def part_length(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def digests(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, k1, k2) of documents (doc_id, text): set size and set digest."""
+    """(doc_id, row, n_shingles, k1, k2) of documents (doc_id, row, text): set size and set digest."""
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, 1):
-                grams, first = ngram_sets(hash_words(part.column(1), NOT_SPACE), n)
+            for part in slices(batch, 2):
+                grams, first = ngram_sets(hash_words(part.column(2), NOT_SPACE), n)
                 keys = set_keys(grams, first)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(first)), pa.array(keys[:, 0]), pa.array(keys[:, 1])], ["doc_id", "n_shingles", "k1", "k2"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.diff(first)), pa.array(keys[:, 0]), pa.array(keys[:, 1])], ["doc_id", "row", "n_shingles", "k1", "k2"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long")
+    return docs.mapInArrow(run, "doc_id long, row long, n_shingles long, k1 long, k2 long")
 
 
 def set_keys(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -126,16 +126,23 @@ def _gathered(batches, kinds: list) -> list[np.ndarray]:
 def meeting(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
     """(k1, met): how many n-grams of each set's extended prefix some other set's has too.
 
+    Of documents (doc_id, row, text). A task posts a set once, however many copies of it there are in its rows.
     Only five bytes of a hash travel beside its bucket: a rare false meeting keeps a set that the exact
     steps drop later.
     """
 
     def post(batches):
+        posted = set()
         for batch in batches:
-            for part in slices(batch, 1):
-                grams, first = ngram_sets(hash_words(part.column(1), NOT_SPACE), n)
-                take = part_length(np.diff(first), percent)
-                owner = np.repeat(set_keys(grams, first)[:, 0], take)
+            for part in slices(batch, 2):
+                grams, first = ngram_sets(hash_words(part.column(2), NOT_SPACE), n)
+                names = set_keys(grams, first)[:, 0]
+                new = np.zeros(len(names), bool)
+                for at, name in enumerate(names.tolist()):
+                    new[at] = name not in posted
+                    posted.add(name)
+                take = np.where(new, part_length(np.diff(first), percent), 0)
+                owner = np.repeat(names, take)
                 at = np.arange(len(owner)) + np.repeat(first[:-1] - (np.cumsum(take) - take), take)
                 grams = grams[at]
                 yield deal(bucket_of(grams, buckets), [grams.view(np.uint8).reshape(-1, 8)[:, :5], owner])
@@ -355,38 +362,88 @@ def cluster_components(sets: DataFrame, clusters: DataFrame, percent: int, block
 # -- all -------------------------------------------------------------------------------
 
 
-def link_classes(docs: DataFrame, doc_id: str, text: str, *, n: int = 5, percent: int = 75, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row.
+def row_key(doc_id: str, text: str) -> Column:
+    """Tells the rows of one doc_id, or those without, apart by their texts."""
+    return F.xxhash64(F.col(doc_id).cast("long"), F.col(text).cast("string"))
 
-    Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of
-    word ``n``-grams; ``component_id`` is the smallest doc_id that links lead to, the own one
-    included. A text of fewer words has one n-gram, all its words; null and empty
-    texts have none and are alone. Rows of one doc_id are one document in
-    the links; a row without doc_id has its component's smallest, or null if that
-    has none. Repeated rows give repeated results; other columns are not returned.
+
+def shared_ids(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): links between the classes that rows of one doc_id are in."""
+    held = signed.filter("n_shingles > 0 and doc_id is not null").select("doc_id", "k1", "k2").distinct()
+    least = held.groupBy("doc_id").agg(F.min(F.struct("k1", "k2")).alias("least"), F.count(F.lit(1)).alias("many")).filter("many > 1")
+    least = least.join(classes.select(F.struct("k1", "k2").alias("least"), F.col("node").alias("a")), "least").select("doc_id", "a")
+    return held.join(least, "doc_id").join(classes.select("k1", "k2", F.col("node").alias("b")), ["k1", "k2"]).select("a", "b")
+
+
+def linked_rows(docs: DataFrame, doc_id: str, text: str, *, n: int = 5, percent: int = 75, block_bytes: int = BLOCK_BYTES, one_id: bool = True) -> DataFrame:
+    """(doc_id, row, n_shingles, component, component_id) of every row; ``row`` is its ``row_key``.
+
+    ``component`` numbers the components of linked classes (null without words); ``component_id`` is the
+    smallest doc_id in it. Every class of equal sets has a number of its own, so rows without
+    doc_id link like others. With ``one_id`` the classes that rows of one doc_id are in are linked too.
     """
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, text).alias("row"), F.col(text).cast("string").alias("text"))
     signed = keep(digests(texts, n), "digests")
-    classes = signed.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("size"))
-    classes = keep(classes, "classes")
+    classes = signed.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("low"), F.min(F.struct("row", "doc_id")).alias("first"), F.first("n_shingles").alias("size"))
+    # The numbers are written at once, so they stay as they are if a task is run again.
+    classes = keep(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     total = signed.agg(F.sum("n_shingles")).first()[0] or 0
     size, least = F.col("size"), F.ceil(percent * F.col("size") / 100)
     part = F.least(size, size - least + 1 + F.floor(BEYOND * size / 100))
     met = meeting(texts, n, percent, max(1, total * (100 - percent + BEYOND) // 100 // BUCKET_GRAMS))
-    left = classes.join(met, "k1").filter(F.col("met") >= part - (size - least)).filter("node is not null").select("node", "size")
-    left = keep(left, "met")
+    left = classes.join(met, "k1").filter(F.col("met") >= part - (size - least)).select("node", "size", F.col("first.row").alias("first_row"), F.col("first.doc_id").alias("first_id"))
+    left = keep(left.dropDuplicates(["node"]), "met")
     many, grams = left.agg(F.count(F.lit(1)), F.sum("size")).first()
-    chosen = left.select("node").distinct()
+    chosen = left.select("node", "first_row", "first_id")
     if many <= BROADCAST_CLASSES:
         chosen = F.broadcast(chosen)
-    sets = full_sets(texts.withColumnRenamed("doc_id", "node").join(chosen, "node", "left_semi"), n).filter("n > 0")
-    if signed.groupBy("doc_id").count().filter("doc_id is not null and count > 1").limit(1).count():
-        sets = sets.dropDuplicates(["node", "grams"])
+    found = texts.join(chosen, (F.col("row") == F.col("first_row")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).select("node", "text")
+    sets = full_sets(found, n).filter("n > 0")
+    if signed.groupBy("row", "doc_id").count().filter("count > 1").limit(1).count():
+        sets = sets.dropDuplicates(["node"])
     sets = keep(sets, "sets")
     heads = keep(rare_prefixes(sets, max(1, (grams or 0) // BUCKET_GRAMS), percent), "heads")
     stars = heads.join(heads.groupBy("gram").agg(F.min("node").alias("head")), "gram").filter("node <> head").select("node", "head").distinct()
     clusters = keep(components(stars, "node", "head"), "clusters")
-    links = cluster_components(sets, clusters, percent, block_bytes)
-    named = classes.join(links, "node", "left").select("k1", "k2", F.coalesce("root", "node").alias("component_id"))
-    found = signed.join(named, ["k1", "k2"], "left")
-    return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    links = keep(cluster_components(sets, clusters, percent, block_bytes), "links")
+    if one_id:
+        links = keep(components(links.toDF("a", "b").union(shared_ids(signed, classes)), "a", "b"), "links")
+    lows = links.join(classes.select("node", "low"), "node").groupBy("root").agg(F.min("low").alias("component_id"))
+    joined = classes.join(links.join(lows, "root"), "node", "left")
+    linked = F.col("root").isNotNull()
+    named = joined.select("k1", "k2", F.when(linked, F.col("root")).otherwise(F.col("node")).alias("component"), F.when(linked, F.col("component_id")).otherwise(F.col("low")).alias("component_id"))
+    return signed.join(named, ["k1", "k2"], "left").select("doc_id", "row", "n_shingles", "component", "component_id")
+
+
+def link_classes(docs: DataFrame, doc_id: str, text: str, *, n: int = 5, percent: int = 75, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row.
+
+    Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of
+    word ``n``-grams; ``component_id`` is the smallest doc_id that links lead to, the own one
+    included. A text of fewer words has one n-gram, all its words; null and empty
+    texts have none and are alone. Rows of one doc_id are one document in
+    the links; links lead through rows without doc_id as through others, and such a row
+    has its component's smallest doc_id, or null if that has none. Repeated rows give
+    repeated results; other columns are not returned.
+    """
+    rows = linked_rows(docs, doc_id, text, n=n, percent=percent, block_bytes=block_bytes)
+    return rows.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str, text: str, *, n: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of every component of linked texts one row.
+
+    It is the row with the smallest doc_id, then the smallest hash of id and text; a row without doc_id
+    stays only if the component has no other. Of equal rows one stays. Unlike texts under one doc_id are
+    unlike documents and all stay, as do all rows without words.
+    """
+    rows = linked_rows(docs, doc_id, text, n=n, percent=percent, one_id=False).filter("component is not null")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("best")
+    best = rows.groupBy("component").agg(best).select(F.col("best.doc_id").alias("best_id"), F.col("best.row").alias("best_row"))
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    own_id, own_text = F.col(at[doc_id]).cast("long"), F.col(at[text]).cast("string")
+    worded = F.coalesce(own_text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = plain.filter(worded).withColumn("row", row_key(at[doc_id], at[text]))
+    kept = keyed.join(best, (F.col("row") == F.col("best_row")) & own_id.eqNullSafe(F.col("best_id")), "left_semi").dropDuplicates([at[doc_id], "row"])
+    return kept.select(*plain.columns).unionByName(plain.filter(~worded)).toDF(*docs.columns)

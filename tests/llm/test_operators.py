@@ -107,6 +107,42 @@ def test_link_classes_edges(spark, docs, empty):
     assert got == sorted([("5", 6, 5), ("5", 6, 5), ("9", 6, 5), ("None", 6, 5), ("None", 0, None), ("3", 0, 3)], key=str)
 
 
+def chain(size=60, step=6, many=4):
+    """Texts of which neighbours only are linked: each has lost ``step`` first words and got as many others."""
+    said = [f"w{i}" for i in range(size + step * many)]
+    return [" ".join(said[at * step : at * step + size]) for at in range(many)]
+
+
+def test_links_lead_through_rows_without_id(spark):
+    a, b, c, d = chain()
+    rows = [(2, a), (None, b), (1, c), (None, c), (7, "x " + d), (None, "alone in the world it is"), (None, "alone in the world it is")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r["doc_id"], r["component_id"]) for r in jaccard.link_classes(docs, "doc_id", "text").collect())
+    assert got == Counter({(2, 1): 1, (None, 1): 2, (1, 1): 1, (7, 1): 1, (None, None): 2})
+
+
+def test_links_lead_through_rows_of_one_id(spark):
+    a, b, _, _ = chain()
+    other = " ".join(f"o{i}" for i in range(40))
+    rows = [(5, a), (9, other), (9, b), (4, other), (6, " ".join(f"z{i}" for i in range(9)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"]) for r in jaccard.link_classes(docs, "doc_id", "text").collect())
+    assert got == [(4, 4), (5, 4), (6, 6), (9, 4), (9, 4)]
+
+
+def test_one_of_each_component_stays(spark, docs, empty):
+    a, b, c, d = chain()
+    other = " ".join(f"o{i}" for i in range(40))
+    rows = [(2, a, 1), (2, a, 1), (None, b, 2), (1, c, 3), (None, other, 4), (None, other, 4), (8, "z y x w v u", 5), (8, "k l m n o p", 6), (3, "", 7), (None, None, 8), (3, None, 9), (7, " \t", 10)]
+    docs_ = spark.createDataFrame(rows, "doc_id long, text string, row long")
+    got = sorted((str(r["doc_id"]), str(r["text"]), r["row"]) for r in jaccard.one_of_each(docs_, "doc_id", "text").collect())
+    assert got == sorted((str(i), str(t), n) for i, t, n in [rows[3], rows[4], *rows[6:]])
+    kept = {r["doc_id"] for r in jaccard.one_of_each(docs, "doc_id", "text").collect()}
+    links = brute.link_classes([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert kept == {i for i, (_, c) in links.items() if i == c}
+    assert jaccard.one_of_each(empty, "doc_id", "text").columns == empty.columns
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(1, 1), (None, 4)]
