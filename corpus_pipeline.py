@@ -31,15 +31,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each group of linked documents the one with the smallest doc_id.
+    """Keep one document of each group of linked ones, the one with the smallest doc_id.
 
-    Of rows that repeat a doc_id one stays, the one with the least text; a row without
-    doc_id stays.
+    Rows without words stay, as do unlike texts under one doc_id; see ``jaccard.one_of_each``.
     """
-    classes = jaccard.link_classes(docs, "doc_id", "text").filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    # One of the rows that share an id: told by the text's hash, then by any.
-    named = docs.filter(F.col("doc_id").isNotNull()).join(classes, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    return jaccard.one_of_each(docs, "doc_id", "text")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
