@@ -251,6 +251,29 @@ def test_url_rules(spark):
     assert {r["verdict"] for r in nothing.collect()} == {"block"}
 
 
+def test_frequent_urls_are_dealt_over_pieces(spark):
+    rules = spark.createDataFrame([("org", "/", "block"), ("", "/lost", "block")], "host string, path string, action string")
+    many = spark.range(0, 6000, 1, 4).selectExpr("id AS c0", "CASE WHEN id % 3 = 0 THEN null WHEN id % 3 = 1 THEN 'http://a.org/x' ELSE 'http://h' || id || '.org/' END AS url", "id % 2 AS piece", "'kept' AS h", "1 AS `a.b`", "map(1, id) AS salts")
+    salted = urls.frequent_urls(many.select(F.coalesce("url", F.lit("")).alias("url")))
+    # 667 of 2,000 parts each; a URL with one row has less than one part.
+    assert sorted(r["salts"] for r in salted.collect())[-2:] == [667, 667]
+    found = urls.judge_urls(many, "url", rules)
+    assert found.columns == ["c0", "url", "piece", "h", "a.b", "salts", "host", "path", "rule", "verdict"]
+    assert found.groupBy("verdict", "rule", "h").count().orderBy("verdict").collect() == [("allow", None, "kept", 2000), ("block", "org/", "kept", 4000)]
+    assert found.filter("c0 = salts[1]").select("c0").distinct().count() == 6000
+    # Rows alike in every column, the task that reads them apart.
+    alike = urls.judge_urls(spark.range(0, 400, 1, 4).selectExpr("'http://a.org/x' AS url"), "url", rules)
+    assert alike.groupBy("rule").count().collect() == [("org/", 400)]
+
+
+def test_urls_of_many_labels_and_of_an_empty_table(spark):
+    rules = spark.createDataFrame([("a.org", "/x", "block"), (".org", "/y", "block")], "host string, path string, action string")
+    long_host = "a." * 4000 + "org"
+    pages = spark.createDataFrame([(1, f"http://{long_host}/x" + "y" * 50_000), (2, "http://b..org/y"), (3, "http://org/y")], "page_id long, url string")
+    assert {r["page_id"]: r["rule"] for r in urls.judge_urls(pages, "url", rules).collect()} == {1: "a.org/x", 2: ".org/y", 3: None}
+    assert urls.judge_urls(pages.limit(0), "url", rules).collect() == []
+
+
 def test_perspectives(spark):
     rows = [(1, 0, "ann", "hi"), (1, 1, "bob", None), (1, 2, "system", "s"), (1, 3, None, "x"), (None, 0, "ann", "y"), (2, 0, "system", "only"), (3, 0, "ann", "tie"), (3, 0, "ann", "tie")]
     got = chat.rotate(spark.createDataFrame(rows, "c long, t long, who string, said string"), "c", "t", "who", "said", part_turns=3).collect()
