@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ruleloom.llm.labels import crc_of, labelled_sample
-from ruleloom.llm.rows import add_columns
+from ruleloom.llm.rows import add_columns, keep
 from ruleloom.llm.words import ALNUM, FOLD, hash_words, prefix_hashes, text_bytes, word_starts
 
 #: Labelled documents to learn from, at most.
@@ -270,7 +270,8 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     only, scores are constant.
     """
     sample = labelled_sample(docs, labels, key, text, label, crc_of(key) % folds != held_out, most)
-    sample = sample.withColumn("fit", F.pmod(F.xxhash64(F.lit("fit"), key), F.lit(3)) > 0)
+    # Written once: several steps read the bounded sample, none the corpus again.
+    sample = keep(sample.withColumn("fit", F.pmod(F.xxhash64(F.lit("fit"), key), F.lit(3)) > 0), "toxicity-sample")
     found, weak, stems = learn_lexicon(sample.filter("fit"))
     stems = stems_of(stems)
     strong = hashes_of([*INSULTS, *found])
