@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -133,8 +134,19 @@ def tag_in_force(df: DataFrame, catalog: RuleCatalog, rule_ids, time_col: str, h
 
 def versions_frame(catalog: RuleCatalog, rule_ids, guard: bool = False) -> DataFrame:
     """(rule_pos, rule_id, valid_from, valid_till): the pieces as a table for :func:`in_force`."""
-    rows = [(p.rule_pos, p.rule_id, p.first, p.last) for p in version_pieces(catalog, rule_ids, guard)]
-    return catalog.spark.createDataFrame(rows, "rule_pos int, rule_id string, valid_from date, valid_till date")
+    return _frame(catalog, version_pieces(catalog, rule_ids, guard)).drop("__piece")
+
+
+def _frame(catalog: RuleCatalog, pieces: list[Piece]) -> DataFrame:
+    """The pieces and their numbers, made from Arrow: a local table, whose size Spark knows when it plans a join."""
+    columns = {
+        "rule_pos": pa.array([p.rule_pos for p in pieces], pa.int32()),
+        "rule_id": pa.array([p.rule_id for p in pieces], pa.string()),
+        "valid_from": pa.array([p.first for p in pieces], pa.date32()),
+        "valid_till": pa.array([p.last for p in pieces], pa.date32()),
+        "__piece": pa.array(range(len(pieces)), pa.int32()),
+    }
+    return catalog.spark.createDataFrame(pa.table(columns))
 
 
 def _bin(day: Column, level: Column) -> Column:
@@ -163,10 +175,11 @@ def in_force(df: DataFrame, versions: DataFrame, time_col: str, from_col: str =
         level = F.when(length <= BINS * BIN_DAYS[n], F.lit(n)).otherwise(level)
     windows = versions.filter(first <= last).withColumn("__level", level)
     windows = windows.withColumn("__bin", F.explode(F.sequence(_bin(first, F.col("__level")), _bin(last, F.col("__level")))))
-    day = _day_of(df, time_col)
+    day = F.col("__day")
     own = [F.col(f"`{c}`") for c in df.columns]
-    probes = F.transform(F.array(*map(F.lit, range(len(BIN_DAYS)))), lambda n: F.struct(n.alias("level"), _bin(day, n).alias("bin")))
-    rows = df.filter(day.isNotNull()).select(*own, F.explode(probes).alias("__at")).select(*own, F.col("__at.level").alias("__level"), F.col("__at.bin").alias("__bin"))
+    probes = F.array(*[F.struct(F.lit(n).alias("level"), _bin(day, F.lit(n)).alias("bin")) for n in range(len(BIN_DAYS))])
+    rows = df.select(*own, _day_of(df, time_col).alias("__day")).filter(day.isNotNull())
+    rows = rows.select(*own, day, F.explode(probes).alias("__at")).select(*own, day, F.col("__at.level").alias("__level"), F.col("__at.bin").alias("__bin"))
     held = day.between(first, last)
     return rows.join(windows, ["__level", "__bin"]).filter(held).select(*own, *[F.col(f"`{c}`") for c in versions.columns])
 
@@ -179,10 +192,11 @@ def hits_in_force(df: DataFrame, catalog: RuleCatalog, rule_ids, time_col: str,
     names give way.
     """
     pieces = version_pieces(catalog, rule_ids, guard)
-    names = [f"{p.rule_pos} {p.first}" for p in pieces]
-    versions = versions_frame(catalog, rule_ids, guard)
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in versions.columns]
-    met = RuleIndex(df, [(n, p.plan) for n, p in zip(names, pieces)]).hits()
+    versions = _frame(catalog, pieces)
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in versions.columns[:-1]]
+    met = RuleIndex(df, [(p.rule_id, p.plan) for p in pieces]).words()
     found = in_force(df.select(*kept, met.alias("__met")), versions, time_col)
-    key = F.concat_ws(" ", F.col("rule_pos").cast("string"), F.col("valid_from").cast("string"))
-    return found.filter(F.array_contains("__met", key)).drop("__met")
+    piece = F.col("__piece")
+    # Never null: else Spark asks for words that are not null below the join, and makes them once more for that.
+    word = F.coalesce(F.get("__met", F.shiftright(piece, 6)), F.lit(0))
+    return found.filter(F.getbit(word, piece.bitwiseAND(63)) == 1).drop("__met", "__piece")

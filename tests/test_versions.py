@@ -118,6 +118,31 @@ def test_no_cross_join_in_the_plan(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Join" in plan and plan.count("Scan parquet") == 1
 
 
+def test_rows_stay_where_they_are_and_are_judged_once(spark):
+    """The rules' pieces are a table of known size: it goes to the rows, which are not shuffled."""
+    cat = catalog_of(spark, [])
+    cat = type(cat).from_json(spark, tpch.versioned_rules(24))
+    orders = spark.createDataFrame([(1, 250_000.0, "2-HIGH", dt.datetime(1996, 5, 5))], "o_orderkey long, o_totalprice double, o_orderpriority string, o_orderdate timestamp_ntz")
+    plan = hits_in_force(orders, cat, cat.all_ids(), "o_orderdate")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_more_rules_than_a_word_has_bits(spark):
+    rules = [version(f"r{i}", "2000-01-01", "2000-12-31", i) for i in range(130)]
+    cat = catalog_of(spark, rules)
+    rows = spark.createDataFrame([(n, dt.date(2000, 1, 1) if n != 64 else None) for n in (-1, 0, 62, 63, 64, 65, 127, 128, 129, None)], "n int, d date")
+    got = hits_in_force(rows, cat, cat.all_ids(), "d")
+    assert sorted((r["n"], r["rule_pos"]) for r in got.collect()) == [(n, i) for n in (0, 62, 63, 65, 127, 128, 129) for i in range(n + 1)]
+    assert {r["rule_id"] == f"r{r['rule_pos']}" and r["valid_from"] == dt.date(2000, 1, 1) and r["valid_till"] == dt.date(2000, 12, 31) for r in got.collect()} == {True}
+
+
+def test_rules_without_a_version_have_no_hits(spark, cat, facts):
+    got = hits_in_force(facts, cat, ["bad"], "at.time")
+    assert got.columns[-4:] == ["rule_pos", "rule_id", "valid_from", "valid_till"] and got.count() == 0
+    assert versions_frame(cat, ["bad"]).dtypes == [("rule_pos", "int"), ("rule_id", "string"), ("valid_from", "date"), ("valid_till", "date")]
+
+
 def test_streams_meet_the_same_versions(spark, cat, facts, tmp_path):
     """The tag and the stream-static join on a drained stream equal the batch's."""
     ids = ["a", "b", "c"]
