@@ -52,26 +52,24 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
     Node names are longs; edges with a null end, loops and repeats count as none. Each
     round links every node's larger neighbours, then its smaller ones, to the
-    smallest node among them, until nothing changes: the logarithm of the
+    smallest node among them, until only stars are left: the logarithm of the
     component size in rounds, each cut to the shared folder. No component is
     gathered anywhere; a node with very many neighbours is only ever aggregated.
     """
     start = edges.select(F.col(a).cast("long").alias("hi"), F.col(b).cast("long").alias("lo")).filter("hi is not null and lo is not null and hi <> lo")
     now = keep(thin(start).distinct(), "edges")
-    seen = _print_of(now)
-    while seen[0]:
+    while not _only_stars(now):
         both = now.union(now.select(F.col("lo").alias("hi"), F.col("hi").alias("lo"))).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u").alias("hi"), F.col("m").alias("lo")), F.struct(F.col("v").alias("hi"), F.col("m").alias("lo")))).alias("e")).select("e.hi", "e.lo")
         now = keep(small.filter("hi <> lo").distinct(), "edges")
-        before, seen = seen, _print_of(now)
-        if seen == before:
-            break
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(now.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
 
 
-def _print_of(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-    return int(row[0]), row[1]
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every ``hi`` of distinct edges has one ``lo``, and none is a ``lo`` itself: another round changes nothing."""
+    up, down = (F.struct(F.col(c).alias("node"), F.lit(x).alias("up"), F.lit(1 - x).alias("down")) for c, x in (("hi", 1), ("lo", 0)))
+    ends = edges.select(F.explode(F.array(up, down)).alias("e")).groupBy("e.node").agg(F.sum("e.up").alias("up"), F.sum("e.down").alias("down"))
+    return not ends.filter("up > 1 or up > 0 and down > 0").agg(F.count(F.lit(1))).first()[0]

@@ -298,18 +298,24 @@ def dealt(blocks) -> Column:
     return F.pmod(F.xxhash64(F.lit("block"), "node"), blocks).cast("int")
 
 
-def block_links(placed: DataFrame, cut: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links inside the blocks of clusters, and between them and the pivots of clusters in ``cut``."""
-    members = with_blocks(placed, cut, "blocks").select("root", dealt(F.coalesce("blocks", F.lit(1))).alias("block"), "node", "grams")
-    chosen = cut.select("root", "blocks", F.explode(F.array_distinct("pivots")).alias("node"))
-    # A pivot is in its own block as it is.
-    guests = chosen.withColumn("own", dealt(F.col("blocks"))).select("root", "node", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).filter("own <> block")
-    guests = guests.join(placed.select("node", "grams"), "node").select("root", "block", "node", "grams")
+def block_links(placed: DataFrame, cut: DataFrame | None, percent: int) -> DataFrame:
+    """(a, b): links inside the blocks of clusters, and between them and the pivots of clusters in ``cut``.
+
+    Without ``cut`` every cluster is one block.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         grams = [np.frombuffer(g, np.uint64) for g in group["grams"].to_pylist()]
         return _link_table(join_block(group["node"].to_numpy(), np.zeros(len(grams), np.int64), grams, percent, within=True))
 
+    if cut is None:
+        whole = placed.select("root", F.lit(0).alias("block"), "node", "grams")
+        return whole.groupBy("root", "block").applyInArrow(run, "a long, b long")
+    members = with_blocks(placed, cut, "blocks").select("root", dealt(F.coalesce("blocks", F.lit(1))).alias("block"), "node", "grams")
+    chosen = cut.select("root", "blocks", F.explode(F.array_distinct("pivots")).alias("node"))
+    # A pivot is in its own block as it is.
+    guests = chosen.withColumn("own", dealt(F.col("blocks"))).select("root", "node", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).filter("own <> block")
+    guests = guests.join(placed.select("node", "grams"), "node").select("root", "block", "node", "grams")
     return members.unionByName(guests).groupBy("root", "block").applyInArrow(run, "a long, b long")
 
 
@@ -351,6 +357,8 @@ def cluster_components(sets: DataFrame, clusters: DataFrame, percent: int, block
     weight = F.ceil(F.sum("n") * 8 / block_bytes).cast("int")
     cut = keep(clusters.join(sets.select("node", "n"), "node").groupBy("root").agg(weight.alias("blocks"), pivots.alias("pivots")).filter("blocks > 1"), "cut")
     placed = sets.join(clusters, "node")
+    if not cut.limit(1).count():
+        return components(keep(block_links(placed, None, percent), "near"), "a", "b")
     # Links are written before the next Python step, so that a task holds one Python worker.
     near = keep(block_links(placed, cut, percent), "near")
     found = keep(components(near, "a", "b"), "found")

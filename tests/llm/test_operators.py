@@ -151,6 +151,36 @@ def test_components_of_chains_and_stars(spark):
     assert got == {i: 100 for i in range(100, 161)} | {i: 7 for i in [7, *range(200, 260)]}
 
 
+def _kept_by(module, monkeypatch):
+    names, keep = [], module.keep
+    monkeypatch.setattr(module, "keep", lambda df, name: names.append(name) or keep(df, name))
+    return names
+
+
+@pytest.mark.parametrize("edges, rounds", [([], 0), ([(5, 2), (2, 9), (4, 3), (4, 3), (7, 7), (None, 1)], 0), ([(i, i + 1) for i in range(40)], 1)])
+def test_components_end_with_stars(spark, monkeypatch, edges, rounds):
+    kept = _kept_by(components, monkeypatch)
+    table = spark.createDataFrame(edges, "a long, b long").repartition(1 if not rounds else 8)
+    got = {(r["node"], r["root"]) for r in components.components(table, "a", "b").collect()}
+    forest = components.Forest(41)
+    ends = [(a, b) for a, b in edges if a is not None and a != b]
+    for a, b in ends:
+        forest.union(a, b)
+    assert got == {(x, forest.find(x)) for e in ends for x in e}
+    # The first table, and one a round that changed something.
+    assert len(kept) == 1 if not rounds else len(kept) > 1
+
+
+def test_whole_clusters_are_joined_once(spark, monkeypatch):
+    base = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join([*base[:-1], f"x{i % 3}"])) for i in range(6)] + [(9, "quite another text of more than five words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = _kept_by(jaccard, monkeypatch)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.link_classes(docs, "doc_id", "text").collect()}
+    assert got == {i: 0 for i in range(6)} | {9: 9}
+    assert "near" in kept and "more" not in kept
+
+
 def _packed(counts, capacity):
     sequences = defaultdict(list)
     seen = Counter()
